@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.quantiles import exact_quantile
+from ledgerlens.settings import checkpointed
 
 # Defaults of the models.
 TREES = 100
@@ -93,6 +94,8 @@ def _grow_tree(rows: np.ndarray, depth: int, seed: int) -> pd.DataFrame:
             continue
         feature = int(random.choice(usable))
         cut = random.uniform(low[feature], high[feature])
+        if cut >= high[feature]:  # rounding reached the top; keep both sides filled
+            cut = low[feature]
         left = part[:, feature] <= cut
         nodes.append((node, feature, cut, 0.0))
         pending.append((2 * node + 1, level + 1, members[left]))
@@ -192,15 +195,11 @@ def fit_isolation_forest(
     Returns the model and the training scores, which are checkpointed because
     the threshold and the predictions both read them.
     """
-    from dataclasses import replace
-
-    from ledgerlens.settings import checkpointed
-
     names = list(names)
     chosen, per_tree = _forest_sample(matrix, trees, random_state)
     depth = max(1, math.ceil(math.log2(max(per_tree, 2))))
 
-    def grow(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         ordered = pdf.sort_values("transaction_id")
         tree = _grow_tree(ordered[names].to_numpy(dtype=float), depth, random_state + int(key[0]))
         return tree.assign(tree=int(key[0]))

@@ -16,7 +16,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ledgerlens.functions.hot_keys import HotKeys, by_weight, find_hot_keys
 
@@ -39,9 +39,6 @@ ROUND_SCORES = (30, [(6, 45)])
 ROUND_AMOUNTS = (5000, 10000, 15000, 20000, 25000)
 ROUND_UNIT = 1000
 
-BY_USER = Window.partitionBy("user_id")
-IN_ORDER = BY_USER.orderBy("timestamp", "transaction_id")
-
 _DAY_MICROS = 86_400_000_000
 _FLAG = ["rule_triggered", "risk_score"]
 
@@ -82,6 +79,14 @@ class Burst:
         return _tiered(size, self.scores, inclusive=True)
 
 
+def _by_user() -> WindowSpec:
+    return Window.partitionBy("user_id")
+
+
+def _in_order() -> WindowSpec:
+    return _by_user().orderBy("timestamp", "transaction_id")
+
+
 def _tiered(measure: Column, scores, inclusive: bool) -> Column:
     base, tiers = scores
     result = F.lit(base)
@@ -169,7 +174,7 @@ def _with_bursts(df: DataFrame, bursts: list[Burst]) -> DataFrame:
         {
             f"_{b.rule}_end": F.min(
                 F.when(F.col(f"_{b.rule}_back") >= F.col(f"_{b.rule}_time") - F.lit(b.window), time)
-            ).over(BY_USER)
+            ).over(_by_user())
             for b in bursts
         }
     )
@@ -182,7 +187,7 @@ def _with_bursts(df: DataFrame, bursts: list[Burst]) -> DataFrame:
         }
     )
     df = df.withColumns(
-        {f"_{b.rule}_size": F.count_if(f"_{b.rule}_in").over(BY_USER) for b in bursts}
+        {f"_{b.rule}_size": F.count_if(f"_{b.rule}_in").over(_by_user()) for b in bursts}
     )
     return df.withColumns(
         {b.rule: F.when(F.col(f"_{b.rule}_in"), b.score(F.col(f"_{b.rule}_size"))) for b in bursts}
@@ -193,13 +198,13 @@ def _with_dormant(df: DataFrame, days: float, rows: int) -> DataFrame:
     """Add the dormant score: the gap row and the ``rows - 1`` rows after it,
     if that many exist; the earliest covering gap decides the score."""
     time = F.col("timestamp")
-    last_needed = F.lead(time, rows - 1).over(IN_ORDER) if rows > 1 else time
+    last_needed = F.lead(time, rows - 1).over(_in_order()) if rows > 1 else time
     df = df.withColumns(
-        {"_gap": time - F.lag(time).over(IN_ORDER), "_last_needed": last_needed}
+        {"_gap": time - F.lag(time).over(_in_order()), "_last_needed": last_needed}
     )
     opens = (F.col("_gap") > F.lit(timedelta(days=days))) & F.col("_last_needed").isNotNull()
     df = df.withColumn("_gap_days", F.when(opens, F.expr("extract(DAY FROM _gap)")))
-    covering = F.first("_gap_days", ignorenulls=True).over(IN_ORDER.rowsBetween(1 - rows, 0))
+    covering = F.first("_gap_days", ignorenulls=True).over(_in_order().rowsBetween(1 - rows, 0))
     df = df.withColumn("_dormant_days", covering)
     return df.withColumn(
         DORMANT,
@@ -237,7 +242,7 @@ def _hot_burst(df: DataFrame, burst: Burst) -> DataFrame:
         .filter(F.col("_rank") <= burst.rows)
         .withColumn("_micros", _slot("timestamp", 1))
     )
-    trailing = BY_USER.orderBy("_micros").rangeBetween(
+    trailing = _by_user().orderBy("_micros").rangeBetween(
         -int(burst.window.total_seconds() * 1_000_000), 0
     )
     ends = (
@@ -265,7 +270,7 @@ def _hot_dormant(df: DataFrame, days: float, rows: int) -> DataFrame:
     """
     period = timedelta(days=days)
     width = max(1, min(_DAY_MICROS, int(period.total_seconds() * 1_000_000)))
-    by_slot = BY_USER.orderBy("_slot")
+    by_slot = _by_user().orderBy("_slot")
     spans = (
         df.withColumn("_slot", _slot("timestamp", width))
         .groupBy("user_id", "_slot")
@@ -275,7 +280,7 @@ def _hot_dormant(df: DataFrame, days: float, rows: int) -> DataFrame:
             "_reach",
             F.coalesce(
                 F.lead("_stop", rows - 1).over(by_slot) if rows > 1 else F.col("_stop"),
-                F.max("_stop").over(BY_USER),
+                F.max("_stop").over(_by_user()),
             ),
         )
     )

@@ -8,10 +8,18 @@ from pyspark.sql import functions as F
 from ledgerlens.sources.transactions import normalise
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _table(spark: SparkSession, sf_dir: str, name: str, streaming: bool) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if not streaming:
+        return table
+    source = spark.readStream.schema(table.schema).option("pathGlobFilter", f"{name}.parquet")
+    return source.parquet(sf_dir)
+
+
+def transactions(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Events and orders as transactions, with deterministic labels."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    events = _table(spark, sf_dir, "events", streaming)
+    orders = _table(spark, sf_dir, "orders", streaming)
     value, kind = F.col("value"), F.col("event_type")
     fifth = F.col("event_id") % 5 == 0
     from_events = events.select(
