@@ -10,9 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +32,7 @@ CONTAMINATION = 0.05
 CLUSTERS = 5
 RESTARTS = 10
 MAX_ITERATIONS = 300
+PARALLEL_FITS = 4
 OUTLIER_PERCENTILE = 95
 SEED = 42
 ML_WEIGHT = 10
@@ -104,26 +107,24 @@ def _grow_tree(rows: np.ndarray, depth: int, seed: int) -> pd.DataFrame:
 
 
 def _forest_sample(matrix: DataFrame, trees: int, seed: int) -> tuple[DataFrame, int]:
-    """Training rows with their ``tree`` and the rows per tree.
+    """Training rows with their ``tree`` and the number of rows per tree.
 
-    The lowest hashes are a uniform sample in one pass; it never exceeds
-    ``trees * SUBSAMPLE`` rows.  A smaller input is drawn from once per tree.
+    The lowest hashes are a uniform sample in one pass, of at most
+    ``trees * SUBSAMPLE`` rows.  Each tree takes the next slice of their order,
+    starting over at the end when the input is smaller, so a tree never holds a
+    row twice.
     """
-    ordered = matrix.withColumn("_hash", F.xxhash64("transaction_id", F.lit(seed)))
-    sample = ordered.orderBy("_hash", "transaction_id").limit(trees * SUBSAMPLE)
-    sample = sample.persist()
+    hashed = matrix.withColumn("_hash", F.xxhash64("transaction_id", F.lit(seed)))
+    sample = hashed.orderBy("_hash", "transaction_id").limit(trees * SUBSAMPLE).persist()
     n = sample.count()
     per_tree = min(SUBSAMPLE, n)
-    if n == trees * SUBSAMPLE:
-        rank = F.row_number().over(Window.orderBy("_hash", "transaction_id"))
-        chosen = sample.withColumn("tree", (rank - 1) % trees)
-    else:
-        draw = Window.partitionBy("tree").orderBy(F.xxhash64("_hash", "tree"), "transaction_id")
-        chosen = (
-            sample.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            .withColumn("_rank", F.row_number().over(draw))
-            .filter(F.col("_rank") <= per_tree)
-        )
+    place = F.row_number().over(Window.orderBy("_hash", "transaction_id")) - 1
+    slots = F.sequence("_place", F.lit(trees * per_tree - 1), F.lit(n))
+    chosen = (
+        sample.withColumn("_place", place)
+        .withColumn("_slot", F.explode(slots))
+        .withColumn("tree", F.expr(f"_slot div {per_tree}"))
+    )
     return chosen, per_tree
 
 
@@ -276,14 +277,16 @@ def fit_kmeans(
     """Best of ``restarts`` runs by within-cluster cost."""
     vectors = VectorAssembler(inputCols=list(names), outputCol="features").transform(matrix)
     vectors = vectors.select("features").persist()
+
+    def run(restart: int) -> tuple[float, int, KMeansModel]:
+        seed = random_state + restart
+        model = KMeans(k=n_clusters, maxIter=MAX_ITERATIONS, seed=seed).fit(vectors)
+        return model.summary.trainingCost, restart, model
+
     try:
-        best = None
-        for i in range(restarts):
-            model = KMeans(k=n_clusters, maxIter=MAX_ITERATIONS, seed=random_state + i).fit(vectors)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, model)
-        return best[1]
+        # Small jobs per iteration: several restarts share the executors.
+        with ThreadPool(min(PARALLEL_FITS, restarts)) as pool:
+            return min(pool.map(inheritable_thread_target(run), range(restarts)))[2]
     finally:
         vectors.unpersist()
 

@@ -416,60 +416,81 @@ def run_all_rules(
     }
 
 
-def raw_flags(
+def wide_flags(
     df: DataFrame,
     settings: RuleSettings | None = None,
     hot: HotKeys | None = None,
     high_value: bool = True,
 ) -> DataFrame:
-    """All rules in one pass: one row per (transaction row, rule that hit it).
+    """All rules in one pass: the flagged rows with one score column per rule,
+    NULL where the rule does not apply.
 
-    One ``user_id`` shuffle and one sort serve every rule.  Repeated
-    transaction ids are still repeated here; see ``all_flags``.
+    One ``user_id`` shuffle and one sort serve every rule.
     """
     s = settings or RuleSettings()
     bursts = [_velocity_burst(s), _structuring_burst(s), _round_burst(s)]
     timed = _timed(df)
     hot = find_hot_keys(timed) if hot is None else hot
-    rules = [HIGH_VALUE] * high_value + [b.rule for b in bursts] + [DORMANT]
 
     def light(part: DataFrame) -> DataFrame:
-        if high_value:
-            part = part.withColumn(HIGH_VALUE, _high_value_score(s.high_value_threshold))
-        part = _with_bursts(part, bursts)
+        score = _high_value_score(s.high_value_threshold) if high_value else F.lit(None).cast("int")
         part = _with_dormant(part, s.dormant_days, s.dormant_transactions)
-        hits = F.filter(
-            F.array(
-                *[
-                    F.struct(F.lit(r).alias("rule_triggered"), F.col(r).alias("risk_score"))
-                    for r in rules
-                ]
-            ),
-            lambda hit: hit["risk_score"].isNotNull(),
-        )
-        any_hit = reduce(lambda a, b: a | b, [F.col(r).isNotNull() for r in rules])
-        return (
-            part.filter(any_hit)
-            .select(*df.columns, F.explode(hits).alias("hit"))
-            .select(*df.columns, "hit.rule_triggered", "hit.risk_score")
-        )
+        part = _with_bursts(part, bursts).withColumn(HIGH_VALUE, score)
+        return part.filter(F.coalesce(*RULE_ORDER).isNotNull()).select(*df.columns, *RULE_ORDER)
 
     def heavy(part: DataFrame) -> DataFrame:
         parts = [_hot_burst(part, b) for b in bursts]
         parts.append(_hot_dormant(part, s.dormant_days, s.dormant_transactions))
         if high_value:
             parts.append(detect_high_value_transactions(part, s.high_value_threshold))
-        return reduce(DataFrame.unionByName, parts)
+        return widen(reduce(DataFrame.unionByName, parts))
 
     flags = by_weight(timed, hot, light, heavy)
     if high_value:
         # Rows without a user or a time take part in the amount rule only and
         # never meet in one shuffle partition.
         loose = df.filter(F.col("user_id").isNull() | F.col("timestamp").isNull())
-        flags = flags.unionByName(detect_high_value_transactions(loose, s.high_value_threshold))
+        flags = flags.unionByName(
+            widen(detect_high_value_transactions(loose, s.high_value_threshold))
+        )
     return flags
 
 
+def widen(flags: DataFrame) -> DataFrame:
+    """Long flags in the ``wide_flags`` layout, one rule filled per row."""
+    rule = F.col("rule_triggered")
+    return flags.select(
+        *[c for c in flags.columns if c not in _FLAG],
+        *[F.when(rule == r, F.col("risk_score")).alias(r) for r in RULE_ORDER],
+    )
+
+
+def raw_flags(
+    df: DataFrame,
+    settings: RuleSettings | None = None,
+    hot: HotKeys | None = None,
+    high_value: bool = True,
+) -> DataFrame:
+    """``wide_flags`` as one row per (transaction row, rule that hit it).
+
+    Repeated transaction ids are still repeated here; see ``all_flags``.
+    """
+    hits = F.filter(
+        F.array(
+            *[
+                F.struct(F.lit(r).alias("rule_triggered"), F.col(r).alias("risk_score"))
+                for r in RULE_ORDER
+            ]
+        ),
+        lambda hit: hit["risk_score"].isNotNull(),
+    )
+    return (
+        wide_flags(df, settings, hot, high_value)
+        .select(*df.columns, F.explode(hits).alias("hit"))
+        .select(*df.columns, "hit.rule_triggered", "hit.risk_score")
+    )
+
+
 def all_flags(
     df: DataFrame, settings: RuleSettings | None = None, hot: HotKeys | None = None
 ) -> DataFrame:

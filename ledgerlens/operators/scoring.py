@@ -8,7 +8,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.rules import HIGH_VALUE, RULE_ORDER
+from ledgerlens.operators.rules import HIGH_VALUE, RULE_ORDER, widen
 from ledgerlens.sources.transactions import OPTIONAL
 
 # Rule weights, level ranges (both ends inclusive) and the cap.
@@ -75,9 +75,8 @@ def _rule_rank(rule: Column) -> Column:
     return F.array_position(F.array(*[F.lit(r) for r in RULE_ORDER]), rule)
 
 
-def _firsts(columns: list[str]) -> list[Column]:
-    """First non-null value of each column in rule order, then time."""
-    order = F.struct(_rule_rank(F.col("rule_triggered")), F.col("timestamp"))
+def _firsts(columns: list[str], order: Column) -> list[Column]:
+    """First non-null value of each column in the given order."""
     return [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in columns]
 
 
@@ -109,7 +108,7 @@ def calculate_cumulative_scores(
     """
     extra = [c for c in OPTIONAL if c in combined.columns]
     grouped = combined.groupBy("transaction_id").agg(
-        *_firsts(PAYLOAD + extra),
+        *_firsts(PAYLOAD + extra, F.struct(_rule_rank(F.col("rule_triggered")), "timestamp")),
         F.array_sort(F.collect_set("rule_triggered")).alias("rules"),
         F.sum("risk_score").alias("risk_score"),
         F.sum("weighted_score").alias("weighted_score"),
@@ -117,23 +116,32 @@ def calculate_cumulative_scores(
     return _finish(grouped, extra, levels)
 
 
-def score_raw_flags(
+def score_flags(
     flags: DataFrame,
     weights: dict[str, float] | None = None,
     levels: dict[str, tuple[float, float]] | None = None,
 ) -> DataFrame:
-    """Same result as de-duplicating, weighting and scoring ``raw_flags`` in
-    turn, in one ``transaction_id`` shuffle instead of two."""
+    """Score flags straight from the rules, wide or long.
+
+    Same result as de-duplicating, weighting and scoring in turn, in one
+    ``transaction_id`` shuffle of one row per flagged transaction.
+    """
+    wide = flags if HIGH_VALUE in flags.columns else widen(flags)
     weights = {**RULE_WEIGHTS, **(weights or {})}
-    extra = [c for c in OPTIONAL if c in flags.columns]
-    rule = F.col("rule_triggered")
+    extra = [c for c in OPTIONAL if c in wide.columns]
+    first_rule = F.coalesce(
+        *[F.when(F.col(r).isNotNull(), i) for i, r in enumerate(RULE_ORDER)]
+    )
+    # The amount rule keeps repeats of an id, the others their first row.
     seen = F.struct("user_id", "timestamp")
-    per_rule = [F.sum(F.when(rule == HIGH_VALUE, F.col("risk_score"))).alias(HIGH_VALUE)] + [
-        F.min_by("risk_score", F.when(rule == r, seen)).alias(r)
+    per_rule = [F.sum(HIGH_VALUE).alias(HIGH_VALUE)] + [
+        F.min_by(r, F.when(F.col(r).isNotNull(), seen)).alias(r)
         for r in RULE_ORDER
         if r != HIGH_VALUE
     ]
-    grouped = flags.groupBy("transaction_id").agg(*_firsts(PAYLOAD + extra), *per_rule)
+    grouped = wide.groupBy("transaction_id").agg(
+        *_firsts(PAYLOAD + extra, F.struct(first_rule, "timestamp")), *per_rule
+    )
 
     def total(term):
         return reduce(

@@ -202,7 +202,7 @@ def _no_alerts(spark: SparkSession) -> DataFrame:
 def _first_alerts(spark: SparkSession, d: str) -> DataFrame:
     """Alerts of a first run with the amount rule alone."""
     flags = R.detect_high_value_transactions(transactions(spark, d))
-    return A.insert_ignore(_no_alerts(spark), S.score_raw_flags(flags), FIRST_LOAD)
+    return A.insert_ignore(_no_alerts(spark), S.score_flags(flags), FIRST_LOAD)
 
 
 def _all_alerts(spark: SparkSession, d: str) -> DataFrame:
@@ -270,7 +270,7 @@ def alert_table_scan(spark, d):
     """Two loads through the stored table, then its scan."""
     store = AlertStore(spark, scratch(spark, "alerts"))
     flags = R.detect_high_value_transactions(transactions(spark, d))
-    store.store_alerts(S.score_raw_flags(flags), created_at=FIRST_LOAD)
+    store.store_alerts(S.score_flags(flags), created_at=FIRST_LOAD)
     store.store_alerts(scored_view(spark, d), created_at=SECOND_LOAD)
     return store.read()
 

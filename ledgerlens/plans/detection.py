@@ -11,8 +11,8 @@ from ledgerlens.functions.hot_keys import HotKeys
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import models as M
 from ledgerlens.operators.features import FEATURE_COLUMNS, prepare_for_ml
-from ledgerlens.operators.rules import RuleSettings, all_flags, raw_flags
-from ledgerlens.operators.scoring import score_raw_flags
+from ledgerlens.operators.rules import RuleSettings, all_flags, wide_flags
+from ledgerlens.operators.scoring import score_flags
 from ledgerlens.settings import checkpointed
 
 
@@ -25,7 +25,7 @@ def score_transactions(
 ) -> DataFrame:
     """Rules, weights, scores and levels: one shuffle by user for the rules
     and one by transaction for the scores."""
-    return score_raw_flags(raw_flags(tx, settings, hot), weights, levels)
+    return score_flags(wide_flags(tx, settings, hot), weights, levels)
 
 
 def run_detection(

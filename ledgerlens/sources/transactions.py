@@ -79,7 +79,9 @@ def load_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """CSV sink; one file per partition under ``path``."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    # The default format drops microseconds.
+    writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return path
 
 

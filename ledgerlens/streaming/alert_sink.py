@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlens.operators.scoring import score_raw_flags
+from ledgerlens.operators.scoring import score_flags
 from ledgerlens.sources.alert_store import AlertStore
 
 
@@ -25,7 +25,7 @@ def write_alerts(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        store.store_alerts(score_raw_flags(batch), overwrite, created_at)
+        store.store_alerts(score_flags(batch), overwrite, created_at)
 
     return (
         flags.writeStream.outputMode("append")
