@@ -57,7 +57,10 @@ def without_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
 
 
 def only_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
-    return df.join(F.broadcast(hot.frame(df)), hot.key, "left_semi")
+    """The hot keys' rows, written once: the routes for hot keys read them
+    several times and should not scan the whole input for each."""
+    rows = df.join(F.broadcast(hot.frame(df)), hot.key, "left_semi")
+    return settings.materialised(rows, "hot-rows")
 
 
 def by_weight(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.settings import checkpointed
+from ledgerlens.settings import materialised
 
 # monotonically_increasing_id keeps the partition above bit 33 and the
 # position inside the partition below it.
@@ -15,10 +15,10 @@ _POSITION_BITS = 33
 def number_rows(df: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
     """Number rows ``start, start+1, ...`` in ``order``.
 
-    One range shuffle sorts the rows; the checkpoint fixes where each row sits,
+    One range shuffle sorts the rows; writing them fixes where each row sits,
     so the per-partition offsets stay valid if a task is run again.
     """
-    placed = checkpointed(
+    placed = materialised(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerlens.functions.quantiles import exact_quantile
-from ledgerlens.settings import checkpointed
+from ledgerlens.functions.sampling import HASH, lowest_hashes
+from ledgerlens.settings import materialised
 
 # Defaults of the models.
 TREES = 100
@@ -114,11 +115,10 @@ def _forest_sample(matrix: DataFrame, trees: int, seed: int) -> tuple[DataFrame,
     starting over at the end when the input is smaller, so a tree never holds a
     row twice.
     """
-    hashed = matrix.withColumn("_hash", F.xxhash64("transaction_id", F.lit(seed)))
-    sample = hashed.orderBy("_hash", "transaction_id").limit(trees * SUBSAMPLE).persist()
+    sample = lowest_hashes(matrix, "transaction_id", trees * SUBSAMPLE, seed).persist()
     n = sample.count()
     per_tree = min(SUBSAMPLE, n)
-    place = F.row_number().over(Window.orderBy("_hash", "transaction_id")) - 1
+    place = F.row_number().over(Window.orderBy(HASH, "transaction_id")) - 1
     slots = F.sequence("_place", F.lit(trees * per_tree - 1), F.lit(n))
     chosen = (
         sample.withColumn("_place", place)
@@ -193,7 +193,7 @@ def fit_isolation_forest(
 ) -> tuple[IsolationForest, DataFrame]:
     """Grow the forest (one task group per tree) and set its threshold.
 
-    Returns the model and the training scores, which are checkpointed because
+    Returns the model and the training scores, which are written once because
     the threshold and the predictions both read them.
     """
     names = list(names)
@@ -212,7 +212,7 @@ def fit_isolation_forest(
         .toPandas()  # at most trees * (2 * SUBSAMPLE - 1) rows
     )
     model = _forest_from_nodes(nodes, names, per_tree, trees, contamination)
-    scores = checkpointed(model.score(matrix))
+    scores = materialised(model.score(matrix))
     threshold = exact_quantile(scores, "ml_anomaly_score", 1 - contamination)
     return replace(model, threshold=threshold), scores
 
@@ -387,4 +387,4 @@ def with_hybrid_score(scored: DataFrame, scores: DataFrame) -> DataFrame:
 
 def sample_rows(df: DataFrame, n: int, random_state: int = SEED) -> DataFrame:
     """A repeatable uniform sample of ``n`` rows: the lowest seeded hashes."""
-    return df.orderBy(F.xxhash64("transaction_id", F.lit(random_state)), "transaction_id").limit(n)
+    return lowest_hashes(df, "transaction_id", n, random_state).drop(HASH)

@@ -6,7 +6,6 @@ rounded because distributed sums add in varying order.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime
 
@@ -63,10 +62,6 @@ def single(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("float") for c in columns})
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    return f"{settings.checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def heavy_users(tx: DataFrame) -> HotKeys:
     return find_hot_keys(tx, limit=FEW_ROWS)
 
@@ -268,7 +263,7 @@ def alert_delete(spark, d):
 @query
 def alert_table_scan(spark, d):
     """Two loads through the stored table, then its scan."""
-    store = AlertStore(spark, scratch(spark, "alerts"))
+    store = AlertStore(spark, settings.scratch_path(spark, "alerts"))
     flags = R.detect_high_value_transactions(transactions(spark, d))
     store.store_alerts(S.score_flags(flags), created_at=FIRST_LOAD)
     store.store_alerts(scored_view(spark, d), created_at=SECOND_LOAD)
@@ -395,8 +390,8 @@ def standardised_features(spark, d):
 @query
 def stored_scaler(spark, d):
     """Scaling with parameters that went through storage."""
-    matrix = settings.checkpointed(X.prepare_for_ml(transactions(spark, d)))
-    path = scratch(spark, "models")
+    matrix = settings.materialised(X.prepare_for_ml(transactions(spark, d)))
+    path = settings.scratch_path(spark, "models")
     fitted = model_store.Models(scaler=M.fit_scaler(matrix, X.FEATURE_COLUMNS))
     model_store.save_models(spark, fitted, path)
     loaded = model_store.load_models(spark, path).scaler
@@ -484,7 +479,7 @@ def _methods(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, DataFram
     tx = transactions(spark, d)
     rules = E.rules_based_ids(R.all_flags(tx))
     ml = E.kmeans_ids(_distances(D.scaled_matrix(tx)))
-    rules, ml = settings.checkpointed(rules), settings.checkpointed(ml)
+    rules, ml = settings.materialised(rules), settings.materialised(ml)
     return tx, {E.RULES: rules, E.KMEANS: ml, E.HYBRID: E.hybrid_ids(rules, ml)}
 
 
@@ -676,13 +671,13 @@ def load_stats(spark, d):
 @query
 def csv_round_trip(spark, d):
     """Transactions with their calendar columns, written as CSV and read back."""
-    path = IO.write_csv(IO.with_calendar(transactions(spark, d)), scratch(spark, "transactions"))
+    path = IO.write_csv(IO.with_calendar(transactions(spark, d)), settings.scratch_path(spark, "transactions"))
     return IO.load_transactions(spark, path)
 
 
 @query
 def alert_csv_export(spark, d):
-    path = exports.create_alert_csv(scored_view(spark, d), scratch(spark, "alert-export"))
+    path = exports.create_alert_csv(scored_view(spark, d), settings.scratch_path(spark, "alert-export"))
     return IO.normalise(IO.read_csv(spark, path)).withColumn(
         "final_risk_score", F.col("final_risk_score").cast("int")
     )
@@ -692,7 +687,7 @@ def alert_csv_export(spark, d):
 def report_suite_users(spark, d):
     """The users sheet of the report suite, read back."""
     suite = exports.generate_all_reports(
-        scored_view(spark, d), transactions(spark, d), scratch(spark, "reports"), stamp="run"
+        scored_view(spark, d), transactions(spark, d), settings.scratch_path(spark, "reports"), stamp="run"
     )
     users = spark.read.parquet(f"{suite['sheets']}/top_risky_users")
     return rounded(users, 4, "avg_risk_score", "total_amount")
@@ -704,7 +699,7 @@ def report_suite_users(spark, d):
 def _run_stream(spark: SparkSession, d: str, rule: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Run the rule over the tables as file streams until they are consumed."""
     stream = transactions(spark, d, streaming=True)
-    out = scratch(spark, "stream")
+    out = settings.scratch_path(spark, "stream")
     running = (
         rule(stream)
         .writeStream.format("parquet")

@@ -13,7 +13,7 @@ from ledgerlens.operators import models as M
 from ledgerlens.operators.features import FEATURE_COLUMNS, prepare_for_ml
 from ledgerlens.operators.rules import RuleSettings, all_flags, wide_flags
 from ledgerlens.operators.scoring import score_flags
-from ledgerlens.settings import checkpointed
+from ledgerlens.settings import materialised
 
 
 def score_transactions(
@@ -43,9 +43,9 @@ def run_detection(
 
 
 def scaled_matrix(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
-    """Scaled features, checkpointed: fitting and scoring read them repeatedly
+    """Scaled features, written once: fitting and scoring read them repeatedly
     and the windows behind them should run once."""
-    matrix = checkpointed(prepare_for_ml(tx, hot))
+    matrix = materialised(prepare_for_ml(tx, hot))
     return M.fit_scaler(matrix, FEATURE_COLUMNS).transform(matrix)
 
 
@@ -87,7 +87,7 @@ def compare_methods(
     forest = E.isolation_forest_ids(forest_predictions(matrix, contamination))
     clusters = E.kmeans_ids(kmeans_outliers(matrix, n_clusters, percentile))
     # Small, and each feeds several results.
-    rules, forest, clusters = (checkpointed(ids) for ids in (rules, forest, clusters))
+    rules, forest, clusters = (materialised(ids) for ids in (rules, forest, clusters))
     ids = {
         E.RULES: rules,
         E.FOREST: forest,

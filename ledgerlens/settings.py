@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,17 +28,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="ledgerlens-checkpoint-")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-checkpoint-"))
+    return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(checkpoint_dir(df.sparkSession))
-    return df.checkpoint()
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/ledgerlens/{name}-{uuid.uuid4().hex}"
+
+
+def materialised(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write the rows once to the shared folder and read them from there.
+
+    This cuts the lineage, survives lost executors, and as Parquet lets later
+    readers skip the columns they do not need.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

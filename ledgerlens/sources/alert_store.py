@@ -1,64 +1,76 @@
 """Alert table kept as versioned Parquet.
 
-A path cannot be overwritten while it is read, so every change writes a new
-``version=N`` directory.  A version counts once its ``_SUCCESS`` marker is
-there, so a job that dies half-way leaves the previous version in force.
+A path cannot be overwritten while it is read, so every change adds a
+``version=N`` directory: inserts add only the new rows, other changes a full
+snapshot.  A version counts once its ``_SUCCESS`` marker is there, so a job
+that dies half-way leaves the previous state in force.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import alerts as A
 
+_FULL, _ADDED = "full", "added"
+
 
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
+class Version(NamedTuple):
+    number: int
+    kind: str
+    next_id: int
+    path: str
+
+
 class AlertStore:
     """The alert table at ``path`` on any file system Spark can reach."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        if self._latest() is None:
+        if not self._versions():
             self._write(spark.createDataFrame([], A.ALERT_SCHEMA), 1)
 
     # --- versions
 
-    def _files(self):
+    def _versions(self) -> list[Version]:
+        """Complete versions from the newest full snapshot on."""
         jvm = self.spark.sparkContext._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _latest(self) -> tuple[int, int] | None:
-        """Newest complete version and the next alert id it recorded."""
-        jvm, files = self._files()
-        done = files.globStatus(
-            jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/next_id=*/_SUCCESS")
-        )
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/*/next_id=*/_SUCCESS")
+        files = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         found = []
-        for status in done or []:
-            *_, version, next_id, _ = status.getPath().toString().split("/")
-            found.append((int(version.split("=")[1]), int(next_id.split("=")[1])))
-        return max(found, default=None)
-
-    def _write(self, alerts: DataFrame, next_id: int) -> None:
-        latest = self._latest()
-        version = 1 if latest is None else latest[0] + 1
+        for status in files.globStatus(pattern) or []:
+            folder = status.getPath().getParent().toString()
+            *_, number, kind, next_id = folder.split("/")
+            found.append(
+                Version(int(number.split("=")[1]), kind, int(next_id.split("=")[1]), folder)
+            )
+        found.sort()
+        full = max((i for i, v in enumerate(found) if v.kind == _FULL), default=0)
+        return found[full:]
+
+    def _next_id(self) -> int:
+        """The highest id ever given out, plus one; ids are not used again."""
+        return self._versions()[-1].next_id
+
+    def _write(self, alerts: DataFrame, next_id: int, kind: str = _FULL) -> None:
+        versions = self._versions()
+        number = versions[-1].number + 1 if versions else 1
         alerts.select(*A.ALERT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/version={version:06d}/next_id={next_id}"
+            f"{self.path}/version={number:06d}/{kind}/next_id={next_id}"
         )
 
     def read(self) -> DataFrame:
-        version, next_id = self._latest()
-        return self.spark.read.schema(A.ALERT_SCHEMA).parquet(
-            f"{self.path}/version={version:06d}/next_id={next_id}"
-        )
+        paths = [v.path for v in self._versions()]
+        return self.spark.read.schema(A.ALERT_SCHEMA).parquet(*paths)
 
     # --- changes
 
@@ -70,13 +82,14 @@ class AlertStore:
         Returns the number of alerts stored.
         """
         created_at = created_at or _now()
-        current = self.read()
-        _, start = self._latest()
+        current, start = self.read(), self._next_id()
         incoming = A.upsert_rows if overwrite else A.new_alerts
         fresh = A.with_alert_ids(incoming(current, scored, created_at), start)
-        stored = fresh.count()  # checkpointed, so this only counts
-        if stored:
+        stored = fresh.count()  # already written, so this only counts
+        if stored and overwrite:
             self._write(A.merge(current, fresh), start + stored)
+        elif stored:
+            self._write(fresh, start + stored, _ADDED)
         return stored
 
     def update_alert_status(
@@ -98,8 +111,8 @@ class AlertStore:
         alerts = self.read()
         matched = alerts.join(updates.select("alert_id"), "alert_id", "left_semi").count()
         if matched:
-            _, next_id = self._latest()
-            self._write(A.update_status(alerts, updates, reviewed_at or _now()), next_id)
+            changed = A.update_status(alerts, updates, reviewed_at or _now())
+            self._write(changed, self._next_id())
         return matched
 
     def delete_alert(self, alert_id: int) -> bool:
@@ -107,8 +120,7 @@ class AlertStore:
         ids = self.spark.createDataFrame([(alert_id,)], "alert_id long")
         found = alerts.join(F.broadcast(ids), "alert_id", "left_semi").count() > 0
         if found:
-            _, next_id = self._latest()
-            self._write(A.delete_alerts(alerts, ids), next_id)
+            self._write(A.delete_alerts(alerts, ids), self._next_id())
         return found
 
     def clear_all_alerts(self, confirm: bool = False) -> int:
@@ -116,8 +128,7 @@ class AlertStore:
         if not confirm:
             return 0
         count = self.read().count()
-        _, next_id = self._latest()
-        self._write(self.spark.createDataFrame([], A.ALERT_SCHEMA), next_id)
+        self._write(self.spark.createDataFrame([], A.ALERT_SCHEMA), self._next_id())
         return count
 
     # --- queries
