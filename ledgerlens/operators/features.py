@@ -45,6 +45,12 @@ FEATURE_COLUMNS = [
     "hours_since_last", "days_since_last", "is_rapid_succession", "is_dormant_reactivation",
 ]
 
+# Input columns that are never features.
+NOT_FEATURES = [
+    "transaction_id", "user_id", "timestamp", "merchant", "counterparty", "description",
+    "location", "status", "is_suspicious", "suspicious_pattern", "date",
+]
+
 _ORDER = ["timestamp", "transaction_id"]
 #: Most type names whose codes are sent to every executor.
 _MAX_BROADCAST_TYPES = 10_000
@@ -264,6 +270,12 @@ def create_all_features(
     return add_type_codes(result) if type_codes else result
 
 
+def feature_names(features: DataFrame) -> list[str]:
+    """Every engineered or numeric column, including the three that are not
+    part of the matrix (type name, type code and the interval)."""
+    return [c for c in features.columns if c not in NOT_FEATURES]
+
+
 def get_feature_matrix(features: DataFrame, names: list[str] | None = None) -> DataFrame:
     """``transaction_id`` and the numeric features, missing values as 0."""
     names = names or FEATURE_COLUMNS

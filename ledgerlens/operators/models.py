@@ -33,7 +33,8 @@ CONTAMINATION = 0.05
 CLUSTERS = 5
 RESTARTS = 10
 MAX_ITERATIONS = 300
-PARALLEL_FITS = 4
+PARALLEL_FITS = 5
+PARALLEL_FIT_ROWS = 5_000_000
 OUTLIER_PERCENTILE = 95
 SEED = 42
 ML_WEIGHT = 10
@@ -260,7 +261,11 @@ def with_centroid_distance(
 def flag_distance_outliers(
     distances: DataFrame, percentile: float = OUTLIER_PERCENTILE, limit: int | None = None
 ) -> DataFrame:
-    """``is_outlier``: distance above its exact percentile."""
+    """``is_outlier``: distance above its exact percentile.
+
+    The distances are written once: the percentile and the flags read them.
+    """
+    distances = materialised(distances, "distances")
     threshold = exact_quantile(distances, "distance_to_centroid", percentile / 100, limit)
     return distances.withColumn(
         "is_outlier", F.col("distance_to_centroid") > F.lit(threshold)
@@ -276,19 +281,19 @@ def fit_kmeans(
 ) -> KMeansModel:
     """Best of ``restarts`` runs by within-cluster cost."""
     vectors = VectorAssembler(inputCols=list(names), outputCol="features").transform(matrix)
-    vectors = vectors.select("features").persist()
+    vectors = vectors.select("features")  # each fit caches its own input
 
     def run(restart: int) -> tuple[float, int, KMeansModel]:
         seed = random_state + restart
         model = KMeans(k=n_clusters, maxIter=MAX_ITERATIONS, seed=seed).fit(vectors)
         return model.summary.trainingCost, restart, model
 
-    try:
-        # Small jobs per iteration: several restarts share the executors.
-        with ThreadPool(min(PARALLEL_FITS, restarts)) as pool:
-            return min(pool.map(inheritable_thread_target(run), range(restarts)))[2]
-    finally:
-        vectors.unpersist()
+    # Small inputs leave executors idle between iterations, so their restarts
+    # run side by side; a large one would not fit the cache several times.
+    together = PARALLEL_FITS if matrix.count() <= PARALLEL_FIT_ROWS else 1
+    with ThreadPool(together) as pool:
+        fit = inheritable_thread_target(matrix.sparkSession)(run)
+        return min(pool.map(fit, range(restarts)), key=lambda done: done[:2])[2]
 
 
 def predict_kmeans_outliers(

@@ -26,6 +26,7 @@ from ledgerlens.plans.fixture import transactions
 from ledgerlens.sources import exports, model_store
 from ledgerlens.sources import transactions as IO
 from ledgerlens.sources.alert_store import AlertStore
+from ledgerlens.streaming.alert_sink import write_alerts
 from ledgerlens.streaming.rules import high_value_stream, velocity_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -403,24 +404,21 @@ CENTERS = [[0.0] * len(X.FEATURE_COLUMNS), [1.0] * len(X.FEATURE_COLUMNS)]
 
 
 def _distances(matrix: DataFrame, limit: int | None = None) -> DataFrame:
-    placed = M.with_centroid_distance(matrix, X.FEATURE_COLUMNS, CENTERS)
+    placed = M.with_centroid_distance(matrix, X.FEATURE_COLUMNS, CENTERS).select(
+        "transaction_id", "cluster", "distance_to_centroid"
+    )
     return M.flag_distance_outliers(placed, limit=limit)
 
 
 @query
 def distance_outliers(spark, d):
-    return rounded(_distances(_matrix(spark, d)), 4, "distance_to_centroid").select(
-        "transaction_id", "cluster", "distance_to_centroid", "is_outlier"
-    )
+    return rounded(_distances(_matrix(spark, d)), 4, "distance_to_centroid")
 
 
 @query
 def distance_outliers_split(spark, d):
     """The same with the percentile found piece by piece."""
-    found = _distances(_matrix(spark, d), limit=1000)
-    return rounded(found, 4, "distance_to_centroid").select(
-        "transaction_id", "cluster", "distance_to_centroid", "is_outlier"
-    )
+    return rounded(_distances(_matrix(spark, d), limit=1000), 4, "distance_to_centroid")
 
 
 @query
@@ -719,3 +717,13 @@ def stream_high_value(spark, d):
 @query
 def stream_velocity(spark, d):
     return _run_stream(spark, d, velocity_stream)
+
+
+@query
+def stream_alert_sink(spark, d):
+    """Streamed rule hits merged into an alert table, then the table."""
+    path = settings.scratch_path(spark, "streamed-alerts")
+    store = AlertStore(spark, f"{path}/table")
+    flags = high_value_stream(transactions(spark, d, streaming=True))
+    write_alerts(flags, store, f"{path}/checkpoint", created_at=FIRST_LOAD).awaitTermination()
+    return store.read()

@@ -670,4 +670,7 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
         ),
         "stream_high_value": high_value,
         "stream_velocity": velocity,
+        "stream_alert_sink": _with(
+            [TX, HIGH_VALUE, *FIRST_ALERTS], "select * from first_alerts"
+        ),
     }

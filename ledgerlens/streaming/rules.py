@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,24 +31,32 @@ def high_value_stream(stream: DataFrame, threshold: float = 10_000) -> DataFrame
 
 
 def _earliest_per_slot(rows: pd.DataFrame, needed: int, width: int) -> pd.DataFrame:
-    """The ``needed`` earliest rows of each window-wide slot, with ties.
+    """Rows in time order, of each window-wide slot the ``needed`` earliest
+    with ties.
 
     Later rows of a slot cannot change where the first burst ends, which
     bounds the state of a user however many rows arrive.
     """
-    rows = rows.sort_values(["micros", "transaction_id"])
-    rank = rows.groupby(rows["micros"] // width)["micros"].rank(method="min")
-    return rows[rank <= needed]
+    rows = rows.iloc[np.lexsort((rows["transaction_id"], rows["micros"]))]
+    if len(rows) <= needed:
+        return rows
+    micros = rows["micros"].to_numpy()
+    _, first, slot = np.unique(micros // width, return_index=True, return_inverse=True)
+    last = np.append(first[1:], len(micros)) - 1
+    latest = micros[np.minimum(first + needed - 1, last)]
+    return rows[micros <= latest[slot]]
 
 
 def _first_burst(rows: pd.DataFrame, needed: int, width: int) -> pd.DataFrame | None:
     """Rows of the earliest window with ``needed`` rows, if there is one."""
-    back = rows["micros"].shift(needed - 1)
-    ends = rows["micros"][rows["micros"] - back <= width]
-    if ends.empty:
+    if len(rows) < needed:
         return None
-    end = ends.iloc[0]
-    return rows[rows["micros"].between(end - width, end)]
+    micros = rows["micros"].to_numpy()
+    complete = micros[needed - 1 :] - micros[: len(micros) - needed + 1] <= width
+    if not complete.any():
+        return None
+    end = micros[needed - 1 :][complete.argmax()]
+    return rows[(micros >= end - width) & (micros <= end)]
 
 
 def velocity_stream(

@@ -115,6 +115,7 @@ def test_all_features_use_one_user_shuffle(make_tx):
     df = X.create_all_features(make_tx(rows(1)), NO_HOT, type_codes=False)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(user_id") == 1
-    assert {"time_since_last", "trans_type_encoded"} <= set(
-        X.create_all_features(make_tx(rows(1)), NO_HOT).columns
-    )
+    names = X.feature_names(X.create_all_features(make_tx(rows(1)), NO_HOT))
+    assert len(names) == 40
+    assert set(names) - set(X.FEATURE_COLUMNS) == {
+        "transaction_type", "trans_type_encoded", "time_since_last"}
