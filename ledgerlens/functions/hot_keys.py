@@ -29,8 +29,10 @@ class HotKeys:
 
     @property
     def piece_rows(self) -> int:
-        """Rows aimed at per piece when these keys are split in order."""
-        return max(self.limit, sum(self.counts.values()) // settings.MAX_PIECES)
+        """Rows aimed at per piece when these keys are split in order: small
+        enough to keep many executors busy, yet few pieces in total."""
+        few = sum(self.counts.values()) // settings.MAX_PIECES
+        return max(self.limit // settings.PIECES_PER_LIMIT, few, 1)
 
     def frame(self, df: DataFrame) -> DataFrame:
         schema = T.StructType([T.StructField(self.key, df.schema[self.key].dataType)])
@@ -56,11 +58,18 @@ def without_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
     return df.join(F.broadcast(hot.frame(df)), hot.key, "left_anti")
 
 
+#: Number given to each written row of a hot key; tells copies apart.
+ROW = "_row"
+
+
 def only_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """The hot keys' rows, written once: the routes for hot keys read them
-    several times and should not scan the whole input for each."""
+    """The hot keys' rows with a fixed row number, written once.
+
+    The routes for hot keys read them several times and should not scan the
+    whole input for each.  The number lets even identical rows be split.
+    """
     rows = df.join(F.broadcast(hot.frame(df)), hot.key, "left_semi")
-    return settings.materialised(rows, "hot-rows")
+    return settings.materialised(rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
 
 
 def by_weight(
@@ -76,4 +85,4 @@ def by_weight(
     result = light(without_hot(df, hot))
     if not hot:
         return result
-    return result.unionByName(heavy(only_hot(df, hot)))
+    return result.unionByName(heavy(only_hot(df, hot).drop(ROW)))

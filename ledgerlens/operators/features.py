@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
-from ledgerlens.functions.hot_keys import HotKeys, find_hot_keys, only_hot, without_hot
+from ledgerlens.functions.hot_keys import ROW, HotKeys, find_hot_keys, only_hot, without_hot
 from ledgerlens.functions.numbering import number_rows
 from ledgerlens.functions.pieces import LEAD_IN, PIECE, cut_points, with_lead_in, with_piece
 from ledgerlens.functions.quantiles import exact_quantiles
@@ -172,8 +172,7 @@ def _against_user(df: DataFrame) -> DataFrame:
     )
 
 
-def _rolling(df: DataFrame, by: WindowSpec) -> DataFrame:
-    in_order = by.orderBy(*_ORDER)
+def _rolling(df: DataFrame, in_order: WindowSpec) -> DataFrame:
     short = in_order.rowsBetween(1 - SHORT_ROWS, 0)
     long = in_order.rowsBetween(1 - LONG_ROWS, 0)
     return df.withColumns(
@@ -191,8 +190,8 @@ def _rolling(df: DataFrame, by: WindowSpec) -> DataFrame:
     )
 
 
-def _frequency(df: DataFrame, by: WindowSpec) -> DataFrame:
-    previous = F.lag("timestamp").over(by.orderBy(*_ORDER))
+def _frequency(df: DataFrame, in_order: WindowSpec) -> DataFrame:
+    previous = F.lag("timestamp").over(in_order)
     df = df.withColumn("_previous", previous).withColumn(
         "time_since_last", F.col("timestamp") - F.col("_previous")
     )
@@ -221,26 +220,24 @@ def _over_users(
     rows = placed(df)
     hot = find_hot_keys(rows) if hot is None else hot
 
-    def steps(part: DataFrame, by: WindowSpec) -> DataFrame:
-        return reduce(lambda d, step: step(d, by), ordered, part)
+    def steps(part: DataFrame, in_order: WindowSpec) -> DataFrame:
+        return reduce(lambda d, step: step(d, in_order), ordered, part)
 
     light = without_hot(rows, hot)
     if stats:
         light = _stats_by_window(light)
-    result = steps(light, Window.partitionBy("user_id"))
+    result = steps(light, Window.partitionBy("user_id").orderBy(*_ORDER))
     if hot:
         heavy = only_hot(rows, hot)
-        keys = ["user_id"]
-        if ordered:
-            cuts = cut_points(heavy, keys, _ORDER, hot.piece_rows)
-            split = with_lead_in(with_piece(heavy, keys, _ORDER, cuts), keys, _ORDER, LONG_ROWS - 1)
-            split = steps(split, Window.partitionBy("user_id", PIECE))
-            split = split.filter(~F.col(LEAD_IN)).drop(LEAD_IN, PIECE)
-        else:
-            split = heavy
         if stats:
-            split = _stats_by_join(split, hot)
-        result = result.unionByName(split)
+            heavy = _stats_by_join(heavy, hot)
+        if ordered:
+            keys, order = ["user_id"], [*_ORDER, ROW]
+            cuts = cut_points(heavy, keys, order, hot.piece_rows)
+            split = with_lead_in(with_piece(heavy, keys, order, cuts), keys, order, LONG_ROWS - 1)
+            split = steps(split, Window.partitionBy("user_id", PIECE).orderBy(*order))
+            heavy = split.filter(~F.col(LEAD_IN)).drop(LEAD_IN, PIECE)
+        result = result.unionByName(heavy.drop(ROW))
     return _against_user(result) if stats else result
 
 

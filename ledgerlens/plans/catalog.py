@@ -57,6 +57,11 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def cents(df: DataFrame, *columns: str) -> DataFrame:
+    """Sums of amounts, to the cent."""
+    return rounded(df, 2, *columns)
+
+
 def single(df: DataFrame, *columns: str) -> DataFrame:
     """Averages of cents often end in a 5 that decimal rounding may turn either
     way; single precision has no such ties."""
@@ -158,19 +163,19 @@ def top_risky(spark, d):
 
 @query
 def high_risk_users(spark, d):
-    return rounded(S.get_high_risk_users(scored_view(spark, d)), 4, "avg_risk_score", "total_amount")
+    return cents(rounded(S.get_high_risk_users(scored_view(spark, d)), 4, "avg_risk_score"), "total_amount")
 
 
 @query
 def critical_risk_users(spark, d):
     users = S.get_high_risk_users(scored_view(spark, d), "CRITICAL")
-    return rounded(users, 4, "avg_risk_score", "total_amount")
+    return cents(rounded(users, 4, "avg_risk_score"), "total_amount")
 
 
 @query
 def risk_report(spark, d):
     report = S.generate_risk_report(scored_view(spark, d))
-    return rounded(report, 4, "average_score", "total_flagged_amount")
+    return cents(rounded(report, 4, "average_score"), "total_flagged_amount")
 
 
 @query
@@ -252,7 +257,7 @@ def alert_stats_status(spark, d):
 
 @query
 def alert_top_users(spark, d):
-    return rounded(A.top_alert_users(_all_alerts(spark, d)), 4, "total_amount")
+    return cents(A.top_alert_users(_all_alerts(spark, d)), "total_amount")
 
 
 @query
@@ -542,19 +547,19 @@ def method_comparison(spark, d):
 @query
 def summary_report(spark, d):
     report = P.generate_summary_report(scored_view(spark, d), transactions(spark, d))
-    return rounded(report, 4, "total_volume", "flagged_volume", "avg_risk_score", "flag_rate")
+    return cents(rounded(report, 4, "avg_risk_score", "flag_rate"), "total_volume", "flagged_volume")
 
 
 @query
 def run_summary(spark, d):
     report = P.run_summary(transactions(spark, d), scored_view(spark, d))
-    return rounded(report, 4, "flagged_amount", "average_score", "flag_rate")
+    return cents(rounded(report, 4, "average_score", "flag_rate"), "flagged_amount")
 
 
 @query
 def dataset_overview(spark, d):
     report = P.dataset_overview(transactions(spark, d), scored_view(spark, d))
-    return rounded(report, 4, "total_volume", "alert_rate")
+    return cents(rounded(report, 4, "alert_rate"), "total_volume")
 
 
 @query
@@ -564,7 +569,7 @@ def high_risk_alerts(spark, d):
 
 @query
 def top_users_report(spark, d):
-    return rounded(P.top_risky_users(scored_view(spark, d)), 4, "avg_risk_score", "total_amount")
+    return cents(rounded(P.top_risky_users(scored_view(spark, d)), 4, "avg_risk_score"), "total_amount")
 
 
 @query
@@ -631,7 +636,7 @@ def alert_timeline(spark, d):
 @query
 def dashboard_top_users(spark, d):
     users = P.dashboard_top_users(scored_view(spark, d))
-    return rounded(users, 4, "avg_risk_score", "total_amount")
+    return cents(rounded(users, 4, "avg_risk_score"), "total_amount")
 
 
 @query
@@ -663,7 +668,7 @@ def amount_describe_split(spark, d):
 @query
 def load_stats(spark, d):
     stats = IO.load_stats(transactions(spark, d))
-    return rounded(stats, 4, "total_volume", "labelled_percent")
+    return cents(rounded(stats, 4, "labelled_percent"), "total_volume")
 
 
 @query
@@ -688,7 +693,7 @@ def report_suite_users(spark, d):
         scored_view(spark, d), transactions(spark, d), settings.scratch_path(spark, "reports"), stamp="run"
     )
     users = spark.read.parquet(f"{suite['sheets']}/top_risky_users")
-    return rounded(users, 4, "avg_risk_score", "total_amount")
+    return cents(rounded(users, 4, "avg_risk_score"), "total_amount")
 
 
 # --- streaming ------------------------------------------------------------------------

@@ -345,7 +345,7 @@ def _users(condition: str) -> str:
 select user_id, count(transaction_id) as flagged_transaction_count,
        round(avg(final_risk_score), 4) as avg_risk_score, max(final_risk_score) as max_risk_score,
        cast(sum(final_risk_score) as bigint) as total_risk_score,
-       round(sum(amount), 4) as total_amount,
+       round(sum(amount), 2) as total_amount,
        case when count(*) filter (where risk_level = 'CRITICAL')
                  >= count(*) filter (where risk_level = 'HIGH') then 'CRITICAL' else 'HIGH' end
          as primary_risk_level
@@ -354,7 +354,7 @@ from scored where {condition} group by user_id"""
 
 _TOP_USERS = """
 select user_id, count(*) as alert_count, round(avg(final_risk_score), 4) as avg_risk_score,
-       max(final_risk_score) as max_risk_score, round(sum(amount), 4) as total_amount
+       max(final_risk_score) as max_risk_score, round(sum(amount), 2) as total_amount
 from scored group by user_id"""
 _COMBINATIONS = "select rule_triggered, count(*) as count from scored group by 1"
 _PERCENTAGES = f"""
@@ -444,7 +444,7 @@ def oracle_sql() -> dict[str, str]:
             "select count(*) as total_flagged, round(avg(final_risk_score), 4) as average_score, "
             "quantile_cont(cast(final_risk_score as double), 0.5) as median_score, "
             "max(final_risk_score) as max_score, count(distinct user_id) as users_flagged, "
-            "round(sum(amount), 4) as total_flagged_amount from scored",
+            "round(sum(amount), 2) as total_flagged_amount from scored",
         ),
         "rule_combinations": _with(SCORED, _COMBINATIONS),
         "top_rule_combinations": _with(
@@ -480,7 +480,7 @@ def oracle_sql() -> dict[str, str]:
         "alert_status_update": _with(ALL_ALERTS, "select * from reviewed"),
         "alert_top_users": _with(
             ALL_ALERTS,
-            "select user_id, count(*) as alert_count, round(sum(amount), 4) as total_amount "
+            "select user_id, count(*) as alert_count, round(sum(amount), 2) as total_amount "
             "from alerts group by 1 order by alert_count desc, user_id limit 10",
         ),
         "alert_delete": _with(ALL_ALERTS, "select * from alerts where risk_level <> 'LOW'"),
@@ -564,9 +564,9 @@ best as (
         ),
         "summary_report": _with(
             SCORED,
-            "select * from (select count(*) as total_transactions, round(sum(amount), 4) as "
+            "select * from (select count(*) as total_transactions, round(sum(amount), 2) as "
             "total_volume, count(distinct user_id) as unique_users from tx), (select count(*) as "
-            "flagged_transactions, round(sum(amount), 4) as flagged_volume, count(distinct user_id) "
+            "flagged_transactions, round(sum(amount), 2) as flagged_volume, count(distinct user_id) "
             "as flagged_users, round(avg(final_risk_score), 4) as avg_risk_score, "
             "max(final_risk_score) as max_risk_score, round(count(*) * 100.0 / (select count(*) "
             "from tx), 4) as flag_rate from scored)",
@@ -574,7 +574,7 @@ best as (
         "run_summary": _with(
             SCORED,
             "select (select count(*) from tx) as processed, count(*) as flagged, "
-            "round(sum(amount), 4) as flagged_amount, round(avg(final_risk_score), 4) as "
+            "round(sum(amount), 2) as flagged_amount, round(avg(final_risk_score), 4) as "
             "average_score, max(final_risk_score) as highest_score, count(distinct user_id) as "
             "users_to_review, (select count(*) from tx) - count(*) as clear, "
             "round(count(*) * 100.0 / (select count(*) from tx), 4) as flag_rate from scored",
@@ -582,7 +582,7 @@ best as (
         "dataset_overview": _with(
             SCORED,
             "select count(*) as total_transactions, count(distinct user_id) as unique_users, "
-            "round(sum(amount), 4) as total_volume, (select count(*) from scored) as "
+            "round(sum(amount), 2) as total_volume, (select count(*) from scored) as "
             "alerts_generated, round((select count(*) from scored) * 100.0 / count(*), 4) as "
             "alert_rate from tx",
         ),
@@ -633,7 +633,7 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
         "dashboard_top_users": _with(
             SCORED,
             "select user_id, count(*) as alert_count, round(avg(final_risk_score), 4) as "
-            "avg_risk_score, round(sum(amount), 4) as total_amount from scored group by 1 "
+            "avg_risk_score, round(sum(amount), 2) as total_amount from scored group by 1 "
             "order by alert_count desc, user_id limit 10",
         ),
         "pattern_counts": _with(
@@ -653,7 +653,7 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
             [TX],
             'select count(*) as total_transactions, min("timestamp") as first_timestamp, '
             'max("timestamp") as last_timestamp, count(distinct user_id) as unique_users, '
-            "round(sum(amount), 4) as total_volume, count(suspicious_pattern) as "
+            "round(sum(amount), 2) as total_volume, count(suspicious_pattern) as "
             "labelled_suspicious, round(count(suspicious_pattern) / count(*) * 100, 4) as "
             "labelled_percent from tx",
         ),

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 HOT_ROWS_CONF = "spark.ledgerlens.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
+#: A hot key is split into pieces of this fraction of the limit.
+PIECES_PER_LIMIT = 5
+
 #: No ordered split ever uses more pieces than about this many.
 MAX_PIECES = 10_000
 

@@ -81,6 +81,15 @@ def test_matrix_equals_pandas(make_tx, limit):
         assert np.allclose(got[name], want[name], rtol=1e-7, atol=1e-6), name
 
 
+def test_copies_of_one_transaction_are_split_too(make_tx):
+    data = [("same", "U", 5, 10)] * 300 + [(f"T{i:02d}", "U", i, i + 1) for i in range(40)]
+    tx = make_tx(data)
+    flat = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in r)
+                             for r in df.collect())
+    assert flat(X.prepare_for_ml(tx, find_hot_keys(tx, limit=50))) == flat(
+        X.prepare_for_ml(tx, NO_HOT))
+
+
 def test_right_closed_bins_and_missing_amounts(make_tx):
     values = [100, 100.01, 500, 1000, 5000, 10000, 50000, 50001, 0, None]
     tx = make_tx([(f"T{i}", "U", i, v) for i, v in enumerate(values)])
