@@ -30,6 +30,7 @@ HEADLINE = [
     "high_risk_users",
     "risk_report",
     "summary_report",
+    "full_run",
     "alerts_insert_ignore",
     "alerts_upsert",
     "feature_matrix",

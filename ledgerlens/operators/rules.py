@@ -250,7 +250,7 @@ def _hot_burst(df: DataFrame, burst: Burst) -> DataFrame:
         .filter(F.col("_size") >= burst.rows)
         .groupBy("user_id")
         .agg(F.min(F.struct("timestamp", "_size")).alias("_first"))
-        .select("user_id", F.col("_first.timestamp").alias("_end"), F.col("_first._size").alias("_size"))
+        .select("user_id", F.col("_first.timestamp").alias("_end"), "_first._size")
     )
     # One row per hot user at most.
     inside = F.col("timestamp").between(F.col("_end") - F.lit(burst.window), F.col("_end"))

@@ -227,8 +227,8 @@ def rule_combinations(scored: DataFrame, n: int | None = None) -> DataFrame:
 
 
 def level_percentages(scored: DataFrame) -> DataFrame:
-    """Distribution with each level's share of all flagged transactions."""
-    names = list(RISK_LEVELS)
+    """Each level's count and share of all flagged transactions, gravest first."""
+    names = list(reversed(RISK_LEVELS))
     counts = scored.agg(
         F.count(F.lit(1)).alias("_total"),
         *[F.count_if(F.col("risk_level") == n).alias(n) for n in names],

@@ -163,7 +163,8 @@ def top_risky(spark, d):
 
 @query
 def high_risk_users(spark, d):
-    return cents(rounded(S.get_high_risk_users(scored_view(spark, d)), 4, "avg_risk_score"), "total_amount")
+    users = S.get_high_risk_users(scored_view(spark, d))
+    return cents(rounded(users, 4, "avg_risk_score"), "total_amount")
 
 
 @query
@@ -458,6 +459,15 @@ def pca_projection(spark, d):
     return M.apply_pca(_matrix(spark, d), X.FEATURE_COLUMNS)[0]
 
 
+@query
+def full_run(spark, d):
+    """Load, rules, scores, alert table and analysis in one run."""
+    store = AlertStore(spark, settings.scratch_path(spark, "full-run"))
+    run = D.detect_and_store(transactions(spark, d), store, created_at=FIRST_LOAD)
+    summary = cents(rounded(run.summary, 4, "average_score", "flag_rate"), "flagged_amount")
+    return summary.withColumn("stored", F.lit(run.stored).cast("long"))
+
+
 @query
 def ml_flagged_alerts(spark, d):
     return D.run_detection(transactions(spark, d), use_ml=True)
@@ -547,7 +557,8 @@ def method_comparison(spark, d):
 @query
 def summary_report(spark, d):
     report = P.generate_summary_report(scored_view(spark, d), transactions(spark, d))
-    return cents(rounded(report, 4, "avg_risk_score", "flag_rate"), "total_volume", "flagged_volume")
+    report = rounded(report, 4, "avg_risk_score", "flag_rate")
+    return cents(report, "total_volume", "flagged_volume")
 
 
 @query
@@ -569,7 +580,8 @@ def high_risk_alerts(spark, d):
 
 @query
 def top_users_report(spark, d):
-    return cents(rounded(P.top_risky_users(scored_view(spark, d)), 4, "avg_risk_score"), "total_amount")
+    users = P.top_risky_users(scored_view(spark, d))
+    return cents(rounded(users, 4, "avg_risk_score"), "total_amount")
 
 
 @query
@@ -674,13 +686,15 @@ def load_stats(spark, d):
 @query
 def csv_round_trip(spark, d):
     """Transactions with their calendar columns, written as CSV and read back."""
-    path = IO.write_csv(IO.with_calendar(transactions(spark, d)), settings.scratch_path(spark, "transactions"))
+    path = settings.scratch_path(spark, "transactions")
+    IO.write_csv(IO.with_calendar(transactions(spark, d)), path)
     return IO.load_transactions(spark, path)
 
 
 @query
 def alert_csv_export(spark, d):
-    path = exports.create_alert_csv(scored_view(spark, d), settings.scratch_path(spark, "alert-export"))
+    path = settings.scratch_path(spark, "alert-export")
+    exports.create_alert_csv(scored_view(spark, d), path)
     return IO.normalise(IO.read_csv(spark, path)).withColumn(
         "final_risk_score", F.col("final_risk_score").cast("int")
     )
@@ -689,8 +703,9 @@ def alert_csv_export(spark, d):
 @query
 def report_suite_users(spark, d):
     """The users sheet of the report suite, read back."""
+    path = settings.scratch_path(spark, "reports")
     suite = exports.generate_all_reports(
-        scored_view(spark, d), transactions(spark, d), settings.scratch_path(spark, "reports"), stamp="run"
+        scored_view(spark, d), transactions(spark, d), path, stamp="run"
     )
     users = spark.read.parquet(f"{suite['sheets']}/top_risky_users")
     return cents(rounded(users, 4, "avg_risk_score"), "total_amount")

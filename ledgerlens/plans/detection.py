@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ledgerlens.functions.hot_keys import HotKeys
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import models as M
+from ledgerlens.operators import reports as P
+from ledgerlens.operators import scoring as S
 from ledgerlens.operators.features import FEATURE_COLUMNS, prepare_for_ml
 from ledgerlens.operators.rules import RuleSettings, all_flags, wide_flags
-from ledgerlens.operators.scoring import score_flags
 from ledgerlens.settings import materialised
+from ledgerlens.sources.alert_store import AlertStore
 
 
 def score_transactions(
@@ -25,7 +27,7 @@ def score_transactions(
 ) -> DataFrame:
     """Rules, weights, scores and levels: one shuffle by user for the rules
     and one by transaction for the scores."""
-    return score_flags(wide_flags(tx, settings, hot), weights, levels)
+    return S.score_flags(wide_flags(tx, settings, hot), weights, levels)
 
 
 def run_detection(
@@ -37,7 +39,8 @@ def run_detection(
     """Scored transactions; with ``use_ml`` and more than 100 rows also
     whether the isolation forest found them unusual."""
     scored = score_transactions(tx, settings, hot)
-    if not use_ml or len(tx.select("transaction_id").take(M.MIN_ROWS_FOR_ML + 1)) <= M.MIN_ROWS_FOR_ML:
+    enough = M.MIN_ROWS_FOR_ML + 1
+    if not use_ml or len(tx.select("transaction_id").take(enough)) < enough:
         return scored
     return M.with_ml_flag(scored, forest_predictions(scaled_matrix(tx, hot)))
 
@@ -64,6 +67,46 @@ def kmeans_outliers(
     return M.predict_kmeans_outliers(model, matrix, FEATURE_COLUMNS, percentile)
 
 
+@dataclass(frozen=True)
+class DetectionRun:
+    """What one run found, stored and measured."""
+
+    scored: DataFrame
+    stored: int
+    top_transactions: DataFrame
+    high_risk_users: DataFrame
+    rule_effectiveness: DataFrame
+    metrics: DataFrame | None
+    patterns: DataFrame | None
+    summary: DataFrame
+
+
+def detect_and_store(
+    tx: DataFrame,
+    store: AlertStore,
+    created_at: datetime | None = None,
+    hot: HotKeys | None = None,
+) -> DetectionRun:
+    """Rules, scores, alert table, analysis and, if labelled, evaluation.
+
+    The scored transactions are written once; the store and every summary
+    read them.
+    """
+    scored = materialised(score_transactions(tx, hot=hot), "scored")
+    stored = store.store_alerts(scored, overwrite=True, created_at=created_at)
+    found = {"Scored": E.flagged_ids(scored)}
+    return DetectionRun(
+        scored,
+        stored,
+        S.get_top_risky_transactions(scored, 10),
+        S.get_high_risk_users(scored),
+        P.rule_effectiveness(scored),
+        E.compare_with_ground_truth(tx, found),
+        E.pattern_detection_rate(tx, scored),
+        P.run_summary(tx, scored),
+    )
+
+
 @dataclass(frozen=True)
 class MethodComparison:
     """Flagged ids per method and what follows from them."""
@@ -74,6 +117,27 @@ class MethodComparison:
     best: DataFrame | None
 
 
+def evaluate_rules_based(tx: DataFrame, hot: HotKeys | None = None) -> DataFrame:
+    """Ids any rule flags."""
+    return E.rules_based_ids(all_flags(tx, hot=hot))
+
+
+def evaluate_isolation_forest(
+    matrix: DataFrame, contamination: float = M.CONTAMINATION
+) -> DataFrame:
+    """Ids the forest finds unusual in a ``scaled_matrix``."""
+    return E.isolation_forest_ids(forest_predictions(matrix, contamination))
+
+
+def evaluate_kmeans(
+    matrix: DataFrame,
+    n_clusters: int = M.CLUSTERS,
+    percentile: float = M.OUTLIER_PERCENTILE,
+) -> DataFrame:
+    """Ids far from their cluster in a ``scaled_matrix``."""
+    return E.kmeans_ids(kmeans_outliers(matrix, n_clusters, percentile))
+
+
 def compare_methods(
     tx: DataFrame,
     contamination: float = M.CONTAMINATION,
@@ -83,11 +147,10 @@ def compare_methods(
 ) -> MethodComparison:
     """Rules, forest, k-means and hybrid against the labels."""
     matrix = scaled_matrix(tx, hot)
-    rules = E.rules_based_ids(all_flags(tx, hot=hot))
-    forest = E.isolation_forest_ids(forest_predictions(matrix, contamination))
-    clusters = E.kmeans_ids(kmeans_outliers(matrix, n_clusters, percentile))
-    # Small, and each feeds several results.
-    rules, forest, clusters = (materialised(ids) for ids in (rules, forest, clusters))
+    # Narrow, and each feeds several results.
+    rules = materialised(evaluate_rules_based(tx, hot), "rules-ids")
+    forest = materialised(evaluate_isolation_forest(matrix, contamination), "forest-ids")
+    clusters = materialised(evaluate_kmeans(matrix, n_clusters, percentile), "kmeans-ids")
     ids = {
         E.RULES: rules,
         E.FOREST: forest,
@@ -105,8 +168,4 @@ def compare_methods(
 
 def top_risky(tx: DataFrame, n: int = 10) -> DataFrame:
     """The flagship query: the riskiest transactions."""
-    return (
-        score_transactions(tx)
-        .orderBy(F.desc("final_risk_score"), "transaction_id")
-        .limit(n)
-    )
+    return S.get_top_risky_transactions(score_transactions(tx), n)

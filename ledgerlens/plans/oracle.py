@@ -361,6 +361,13 @@ _PERCENTAGES = f"""
 select v.risk_level, count(s.risk_level) as count,
        round(count(s.risk_level) * 100.0 / (select count(*) from scored), 4) as percentage
 from {_LEVELS} left join scored s using (risk_level) group by 1"""
+_RUN_SUMMARY = (
+    "(select count(*) from tx) as processed, count(*) as flagged, "
+    "round(sum(amount), 2) as flagged_amount, round(avg(final_risk_score), 4) as average_score, "
+    "max(final_risk_score) as highest_score, count(distinct user_id) as users_to_review, "
+    "(select count(*) from tx) - count(*) as clear, "
+    "round(count(*) * 100.0 / (select count(*) from tx), 4) as flag_rate"
+)
 _TOP_TEN = "select * from scored order by final_risk_score desc, transaction_id limit 10"
 _BOX = """
 q as (select risk_level, quantile_cont(amount, 0.25) as q1, quantile_cont(amount, 0.5) as median,
@@ -571,14 +578,8 @@ best as (
             "max(final_risk_score) as max_risk_score, round(count(*) * 100.0 / (select count(*) "
             "from tx), 4) as flag_rate from scored)",
         ),
-        "run_summary": _with(
-            SCORED,
-            "select (select count(*) from tx) as processed, count(*) as flagged, "
-            "round(sum(amount), 2) as flagged_amount, round(avg(final_risk_score), 4) as "
-            "average_score, max(final_risk_score) as highest_score, count(distinct user_id) as "
-            "users_to_review, (select count(*) from tx) - count(*) as clear, "
-            "round(count(*) * 100.0 / (select count(*) from tx), 4) as flag_rate from scored",
-        ),
+        "run_summary": _with(SCORED, f"select {_RUN_SUMMARY} from scored"),
+        "full_run": _with(SCORED, f"select {_RUN_SUMMARY}, count(*) as stored from scored"),
         "dataset_overview": _with(
             SCORED,
             "select count(*) as total_transactions, count(distinct user_id) as unique_users, "
