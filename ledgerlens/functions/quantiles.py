@@ -24,7 +24,7 @@ def exact_quantiles(
     """``by`` columns plus ``quantiles array<double>``, linearly interpolated.
 
     Small groups use the built-in ``percentile``, which keeps every distinct
-    value of a group in one buffer.  Once any group exceeds ``limit`` rows the
+    value of a group in one buffer.  In groups of more than ``limit`` rows the
     values are counted, split into ordered pieces, and only the pieces that
     hold a wanted rank are sorted.
     """
@@ -33,18 +33,23 @@ def exact_quantiles(
         *(list(by) or [F.lit(0).alias(_ALL)]), F.col(value).cast("double").alias("value")
     )
     keys = list(by) or [_ALL]
-    sizes = (
-        data.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.max("n").alias("largest"), F.sum("n").alias("total"))
-        .first()
-    )
-    if (sizes["largest"] or 0) <= limit:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        result = data.groupBy(*keys).agg(F.percentile("value", wanted).alias("quantiles"))
+    counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = F.col("n") > limit
+    heavy_rows = counts.agg(F.sum(F.when(large, F.col("n")))).first()[0]
+    wanted = F.array(*[F.lit(float(p)) for p in probs])
+
+    def small(part: DataFrame) -> DataFrame:
+        return part.groupBy(*keys).agg(F.percentile("value", wanted).alias("quantiles"))
+
+    if heavy_rows is None:
+        result = small(data)
     else:
-        piece_rows = max(limit, sizes["total"] // settings.MAX_PIECES)
-        result = _split_quantiles(data, keys, probs, piece_rows)
+        # At most rows / limit groups are large.
+        heavy = F.broadcast(counts.filter(large).select(*keys))
+        piece_rows = max(limit, heavy_rows // settings.MAX_PIECES)
+        result = small(data.join(heavy, keys, "left_anti")).unionByName(
+            _split_quantiles(data.join(heavy, keys, "left_semi"), keys, probs, piece_rows)
+        )
     return result.drop(_ALL)
 
 

@@ -31,15 +31,15 @@ def high_value_stream(stream: DataFrame, threshold: float = 10_000) -> DataFrame
 
 
 def _earliest_per_slot(rows: pd.DataFrame, needed: int, width: int) -> pd.DataFrame:
-    """Rows in time order, of each window-wide slot the ``needed`` earliest
-    with ties.
+    """Of each window-wide slot the ``needed`` earliest rows, with ties; in
+    time order once there are ``needed`` rows at all.
 
     Later rows of a slot cannot change where the first burst ends, which
     bounds the state of a user however many rows arrive.
     """
-    rows = rows.iloc[np.lexsort((rows["transaction_id"], rows["micros"]))]
-    if len(rows) <= needed:
+    if len(rows) < needed:  # nothing to decide yet
         return rows
+    rows = rows.iloc[np.lexsort((rows["transaction_id"], rows["micros"]))]
     micros = rows["micros"].to_numpy()
     _, first, slot = np.unique(micros // width, return_index=True, return_inverse=True)
     last = np.append(first[1:], len(micros)) - 1
@@ -81,11 +81,12 @@ def velocity_stream(
             state.remove()
             return
         fired, *held = state.get if state.exists else (False, [], [], [], [])
+        held = [list(values) for values in held]
         if fired:
             return
-        rows = pd.DataFrame(dict(zip(_HELD, held)))
+        rows = pd.DataFrame(dict(zip(_HELD, held))) if held[0] else None
         for batch in batches:
-            rows = pd.concat([rows, batch[_HELD]]) if len(rows) else batch[_HELD]
+            rows = batch[_HELD] if rows is None else pd.concat([rows, batch[_HELD]])
             rows = _earliest_per_slot(rows, transaction_threshold, width)
         burst = _first_burst(rows, transaction_threshold, width)
         if burst is not None:
