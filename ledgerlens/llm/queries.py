@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, feistel, merkle, sharding, toxicity
+from ledgerlens.llm import archive, bpe, decontam, feistel, merkle, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,6 +40,14 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+@query
+def op2_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        decontam.items_digest().alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 @query
 def op3_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.round_trip(table(spark, sf_dir, "pages")).select(
