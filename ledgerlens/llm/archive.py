@@ -17,16 +17,17 @@ from dataclasses import dataclass
 from urllib.parse import quote
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import partitions, small_batches, stored
+from ledgerlens.llm.common import files, partitions, read_file, small_batches, stored
 from ledgerlens.settings import scratch_path
 
 #: Uncompressed bytes after which an archive is closed.
 ARCHIVE_BYTES = 16 << 20
 LEVEL = 4
+#: Bytes given to the decompressor at a time.
+BITE = 16 << 10
 
 #: Names of the fields of a record line, by version of the format.
 FIELDS = {
@@ -63,25 +64,19 @@ class ArcRecord:
         return None
 
 
-def files(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system and path of a URI that workers on any machine can open."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return pafs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
-
-
 def members(data: bytes) -> Iterator[tuple[int, bytes]]:
     """Offset and content of each gzip member."""
-    at = 0
+    at, view = 0, memoryview(data)
     while at < len(data):
-        stream = zlib.decompressobj(31)
-        content = stream.decompress(data[at:] if at == 0 else memoryview(data)[at:])
+        stream, end, parts = zlib.decompressobj(31), at, []
+        # Small bites: what follows a member is copied out of the last one.
+        while not stream.eof and end < len(data):
+            parts.append(stream.decompress(view[end : end + BITE]))
+            end = min(end + BITE, len(data))
         if not stream.eof:
             raise ValueError(f"the member at {at} is cut short")
-        yield at, content
-        at = len(data) - len(stream.unused_data)
+        yield at, b"".join(parts)
+        at = end - len(stream.unused_data)
 
 
 def member(content: bytes) -> bytes:
@@ -112,12 +107,6 @@ class ArchiveWriter:
         return self.uri
 
 
-def read_archive(uri: str) -> bytes:
-    fs, path = files(uri)
-    with fs.open_input_stream(path, compression=None) as f:
-        return f.read()
-
-
 def arc_start(name: str, version: str, date: str) -> bytes:
     """The version block that opens an ARC file."""
     block = f"{version} 0 archive\n{FIELDS[version]}\n".encode()
@@ -266,7 +255,7 @@ def scan_arc(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for archive in batch.column(0).to_pylist():
                 rows = []
-                for r in parse_arc(read_archive(archive)):
+                for r in parse_arc(read_file(archive)):
                     payload, number = r.split()[1], r.header(ROW_HEADER)
                     rows.append((archive, r.offset, int(number) if number else None, len(payload),
                                  base32_sha1(payload)))
@@ -307,7 +296,7 @@ def convert(archives: DataFrame, folder: str, least: int = 0) -> DataFrame:
                 if name != archive:
                     if writer is not None:
                         done.append(writer.close())
-                    archive, source = name, parse_arc(read_archive(name))
+                    archive, source = name, parse_arc(read_file(name))
                     new = f"{uuid.uuid4().hex}.warc.gz"
                     writer = ArchiveWriter(f"{folder}/{new}")
                     writer.add(warc_start(new, "20090704120000"))
@@ -321,7 +310,7 @@ def convert(archives: DataFrame, folder: str, least: int = 0) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], ["archive"])
 
     turned = (
-        decided.repartition("archive").sortWithinPartitions("archive", "offset")
+        decided.repartition(partitions(records.sparkSession), "archive").sortWithinPartitions("archive", "offset")
         .mapInArrow(run, "archive string")
     )
     return stored(turned, "warc-names")
@@ -339,7 +328,7 @@ def read_warc(archives: DataFrame) -> DataFrame:
         for batch in batches:
             for archive in batch.column(0).to_pylist():
                 rows = []
-                for headers, block in parse_warc(read_archive(archive)):
+                for headers, block in parse_warc(read_file(archive)):
                     kind = headers["warc-type"]
                     if kind not in ("response", "revisit"):
                         continue

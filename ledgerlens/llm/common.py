@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -136,5 +138,32 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
-def ids_of(column: pa.Array) -> list:
-    return column.to_pylist()
+def files(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system and path of a URI that workers on any machine can open."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    if "://" not in uri:
+        return pafs.LocalFileSystem(), uri
+    return pafs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+
+def read_file(uri: str) -> bytes:
+    fs, path = files(uri)
+    with fs.open_input_stream(path, compression=None) as f:
+        return f.read()
+
+
+def write_table(uri: str, table: pa.Table) -> None:
+    """Write an Arrow file (zstd) to the shared folder; it appears under its name when it is whole."""
+    fs, path = files(uri)
+    fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    part = f"{path}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(part, compression=None) as out:
+        with pa.ipc.new_file(out, table.schema, options=options) as writer:
+            writer.write_table(table)
+    fs.move(part, path)
+
+
+def read_table(uri: str) -> pa.Table:
+    return pa.ipc.open_file(pa.py_buffer(read_file(uri))).read_all()

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from ledgerlens.llm.archive import files, read_archive
 from ledgerlens.llm.common import (
-    ALNUM_WORD, LOWER, bytes_of, prefix_hash, small_batches, span_hash, steps, stored, word_spans,
+    ALNUM_WORD, LOWER, bytes_of, prefix_hash, read_table, small_batches, span_hash, steps, stored, word_spans,
+    write_table,
 )
 from ledgerlens.llm.fm_index import FMIndex
 from ledgerlens.settings import scratch_path
@@ -73,14 +73,9 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
             pairs = np.unique(np.stack([which.ravel(), np.concatenate(owner)]), axis=1)
             table = pa.table({"data": [pa.py_buffer(phrases.tobytes()).to_pybytes()],
                               "phrase": [pairs[0]], "item": [pairs[1]], "ids": [ids]})
-            uri = f"{folder}/{uuid.uuid4().hex}"
-            fs, path = files(uri)
-            fs.create_dir(folder_path, recursive=True)
-            with fs.open_output_stream(path, compression=None) as out, pa.ipc.new_file(out, table.schema) as writer:
-                writer.write_table(table)
-            done.append(uri)
-
-        folder_path = files(folder)[1]
+            done.append(f"{folder}/{uuid.uuid4().hex}")
+            write_table(done[-1], table)
+
         for batch in batches:
             for item_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(item_id)
@@ -97,7 +92,7 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
 
 
 def load_block(uri: str, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
-    table = pa.ipc.open_file(pa.py_buffer(read_archive(uri))).read_all()
+    table = read_table(uri)
     full = np.frombuffer(table["data"][0].as_py(), np.uint64).reshape(-1, window + 1)
     phrase, item = (np.array(table[c][0].as_py(), dtype=np.int64) for c in ("phrase", "item"))
     return full[:, :window], full[:, window].astype(np.int64), phrase, item, table["ids"][0].as_py()
