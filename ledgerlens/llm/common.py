@@ -167,3 +167,32 @@ def write_table(uri: str, table: pa.Table) -> None:
 
 def read_table(uri: str) -> pa.Table:
     return pa.ipc.open_file(pa.py_buffer(read_file(uri))).read_all()
+
+
+def dealt(df: DataFrame, key: str, then: str, tasks: int) -> DataFrame:
+    """Rows of a key together and sorted, for ``by_key``."""
+    return df.repartition(tasks, key).sortWithinPartitions(key, then)
+
+
+def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start[i], start[i] + 1, ...`` (``count[i]`` numbers) one after another."""
+    ends = np.cumsum(count)
+    return np.repeat(start - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tuple]]]:
+    """Rows of sorted batches, gathered by their first column."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if rows and row[0] != key:
+                yield key, rows
+                rows = []
+            key = row[0]
+            rows.append(row[1:])
+    if rows:
+        yield key, rows

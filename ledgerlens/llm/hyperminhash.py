@@ -16,7 +16,6 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlens.llm.common import (
     LOWER, SPACE_WORD, bytes_of, mix, prefix_hash, small_batches, span_hash, steps, stored, word_spans,

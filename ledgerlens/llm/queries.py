@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, decontam, feistel, hyperminhash, merkle, sharding, suffix_dedup, toxicity
+from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, merkle, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -68,6 +68,13 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = brown.score_documents(table(spark, sf_dir, "documents"), ~brown.held_out())
+    return scored.select(
+        "doc_id", brown.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path(), ids=False)

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import (
-    bytes_of, mix, partitions, powers, prefix_hash, read_table, small_batches, span_hash, steps, stored, write_table,
+    bucket_of, by_key, bytes_of, dealt, mix, partitions, powers, prefix_hash, ragged, read_table, small_batches,
+    span_hash, steps, stored, write_table,
 )
 from ledgerlens.llm.induced import induced_suffix_array
 from ledgerlens.settings import scratch_path
@@ -62,30 +63,6 @@ def anchored_stretches(
     return least[start], start, end - start
 
 
-def bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
-    return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-
-
-def ragged(start: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """``start[i], start[i] + 1, ...`` (``count[i]`` numbers) one after another."""
-    ends = np.cumsum(count)
-    return np.repeat(start - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)
-
-
-def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[object, list[tuple]]]:
-    """Rows of sorted batches, gathered by their first column."""
-    key, rows = None, []
-    for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if rows and row[0] != key:
-                yield key, rows
-                rows = []
-            key = row[0]
-            rows.append(row[1:])
-    if rows:
-        yield key, rows
-
-
 class Shard:
     """A shard's texts, and the stretches of all anchors in their order."""
 
@@ -311,17 +288,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     sent = stored(shard_rows(docs, folder, buckets, length, anchor), "anchors")
     shards = sent.where("bucket = -1").select("shard", "bucket")
 
-    def dealt(df: DataFrame, key: str, then: str) -> DataFrame:
-        return df.repartition(tasks, key).sortWithinPartitions(key, then)
-
     codes = stored(
-        dealt(sent.where("bucket >= 0"), "bucket", "shard")
+        dealt(sent.where("bucket >= 0"), "bucket", "shard", tasks)
         .mapInArrow(judge_anchors, "shard string, bucket int, codes binary"), "anchor-codes")
     asked = codes.unionByName(shards.withColumn("codes", F.lit(b"")))
-    stretches = dealt(asked, "shard", "bucket").mapInArrow(
+    stretches = dealt(asked, "shard", "bucket", tasks).mapInArrow(
         cut_stretches(buckets, length, anchor), "bucket int, shard string, texts binary, sizes binary, least binary")
     answers = stored(
-        dealt(stretches, "bucket", "shard")
+        dealt(stretches, "bucket", "shard", tasks)
         .mapInArrow(sort_stretches(length), "shard string, bucket int, values binary, runs binary"), "answers")
     id_type = docs.schema["doc_id"].dataType
     span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -366,4 +340,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     told = answers.unionByName(shards.withColumns({"values": F.lit(b""), "runs": F.lit(b"")}))
     schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
               "spans array<struct<start:long,end:long>>" + ", kept binary" * texts)
-    return dealt(told, "shard", "bucket").mapInArrow(finish, schema).withColumn("doc_id", F.col("doc_id").cast(id_type))
+    return dealt(told, "shard", "bucket", tasks).mapInArrow(finish, schema).withColumn("doc_id", F.col("doc_id").cast(id_type))
