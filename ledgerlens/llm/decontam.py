@@ -8,17 +8,16 @@ the spans they cover merged and cut out.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlens.llm.common import (
     ALNUM_WORD, LOWER, bytes_of, prefix_hash, read_table, small_batches, span_hash, steps, stored, word_spans,
-    write_table,
+    with_n_chars, write_table,
 )
 from ledgerlens.llm.fm_index import FMIndex
 from ledgerlens.settings import scratch_path
@@ -126,26 +125,12 @@ class Shard:
         return known[which], self.before[self.index.locate(rows)]
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, texts: bool = False) -> DataFrame:
-    """Per row of ``docs``: ``doc_id, n_words, n_hit, items, spans`` and, with ``texts``, the ``text`` left.
+def _searcher(blocks: list[str], window: int) -> Callable[[pa.ChunkedArray], tuple]:
+    """Searches the phrases of all blocks in a column of texts, indexed as one shard."""
+    loaded: dict = {}
 
-    ``items`` has ``item_id, text``; a document word is hit if it lies in an occurrence of
-    ``window`` consecutive words of an item (of all words of a shorter item).  ``items`` lists the
-    distinct item ids, as sorted strings; a null id counts for hits only.  ``spans`` are merged
-    byte ranges of the UTF-8 text, which end with the last word hit.  Null texts have no words
-    and stay null; repeated rows count one by one.  There is no shuffle: a task indexes its rows
-    shard by shard, and reads the phrases block by block from the shared folder.
-    """
-    small_batches(docs.sparkSession)
-    blocks = phrase_blocks(items, window)
-    id_type = docs.schema["doc_id"].dataType
-    names = ["doc_id", "n_words", "n_hit", "items", "spans"] + ["text"] * texts
-    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-    types = [to_arrow_type(id_type), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(span)] + [pa.string()] * texts
-
-    def search(batches: list[pa.RecordBatch], loaded: dict) -> pa.RecordBatch:
-        table = pa.Table.from_batches(batches)
-        column = table.column(1).combine_chunks()
+    def search(text: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, list[list[str]], list[list[tuple]], list]:
+        column = text.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = column.chunk(0)
         words, start, end, bounds = hashed_words(column)
@@ -161,55 +146,95 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
             which, first = shard.occurrences(phrases, lengths)
             np.add.at(cover, first, 1)
             np.add.at(cover, first + lengths[which], -1)
-            pairs = np.unique(np.stack([shard.document[first], which]), axis=1) if len(which) else np.zeros((2, 0), int)
-            cut = np.searchsorted(phrase, [pairs[1], pairs[1] + 1])
-            for d, a, b in zip(pairs[0].tolist(), *cut.tolist()):
-                found[d].update(ids[i] for i in item[a:b].tolist() if ids[i] is not None)
+            if len(which):
+                # Each phrase of a document once.
+                document, which = np.unique(np.stack([shard.document[first], which]), axis=1)
+                cut = np.searchsorted(phrase, [which, which + 1])
+                for d, a, b in zip(document.tolist(), *cut.tolist()):
+                    found[d].update(ids[i] for i in item[a:b].tolist() if ids[i] is not None)
         hit = np.cumsum(cover[:-1]) > 0
         data, offsets = bytes_of(column)
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
         # Runs of hit words, cut where a document ends.
-        first, last = edge[0::2], edge[1::2]
-        inner = bounds[1:-1]
-        inner = np.unique(inner[(inner > 0) & (inner < len(words))])
-        inner = inner[hit[inner] & hit[inner - 1]] if len(inner) else inner
-        first, last = np.sort(np.concatenate([first, inner])), np.sort(np.concatenate([last, inner]))
-        owner = shard.document[first] if len(first) else first
-        at = np.searchsorted(owner, np.arange(n_docs + 1))
-        n_hit = np.add.reduceat(np.append(hit, False), bounds[:-1], dtype=np.int64) if len(hit) else np.zeros(n_docs, np.int64)
-        n_hit[np.diff(bounds) == 0] = 0
-        spans, left = [], []
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
+        inner = np.unique(bounds[(bounds > 0) & (bounds < len(words))])
+        inner = inner[hit[inner] & hit[inner - 1]]
+        first, last = np.sort(np.concatenate([edge[0::2], inner])), np.sort(np.concatenate([edge[1::2], inner]))
+        at = np.searchsorted(shard.document[first], np.arange(n_docs + 1))
+        n_hit = np.bincount(shard.document[hit], minlength=n_docs)
+        spans, left = [], column.to_pylist()
         for d in range(n_docs):
             own = [(int(start[first[i]] - offsets[d]), int(end[last[i] - 1] - offsets[d])) for i in range(at[d], at[d + 1])]
-            spans.append([{"start": s, "end": e} for s, e in own])
-            if texts and own:
-                text, kept, done = data[offsets[d] : offsets[d + 1]].tobytes(), [], 0
+            spans.append(own)
+            if own:
+                text_, kept, done = data[offsets[d] : offsets[d + 1]].tobytes(), [], 0
                 for s, e in own:
-                    kept.append(text[done:s])
+                    kept.append(text_[done:s])
                     done = e
-                left.append((b"".join(kept) + text[done:]).decode())
-            elif texts:
-                left.append(column[d].as_py())
-        columns = [table.column(0).combine_chunks(), np.diff(bounds), n_hit, [sorted(f) for f in found], spans]
-        columns += [left] * texts
-        return pa.RecordBatch.from_arrays(
-            [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c if isinstance(c, pa.Array) else pa.array(c, t)
-             for c, t in zip(columns, types)], names)
+                left[d] = (b"".join(kept) + text_[done:]).decode()
+        return np.diff(bounds), n_hit, [sorted(f) for f in found], spans, left
+
+    return search
+
+
+def _shards(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.Table]:
+    """The batches, joined to shards of bounded size of their texts."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= SHARD_BYTES:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, n_words, n_hit, items, spans`` and the ``text`` left.
+
+    ``items`` has ``item_id, text``; a document word is hit if it lies in an occurrence of
+    ``window`` consecutive words of an item (of all words of a shorter item).  ``items`` lists the
+    distinct item ids, as sorted strings; a null id counts for hits only.  ``spans`` are merged
+    byte ranges of the UTF-8 text, which end with the last word hit.  Null texts have no words
+    and stay null; repeated rows count one by one.  There is no shuffle: a task indexes its rows
+    shard by shard, and reads the phrases block by block from the shared folder.
+    """
+    small_batches(docs.sparkSession)
+    blocks = phrase_blocks(items, window)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, loaded = [], 0, {}
-        for batch in batches:
-            held.append(batch)
-            size += batch.column(1).nbytes
-            if size >= SHARD_BYTES:
-                yield search(held, loaded)
-                held, size = [], 0
-        if held:
-            yield search(held, loaded)
-
-    schema = (f"doc_id {id_type.simpleString()}, n_words long, n_hit long, items array<string>, "
-              "spans array<struct<start:long,end:long>>" + ", text string" * texts)
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+        search = _searcher(blocks, window)
+        for shard in _shards(batches, 1):
+            n_words, n_hit, found, spans, left = search(shard.column(1))
+            spans = [[{"start": s, "end": e} for s, e in own] for own in spans]
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(shard.column(0).chunks), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                 pa.array(found, pa.list_(pa.string())), pa.array(spans, pa.list_(span)), pa.array(left, pa.string())],
+                ["doc_id", "n_words", "n_hit", "items", "spans", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_words long, n_hit long, items array<string>, "
+             "spans array<struct<start:long,end:long>>, text string")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
+    """``docs`` with the merged spans of ``find_contamination`` cut out of ``text``.
+
+    All rows and columns stay; ``n_chars`` follows the new text.
+    """
+    small_batches(docs.sparkSession)
+    blocks = phrase_blocks(items, window)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        search = _searcher(blocks, window)
+        for shard in _shards(batches, at):
+            left = pa.array(search(shard.column(at))[4], shard.schema.field(at).type)
+            yield from shard.set_column(at, shard.schema.field(at), left).to_batches()
+
+    return with_n_chars(docs.mapInArrow(run, docs.schema))
 
 
 def items_digest(column: str = "items"):

@@ -76,7 +76,7 @@ def brute(docs, items, window=10):
 
 def check(spark, docs, items, window=10):
     table = spark.createDataFrame(items, "item_id long, text string")
-    got = D.find_contamination(docs, table, window, texts=True).collect()
+    got = D.find_contamination(docs, table, window).collect()
     rows = [(str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"], [tuple(s) for s in r["spans"]], r["text"]) for r in got]
     assert sorted(rows, key=str) == brute([(r["doc_id"], r["text"]) for r in docs.collect()], items, window)
 
@@ -96,6 +96,19 @@ def test_equals_brute_force(spark, make_docs, monkeypatch):
     check(spark, docs.repartition(4), items, window=3)
 
 
+def test_spans_are_cut_out_of_whole_rows(spark, make_docs):
+    item = prose(100, 14)
+    docs = make_docs(["before " + item + ", after", None, "clean", item])
+    got = D.decontaminate(docs, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    rows, given = got.orderBy("doc_id").collect(), docs.orderBy("doc_id").collect()
+    left = ", after" if item[-1] != "." else "., after"
+    assert [r["text"] for r in rows] == ["before " + left, None, "clean", left[:-7]]
+    assert [r["n_chars"] for r in rows] == [len("before " + left), None, 5, len(left) - 7]
+    keep = [c for c in docs.columns if c not in ("text", "n_chars")]
+    assert [[r[c] for c in keep] for r in rows] == [[r[c] for c in keep] for r in given]
+
+
 def test_odd_tables(spark, make_docs):
     check(spark, make_docs([]), [(1, "a b c")])
     check(spark, make_docs(["a b c", None]), [])
