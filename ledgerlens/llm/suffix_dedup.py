@@ -29,7 +29,9 @@ from ledgerlens.settings import scratch_path
 
 LENGTH, ANCHOR = 50, 24
 #: Bytes of text in a shard file, and bytes of the input per bucket.
-SHARD_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+SHARD_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
+#: Strings whose answers are looked up at a time.
+STRINGS = 1 << 18
 #: Stretches of one anchor beyond which its strings are dealt out one by one, by their own hash.
 HOT = 20_000
 #: Documents without an id come after all others.
@@ -60,7 +62,8 @@ def anchored_stretches(
     new[1:] &= ~inside[:-1] | (least[1:] != least[:-1])
     start = np.flatnonzero(new)
     end = np.minimum(np.append(start[1:], n), last[start] + 1)
-    return least[start], start, end - start
+    # Minima crowd at the low end; mixed again, they spread evenly over the buckets.
+    return mix(least[start]), start, end - start
 
 
 class Shard:
@@ -314,18 +317,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
                 places = read_table(f"{uri}.places")
                 start, count, number = (places[c].to_numpy().astype(np.int64) for c in ("start", "count", "number"))
                 values = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows])
-                runs = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
-                least = np.repeat(values, runs)
+                ends = np.cumsum(np.concatenate([np.frombuffer(r[2], np.int32) for r in rows]), dtype=np.int64)
                 # Answers come in order of the stretches' numbers.
                 _, one = np.unique(number, return_index=True)
                 begin = np.cumsum(count[one]) - count[one]
-                string = ragged(start, count)
-                before = least[ragged(begin[number], count)]
-                own = np.repeat(order[np.searchsorted(offsets, start, side="right") - 1], count)
-                gone = string[before < own]
-                np.add.at(cover, gone, 1)
-                np.add.at(cover, gone + length, -1)
-            removed = np.cumsum(cover[:-1]) > 0
+                own = order[np.searchsorted(offsets, start, side="right") - 1]
+                for a, b in steps(np.concatenate([[0], np.cumsum(count)]), STRINGS):
+                    asked = ragged(begin[number[a:b]], count[a:b])
+                    least = values[np.searchsorted(ends, asked, side="right")]
+                    gone = ragged(start[a:b], count[a:b])[least < np.repeat(own[a:b], count[a:b])]
+                    np.add.at(cover, gone, 1)
+                    np.add.at(cover, gone + length, -1)
+            removed = np.cumsum(cover[:-1], dtype=np.int32) > 0
             out = []
             for d, doc_id in enumerate(ids):
                 own = removed[offsets[d] : offsets[d + 1]]
