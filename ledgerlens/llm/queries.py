@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, merkle, sharding, suffix_dedup, toxicity
+from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, merkle, oracle, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_fm_decontamination": oracle.DECONTAMINATION,
+    "op3_arc_to_warc": oracle.ARCHIVE,
+    "op8_induced_suffix_dedup": oracle.REPEATS,
+    "op9_hyperminhash": oracle.NEAR_DUPLICATES,
+}
 
 #: A key for the test tables; real ones are secrets of the caller.
 DEMO_KEY = b"demonstration key, not a secret"
