@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens import settings
-from ledgerlens.functions.pieces import PIECE, cut_points, with_piece
-
-_ALL = "_all"
+#: Ranks of the approximate quantiles are off by one in this number at most.
+ACCURACY = 100_000
+#: A bracket reaches this many such errors to either side of the wanted rank.
+REACH = 20
 
 
 def exact_quantiles(
@@ -19,89 +20,79 @@ def exact_quantiles(
     value: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    limit: int | None = None,
+    accuracy: int = ACCURACY,
 ) -> DataFrame:
     """``by`` columns plus ``quantiles array<double>``, linearly interpolated.
 
-    Small groups use the built-in ``percentile``, which keeps every distinct
-    value of a group in one buffer.  In groups of more than ``limit`` rows the
-    values are counted, split into ordered pieces, and only the pieces that
-    hold a wanted rank are sorted.
+    Two passes over the input, for groups of any size.  The first brackets
+    every wanted rank between two approximate quantiles (between minimum and
+    maximum in groups too small for these); the second counts what lies below
+    a bracket, combined map-side, and the values inside it, a share of
+    ``2 * REACH / accuracy`` of the group.  Only those are sorted.
     """
-    limit = limit or settings.hot_key_rows(df.sparkSession)
+    keys = list(by)
     data = df.filter(F.col(value).isNotNull()).select(
-        *(list(by) or [F.lit(0).alias(_ALL)]), F.col(value).cast("double").alias("value")
+        *keys, F.col(value).cast("double").alias("value")
+    )
+    slack, few = REACH / accuracy, 2 * accuracy // REACH
+    shares = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
+    # Grouping by a constant keeps an empty input without a row.
+    stats = data.groupBy(*(keys or [F.lit(0).alias("_all")])).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
+        F.percentile_approx("value", shares, accuracy).alias("near"),
     )
-    keys = list(by) or [_ALL]
-    counts = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    large = F.col("n") > limit
-    heavy_rows = counts.agg(F.sum(F.when(large, F.col("n")))).first()[0]
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-
-    def small(part: DataFrame) -> DataFrame:
-        return part.groupBy(*keys).agg(F.percentile("value", wanted).alias("quantiles"))
 
-    if heavy_rows is None:
-        result = small(data)
-    else:
-        # At most rows / limit groups are large.
-        heavy = F.broadcast(counts.filter(large).select(*keys))
-        piece_rows = max(limit, heavy_rows // settings.MAX_PIECES)
-        result = small(data.join(heavy, keys, "left_anti")).unionByName(
-            _split_quantiles(data.join(heavy, keys, "left_semi"), keys, probs, piece_rows)
+    def bracket(i: int, p: float) -> Column:
+        whole = F.col("n") < few
+        low = F.lit(True) if p - slack <= 0 else whole
+        high = F.lit(True) if p + slack >= 1 else whole
+        return F.struct(
+            F.lit(i).alias("i"),
+            (F.lit(float(p)) * (F.col("n") - 1)).alias("at"),
+            F.when(low, F.col("least")).otherwise(F.col("near")[2 * i]).alias("low"),
+            F.when(high, F.col("most")).otherwise(F.col("near")[2 * i + 1]).alias("high"),
         )
-    return result.drop(_ALL)
 
-
-def _split_quantiles(
-    data: DataFrame, keys: list[str], probs: Sequence[float], piece_rows: int
-) -> DataFrame:
-    counted = data.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    placed = with_piece(
-        counted, keys, ["value"], cut_points(counted, keys, ["value"], piece_rows)
-    )
-    in_order = Window.partitionBy(*keys).orderBy(PIECE)
-    located = (
-        placed.groupBy(*keys, PIECE)
-        .agg(F.sum("n").alias("rows"))
-        .withColumn("upto", F.sum("rows").over(in_order))
-        .withColumn("size", F.sum("rows").over(Window.partitionBy(*keys)))
-        .withColumn("before", F.col("upto") - F.col("rows"))
-    )
-    ranks = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), (F.lit(float(p)) * (F.col("size") - 1)).alias("at"))
-            for i, p in enumerate(probs)
-        ]
-    )
-    wanted = (
-        located.withColumn("rank", F.explode(ranks))
-        .select(*keys, PIECE, "before", "upto", "rank.i", "rank.at")
-        .withColumn("low", F.floor("at"))
-        .withColumn("high", F.ceil("at"))
-        .filter(
-            F.col("low").between(F.col("before"), F.col("upto") - 1)
-            | F.col("high").between(F.col("before"), F.col("upto") - 1)
+    brackets = F.array(*[bracket(i, p) for i, p in enumerate(probs)]).alias("brackets")
+    if keys:
+        limits = stats.select(*[F.col(k).alias(f"_{k}") for k in keys], brackets)
+        same = reduce(
+            lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
         )
-        .drop("upto")
-    )
-    # At most two pieces per key and probability: bounded, so broadcast.
-    hit = placed.join(
-        F.broadcast(wanted.select(*keys, PIECE).distinct()), [*keys, PIECE], "left_semi"
+        placed = data.join(limits, same).select(*keys, "value", F.explode("brackets").alias("b"))
+    else:
+        # One row: it goes into the second pass as literals.
+        found = stats.select(brackets).first()
+        rows = [] if found is None else found["brackets"]
+        literal = F.array(
+            *[F.struct(*[F.lit(b[c]).alias(c) for c in ("i", "at", "low", "high")]) for b in rows]
+        )
+        if not rows:
+            return df.sparkSession.createDataFrame([], "quantiles array<double>")
+        placed = data.select("value", F.explode(literal).alias("b"))
+    inside = F.when(F.col("value") >= F.col("b.low"), F.col("value"))
+    counted = (
+        placed.filter(F.col("value") <= F.col("b.high"))
+        .groupBy(*keys, "b.i", "b.at", inside.alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    within = Window.partitionBy(*keys, PIECE).orderBy("value")
-    ranked = hit.withColumn("to", F.sum("n").over(within)).withColumn(
+    # Values below the bracket are one row, which sorts first.
+    ordered = Window.partitionBy(*keys, "i").orderBy(F.col("value").asc_nulls_first())
+    ranked = counted.withColumn("to", F.sum("n").over(ordered)).withColumn(
         "from", F.col("to") - F.col("n")
     )
 
-    def value_at(rank: str):
-        offset = F.col(rank) - F.col("before")
-        return F.max(F.when((F.col("from") <= offset) & (offset < F.col("to")), F.col("value")))
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("from") <= rank) & (rank < F.col("to")), F.col("value")))
 
     return (
-        ranked.join(F.broadcast(wanted), [*keys, PIECE])
-        .groupBy(*keys, "i", "at")
-        .agg(value_at("low").alias("low_value"), value_at("high").alias("high_value"))
+        ranked.groupBy(*keys, "i", "at")
+        .agg(
+            value_at(F.floor("at")).alias("low_value"),
+            value_at(F.ceil("at")).alias("high_value"),
+        )
         .withColumn("share", F.col("at") - F.floor("at"))
         .withColumn(
             "q",
@@ -113,7 +104,9 @@ def _split_quantiles(
     )
 
 
-def exact_quantile(df: DataFrame, value: str, prob: float, limit: int | None = None) -> float | None:
+def exact_quantile(
+    df: DataFrame, value: str, prob: float, accuracy: int = ACCURACY
+) -> float | None:
     """One global quantile, as a number on the driver."""
-    row = exact_quantiles(df, value, [prob], limit=limit).first()
+    row = exact_quantiles(df, value, [prob], accuracy=accuracy).first()
     return None if row is None or row["quantiles"] is None else row["quantiles"][0]

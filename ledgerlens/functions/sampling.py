@@ -6,22 +6,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HASH = "_hash"
-_LONGS = 2.0**64
+#: Leading hex digits of the hash that are counted first: 4,096 counts.
+_DIGITS = 3
 
 
 def lowest_hashes(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
-    """The ``n`` rows with the lowest seeded hash of ``key``, plus ``_hash``.
+    """The ``n`` rows with the lowest hash of ``key:seed`` (MD5), plus ``_hash``.
 
-    A top-n keeps ``n`` candidates from every input partition.  On a large
-    input a bound on the hash, expected to let twice ``n`` rows through,
-    therefore goes first.  It is only used when enough rows pass it, in which
-    case they contain the ``n`` lowest.
+    A top-n keeps ``n`` candidates from every input partition.  The rows are
+    therefore counted by the first digits of their hash, and only those up to
+    the digits that hold the n-th row are ordered.
     """
-    hashed = df.withColumn(HASH, F.xxhash64(key, F.lit(seed)))
-    total = df.count()
-    if total > 4 * n:
-        bound = int(-(2.0**63) + _LONGS * (2 * n / total))
-        few = hashed.filter(F.col(HASH) < bound)
-        if few.count() >= n:
-            hashed = few
+    hashed = df.withColumn(HASH, F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
+    lead = F.substring(HASH, 1, _DIGITS)
+    counts = sorted(hashed.groupBy(lead.alias("lead")).count().collect(), key=lambda r: r[0] or "")
+    seen, bound = 0, None
+    for row in counts:  # at most 16 ** _DIGITS, and one for null keys
+        seen, bound = seen + row["count"], row["lead"]
+        if seen >= n:
+            break
+    if bound is not None:
+        hashed = hashed.filter(F.col(HASH).isNull() | (lead <= bound))
     return hashed.orderBy(HASH, key).limit(n)

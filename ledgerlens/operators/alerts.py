@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from ledgerlens.functions.numbering import number_rows
 
+# Columns of the alert table.
 ALERT_SCHEMA = T.StructType(
     [
         T.StructField("alert_id", T.LongType()),
@@ -29,7 +30,6 @@ ALERT_SCHEMA = T.StructType(
     ]
 )
 
-STATUSES = ["NEW", "UNDER_REVIEW", "CLOSED", "FALSE_POSITIVE"]
 REQUIRED = [
     "transaction_id", "user_id", "amount", "timestamp", "rules_triggered", "risk_score",
     "risk_level",
@@ -100,6 +100,19 @@ def upsert_rows(alerts: DataFrame, scored: DataFrame, created_at: datetime) -> D
     return one_per_transaction(to_alerts(scored, created_at), last=True)
 
 
+def rescored(alerts: DataFrame, scored: DataFrame) -> DataFrame:
+    """Alerts whose score, level or rules differ from ``scored``, with the new
+    ones; ids, reviews and the time of creation stay."""
+    news = ["risk_score", "risk_level", "rules_triggered"]
+    given = one_per_transaction(to_alerts(scored, datetime(1970, 1, 1)), last=True).select(
+        "transaction_id", F.struct(*news).alias("_new")
+    )
+    joined = alerts.join(given, "transaction_id").filter(F.struct(*news) != F.col("_new"))
+    return joined.withColumns({n: F.col(f"_new.{n}") for n in news}).select(
+        *ALERT_SCHEMA.fieldNames()
+    )
+
+
 def merge(alerts: DataFrame, fresh: DataFrame) -> DataFrame:
     """The table with ``fresh`` rows in place of rows of the same transaction."""
     kept = alerts.join(fresh.select("transaction_id"), "transaction_id", "left_anti")

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Names of the methods.
 RULES = "Rules-Based"
 FOREST = "Isolation Forest"
 KMEANS = "K-Means Clustering"

@@ -31,7 +31,7 @@ NEAR_LIMIT = 1_000
 STRUCTURING_RANGE = (9_000, 9_999)
 DORMANT_DAYS = 90
 
-# The 37 numeric features, in matrix order.
+# Names of the 37 numeric features, in matrix order.
 FEATURE_COLUMNS = [
     "amount", "hour", "day_of_week",
     "amount_log", "is_round_1000", "is_round_5000", "amount_bin",
@@ -45,15 +45,9 @@ FEATURE_COLUMNS = [
     "hours_since_last", "days_since_last", "is_rapid_succession", "is_dormant_reactivation",
 ]
 
-# Input columns that are never features.
-NOT_FEATURES = [
-    "transaction_id", "user_id", "timestamp", "merchant", "counterparty", "description",
-    "location", "status", "is_suspicious", "suspicious_pattern", "date",
-]
-
-_ORDER = ["timestamp", "transaction_id"]
-#: Most type names whose codes are sent to every executor.
-_MAX_BROADCAST_TYPES = 10_000
+#: When a row counts in its user's order: rows without a time come last.
+_WHEN = "_when"
+_ORDER = [_WHEN, "transaction_id"]
 
 
 def _flag(condition: Column) -> Column:
@@ -61,8 +55,9 @@ def _flag(condition: Column) -> Column:
 
 
 def placed(df: DataFrame) -> DataFrame:
-    """Rows with a user and a time; only those have per-user features."""
-    return df.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull())
+    """Rows with a user; only those have per-user features."""
+    end = F.lit("9999-12-31 23:59:59").cast(df.schema["timestamp"].dataType)
+    return df.filter(F.col("user_id").isNotNull()).withColumn(_WHEN, F.coalesce("timestamp", end))
 
 
 # --- row-local features -----------------------------------------------------
@@ -88,14 +83,7 @@ def add_type_codes(df: DataFrame) -> DataFrame:
     if "transaction_type" not in df.columns:
         return df
     types = df.select("transaction_type").filter("transaction_type is not null").distinct()
-    names = [r[0] for r in types.limit(_MAX_BROADCAST_TYPES + 1).collect()]
-    if len(names) <= _MAX_BROADCAST_TYPES:
-        pairs = [(name, code) for code, name in enumerate(sorted(names))]
-        codes = F.broadcast(
-            df.sparkSession.createDataFrame(pairs, "transaction_type string, _code long")
-        )
-    else:
-        codes = number_rows(types, ["transaction_type"], "_code", start=0)
+    codes = number_rows(types, ["transaction_type"], "_code", start=0)
     return df.join(codes, "transaction_type", "left").select(
         *df.columns, F.coalesce("_code", F.lit(-1)).cast("int").alias("trans_type_encoded")
     )
@@ -155,7 +143,7 @@ def _stats_by_join(df: DataFrame, hot: HotKeys) -> DataFrame:
     """For hot users: at most one row per hot user is joined back."""
     simple = [c.alias(n) for n, c in _user_stats().items() if n != "user_median_amount"]
     stats = df.groupBy("user_id").agg(*simple)
-    medians = exact_quantiles(df, "amount", [0.5], by=["user_id"], limit=hot.limit).select(
+    medians = exact_quantiles(df, "amount", [0.5], by=["user_id"]).select(
         "user_id", F.col("quantiles")[0].alias("user_median_amount")
     )
     return df.join(F.broadcast(stats.join(medians, "user_id", "left")), "user_id")
@@ -238,6 +226,7 @@ def _over_users(
             split = steps(split, Window.partitionBy("user_id", PIECE).orderBy(*order))
             heavy = split.filter(~F.col(LEAD_IN)).drop(LEAD_IN, PIECE)
         result = result.unionByName(heavy.drop(ROW))
+    result = result.drop(_WHEN)
     return _against_user(result) if stats else result
 
 
@@ -267,12 +256,6 @@ def create_all_features(
     return add_type_codes(result) if type_codes else result
 
 
-def feature_names(features: DataFrame) -> list[str]:
-    """Every engineered or numeric column, including the three that are not
-    part of the matrix (type name, type code and the interval)."""
-    return [c for c in features.columns if c not in NOT_FEATURES]
-
-
 def get_feature_matrix(features: DataFrame, names: list[str] | None = None) -> DataFrame:
     """``transaction_id`` and the numeric features, missing values as 0."""
     names = names or FEATURE_COLUMNS

@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.functions.quantiles import exact_quantile
+from ledgerlens.functions.quantiles import ACCURACY, exact_quantile
 from ledgerlens.functions.sampling import HASH, lowest_hashes
 from ledgerlens.settings import materialised
 
@@ -34,11 +35,9 @@ CLUSTERS = 5
 RESTARTS = 10
 MAX_ITERATIONS = 300
 PARALLEL_FITS = 5
-PARALLEL_FIT_ROWS = 5_000_000
 OUTLIER_PERCENTILE = 95
 SEED = 42
 ML_WEIGHT = 10
-MIN_ROWS_FOR_ML = 100
 
 _EULER = 0.5772156649015329
 
@@ -116,7 +115,8 @@ def _forest_sample(matrix: DataFrame, trees: int, seed: int) -> tuple[DataFrame,
     starting over at the end when the input is smaller, so a tree never holds a
     row twice.
     """
-    sample = lowest_hashes(matrix, "transaction_id", trees * SUBSAMPLE, seed).persist()
+    sample = lowest_hashes(matrix, "transaction_id", trees * SUBSAMPLE, seed)
+    sample = materialised(sample, "forest-sample")
     n = sample.count()
     per_tree = min(SUBSAMPLE, n)
     place = F.row_number().over(Window.orderBy(HASH, "transaction_id")) - 1
@@ -243,30 +243,38 @@ def with_centroid_distance(
     """``cluster`` and Euclidean ``distance_to_centroid`` to the nearest of
     the given centres, in built-in expressions."""
 
+    names = list(names)
+
     def squared(center: Sequence[float]) -> Column:
-        point = F.array(*[F.lit(float(v)) for v in center])
-        terms = F.zip_with("_x", point, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
+        return reduce(
+            lambda total, term: total + term,
+            [(F.col(n).cast("double") - F.lit(float(c))) ** 2 for n, c in zip(names, center)],
+            F.lit(0.0),
+        )
 
+    away = [f"_d{i}" for i in range(len(centers))]
+    nearest = F.least(*away) if len(away) > 1 else F.col(away[0])
+    cluster = F.coalesce(
+        *[F.when(F.col(d) == F.col("_nearest"), F.lit(i)) for i, d in enumerate(away)]
+    )
     return (
-        matrix.withColumn("_x", feature_array(names))
-        .withColumn("_d", F.array(*[squared(c) for c in centers]))
-        .withColumn("_nearest", F.array_min("_d"))
-        .withColumn("cluster", (F.array_position("_d", F.col("_nearest")) - 1).cast("int"))
+        matrix.withColumns({d: squared(c) for d, c in zip(away, centers)})
+        .withColumn("_nearest", nearest)
+        .withColumn("cluster", cluster.cast("int"))
         .withColumn("distance_to_centroid", F.sqrt("_nearest"))
-        .drop("_x", "_d", "_nearest")
+        .drop(*away, "_nearest")
     )
 
 
 def flag_distance_outliers(
-    distances: DataFrame, percentile: float = OUTLIER_PERCENTILE, limit: int | None = None
+    distances: DataFrame, percentile: float = OUTLIER_PERCENTILE, accuracy: int = ACCURACY
 ) -> DataFrame:
     """``is_outlier``: distance above its exact percentile.
 
     The distances are written once: the percentile and the flags read them.
     """
     distances = materialised(distances, "distances")
-    threshold = exact_quantile(distances, "distance_to_centroid", percentile / 100, limit)
+    threshold = exact_quantile(distances, "distance_to_centroid", percentile / 100, accuracy)
     return distances.withColumn(
         "is_outlier", F.col("distance_to_centroid") > F.lit(threshold)
     )
@@ -279,21 +287,26 @@ def fit_kmeans(
     random_state: int = SEED,
     restarts: int = RESTARTS,
 ) -> KMeansModel:
-    """Best of ``restarts`` runs by within-cluster cost."""
+    """Best of ``restarts`` runs by within-cluster cost.
+
+    The vectors are held once, in memory or on disk, for all runs; lost parts
+    are read again from the matrix.
+    """
     vectors = VectorAssembler(inputCols=list(names), outputCol="features").transform(matrix)
-    vectors = vectors.select("features")  # each fit caches its own input
+    vectors = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
 
     def run(restart: int) -> tuple[float, int, KMeansModel]:
         seed = random_state + restart
         model = KMeans(k=n_clusters, maxIter=MAX_ITERATIONS, seed=seed).fit(vectors)
         return model.summary.trainingCost, restart, model
 
-    # Small inputs leave executors idle between iterations, so their restarts
-    # run side by side; a large one would not fit the cache several times.
-    together = PARALLEL_FITS if matrix.count() <= PARALLEL_FIT_ROWS else 1
-    with ThreadPool(together) as pool:
-        fit = inheritable_thread_target(matrix.sparkSession)(run)
-        return min(pool.map(fit, range(restarts)), key=lambda done: done[:2])[2]
+    try:
+        vectors.count()  # fills the store before the runs start side by side
+        with ThreadPool(PARALLEL_FITS) as pool:
+            fit = inheritable_thread_target(matrix.sparkSession)(run)
+            return min(pool.map(fit, range(restarts)), key=lambda done: done[:2])[2]
+    finally:
+        vectors.unpersist()
 
 
 def predict_kmeans_outliers(

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.functions.quantiles import ACCURACY, exact_quantiles
+from ledgerlens.settings import materialised
 from ledgerlens.operators.scoring import get_top_risky_transactions, level_percentages
 
 HIGH_LEVELS = ["CRITICAL", "HIGH"]
 HISTOGRAM_BINS = 30
 WHISKER = 1.5
+# Names and order of the columns.
 DASHBOARD_COLUMNS = [
     "transaction_id", "user_id", "amount", "timestamp", "rule_triggered", "final_risk_score",
     "risk_level",
@@ -160,10 +162,14 @@ def score_histogram(alerts: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     )
 
 
-def amount_boxplot(alerts: DataFrame, limit: int | None = None) -> DataFrame:
-    """Box-plot numbers of the amount per level."""
+def amount_boxplot(alerts: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """Box-plot numbers of the amount per level.
+
+    Levels and amounts are written once, as three passes read them.
+    """
+    alerts = materialised(alerts.select("risk_level", "amount"), "amounts")
     quartiles = exact_quantiles(
-        alerts, "amount", [0.25, 0.5, 0.75], by=["risk_level"], limit=limit
+        alerts, "amount", [0.25, 0.5, 0.75], by=["risk_level"], accuracy=accuracy
     ).select(
         "risk_level",
         *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
@@ -171,10 +177,8 @@ def amount_boxplot(alerts: DataFrame, limit: int | None = None) -> DataFrame:
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     amount = F.col("amount")
     inside = amount.between(F.col("q1") - reach, F.col("q3") + reach)
-    # One row per risk level.
     return (
-        alerts.select("risk_level", "amount")
-        .join(F.broadcast(quartiles), "risk_level")
+        alerts.join(quartiles, "risk_level")
         .groupBy("risk_level", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, amount)).alias("whisker_low"),
@@ -252,8 +256,12 @@ def suspicious_rate(tx: DataFrame) -> DataFrame:
     )
 
 
-def describe_amount(tx: DataFrame, limit: int | None = None) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of the amount."""
+def describe_amount(tx: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
+    """Count, mean, deviation, extremes and exact quartiles of the amount.
+
+    The amounts are written once, as three passes read them.
+    """
+    tx = materialised(tx.select("amount"), "amounts")
     basic = tx.agg(
         F.count("amount").alias("count"),
         F.avg("amount").alias("mean"),
@@ -261,7 +269,7 @@ def describe_amount(tx: DataFrame, limit: int | None = None) -> DataFrame:
         F.min("amount").alias("min"),
         F.max("amount").alias("max"),
     )
-    quartiles = exact_quantiles(tx, "amount", [0.25, 0.5, 0.75], limit=limit).select(
+    quartiles = exact_quantiles(tx, "amount", [0.25, 0.5, 0.75], accuracy=accuracy).select(
         *[F.col("quantiles")[i].alias(n) for i, n in enumerate(("p25", "p50", "p75"))]
     )
     return _side_by_side(basic, quartiles)

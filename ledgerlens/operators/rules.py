@@ -142,7 +142,8 @@ def keep_first(flagged: DataFrame) -> DataFrame:
     An aggregate rather than a ranked window, so copies of one id combine
     before the shuffle.
     """
-    first = F.min_by(F.struct(*flagged.columns), F.struct("user_id", "timestamp"))
+    order = F.struct("user_id", "timestamp", "amount", "transaction_type")
+    first = F.min_by(F.struct(*flagged.columns), order)
     keys = ["transaction_id", "rule_triggered"]
     return flagged.groupBy(*keys).agg(first.alias("kept")).select("kept.*")
 
@@ -284,15 +285,19 @@ def _hot_dormant(df: DataFrame, days: float, rows: int) -> DataFrame:
             ),
         )
     )
-    gaps = spans.filter(F.col("_gap") > F.lit(period)).select(
-        "user_id", "_start", "_reach", F.expr("extract(DAY FROM _gap)").alias("_gap_days")
+    # A gap reaches over ``rows`` spans at most, so each span lies in at most
+    # that many gaps, and rows meet only the gaps of their own slot.
+    gap = F.struct("_start", "_reach", F.expr("extract(DAY FROM _gap)").alias("_gap_days"))
+    reached = F.collect_list(F.when(F.col("_gap") > F.lit(period), gap)).over(
+        by_slot.rowsBetween(1 - rows, 0)
+    )
+    gaps = spans.select("user_id", "_slot", reached.alias("_gaps")).select(
+        "user_id", "_slot", F.inline("_gaps")
     )
-    if days >= 1:
-        # Hot users times the number of such periods in the calendar.
-        gaps = F.broadcast(gaps)
     after = Window.partitionBy("user_id", "_start").orderBy("timestamp", "transaction_id")
     followed = (
-        df.join(gaps, "user_id")
+        df.withColumn("_slot", _slot("timestamp", width))
+        .join(gaps, ["user_id", "_slot"])
         .filter(F.col("timestamp").between(F.col("_start"), F.col("_reach")))
         .withColumn("_rank", F.row_number().over(after))
         .filter(F.col("_rank") <= rows)

@@ -108,7 +108,7 @@ def calculate_cumulative_scores(
     """
     extra = [c for c in OPTIONAL if c in combined.columns]
     grouped = combined.groupBy("transaction_id").agg(
-        *_firsts(PAYLOAD + extra, F.struct(_rule_rank(F.col("rule_triggered")), "timestamp")),
+        *_firsts(PAYLOAD + extra, F.struct(_rule_rank(F.col("rule_triggered")), "timestamp", "user_id", "amount", "transaction_type")),
         F.array_sort(F.collect_set("rule_triggered")).alias("rules"),
         F.sum("risk_score").alias("risk_score"),
         F.sum("weighted_score").alias("weighted_score"),
@@ -133,14 +133,14 @@ def score_flags(
         *[F.when(F.col(r).isNotNull(), i) for i, r in enumerate(RULE_ORDER)]
     )
     # The amount rule keeps repeats of an id, the others their first row.
-    seen = F.struct("user_id", "timestamp")
+    seen = F.struct("user_id", "timestamp", "amount", "transaction_type")
     per_rule = [F.sum(HIGH_VALUE).alias(HIGH_VALUE)] + [
         F.min_by(r, F.when(F.col(r).isNotNull(), seen)).alias(r)
         for r in RULE_ORDER
         if r != HIGH_VALUE
     ]
     grouped = wide.groupBy("transaction_id").agg(
-        *_firsts(PAYLOAD + extra, F.struct(first_rule, "timestamp")), *per_rule
+        *_firsts(PAYLOAD + extra, F.struct(first_rule, "timestamp", "user_id", "amount", "transaction_type")), *per_rule
     )
 
     def total(term):

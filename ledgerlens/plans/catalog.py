@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import settings
 from ledgerlens.functions.hot_keys import HotKeys, find_hot_keys
+from ledgerlens.functions.quantiles import ACCURACY, exact_quantiles
 from ledgerlens.operators import alerts as A
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import features as X
@@ -41,6 +43,10 @@ AS_OF = datetime(2024, 2, 10)
 #: queries; the results must be those of the ordinary route.
 FEW_ROWS = 20
 
+#: Accuracy at which the ``*_split`` queries bracket quantiles even in small
+#: groups; the results must be the same.
+COARSE = 400
+
 FLAG_COLUMNS = [
     "transaction_id", "user_id", "timestamp", "amount", "transaction_type",
     "rule_triggered", "risk_score",
@@ -277,6 +283,47 @@ def alert_table_scan(spark, d):
     return store.read()
 
 
+@query
+def alert_store_changes(spark, d):
+    """Insert, review, delete and replace through the stored table, then its scan."""
+    store = AlertStore(spark, settings.scratch_path(spark, "alerts"))
+    flags = R.detect_high_value_transactions(transactions(spark, d))
+    store.store_alerts(S.score_flags(flags), created_at=FIRST_LOAD)
+    scored = settings.materialised(scored_view(spark, d), "scored")
+    store.store_alerts(scored, created_at=SECOND_LOAD)
+    store.update_statuses(_reviews(store.read()), REVIEWED)
+    store.delete_alerts(store.read().filter("risk_level = 'LOW'"))
+    store.store_alerts(scored.filter("risk_level = 'CRITICAL'"), True, SECOND_LOAD)
+    return store.read()
+
+
+@query
+def alert_store_compacted(spark, d):
+    """The same table after its changes were merged into one snapshot."""
+    path = settings.scratch_path(spark, "alerts")
+    store = AlertStore(spark, path)
+    store.store_alerts(scored_view(spark, d), created_at=FIRST_LOAD)
+    store.update_statuses(_reviews(store.read()), REVIEWED)
+    store.compact()
+    return AlertStore(spark, path).read()
+
+
+@query
+def alert_store_cleared(spark, d):
+    """Rows before and after clearing, and the first id given out afterwards."""
+    store = AlertStore(spark, settings.scratch_path(spark, "alerts"))
+    scored = settings.materialised(scored_view(spark, d), "scored")
+    store.store_alerts(scored, created_at=FIRST_LOAD)
+    kept = store.clear_all_alerts()
+    cleared = store.clear_all_alerts(confirm=True)
+    left = store.read().count()
+    store.store_alerts(scored.filter("risk_level = 'CRITICAL'"), created_at=SECOND_LOAD)
+    return store.read().agg(F.min("alert_id").alias("first_id"), F.count("*").alias("again")).select(
+        F.lit(kept).cast("long").alias("kept"), F.lit(cleared).cast("long").alias("cleared"),
+        F.lit(left).cast("long").alias("left_over"), "first_id", "again",
+    )
+
+
 # --- features ---------------------------------------------------------------------
 
 
@@ -409,11 +456,11 @@ def stored_scaler(spark, d):
 CENTERS = [[0.0] * len(X.FEATURE_COLUMNS), [1.0] * len(X.FEATURE_COLUMNS)]
 
 
-def _distances(matrix: DataFrame, limit: int | None = None) -> DataFrame:
+def _distances(matrix: DataFrame, accuracy: int = ACCURACY) -> DataFrame:
     placed = M.with_centroid_distance(matrix, X.FEATURE_COLUMNS, CENTERS).select(
         "transaction_id", "cluster", "distance_to_centroid"
     )
-    return M.flag_distance_outliers(placed, limit=limit)
+    return M.flag_distance_outliers(placed, accuracy=accuracy)
 
 
 @query
@@ -423,8 +470,8 @@ def distance_outliers(spark, d):
 
 @query
 def distance_outliers_split(spark, d):
-    """The same with the percentile found piece by piece."""
-    return rounded(_distances(_matrix(spark, d), limit=1000), 4, "distance_to_centroid")
+    """The same with the percentile found between two approximate ones."""
+    return rounded(_distances(_matrix(spark, d), accuracy=COARSE), 4, "distance_to_centroid")
 
 
 @query
@@ -465,7 +512,19 @@ def full_run(spark, d):
     store = AlertStore(spark, settings.scratch_path(spark, "full-run"))
     run = D.detect_and_store(transactions(spark, d), store, created_at=FIRST_LOAD)
     summary = cents(rounded(run.summary, 4, "average_score", "flag_rate"), "flagged_amount")
-    return summary.withColumn("stored", F.lit(run.stored).cast("long"))
+    parts = [
+        summary.withColumn("stored", F.lit(run.stored).cast("long")),
+        run.top_transactions.agg(F.sum("final_risk_score").alias("top_ten_score")),
+        run.high_risk_users.agg(F.count("user_id").alias("high_risk_users")),
+        run.rule_effectiveness.agg(F.sum("count").alias("rule_hits")),
+        run.metrics.select("true_positives", "false_positives", "false_negatives"),
+        run.patterns.agg(
+            F.sum("detected").alias("detected_labels"), F.sum("total").alias("labels")
+        ),
+    ]
+    # One row each.
+    tagged = [p.withColumn("_one", F.lit(1)) for p in parts]
+    return reduce(lambda a, b: a.join(b, "_one"), tagged).drop("_one")
 
 
 @query
@@ -622,7 +681,7 @@ def amount_boxplot(spark, d):
 
 @query
 def amount_boxplot_split(spark, d):
-    return rounded(P.amount_boxplot(scored_view(spark, d), limit=500), 4, *BOX)
+    return rounded(P.amount_boxplot(scored_view(spark, d), accuracy=COARSE), 4, *BOX)
 
 
 @query
@@ -671,7 +730,7 @@ def amount_describe(spark, d):
 
 @query
 def amount_describe_split(spark, d):
-    return rounded(P.describe_amount(transactions(spark, d), limit=500), 4, *DESCRIBED)
+    return rounded(P.describe_amount(transactions(spark, d), accuracy=COARSE), 4, *DESCRIBED)
 
 
 # --- sources and sinks ----------------------------------------------------------------
@@ -747,3 +806,46 @@ def stream_alert_sink(spark, d):
     flags = high_value_stream(transactions(spark, d, streaming=True))
     write_alerts(flags, store, f"{path}/checkpoint", created_at=FIRST_LOAD).awaitTermination()
     return store.read()
+
+
+@query
+def stream_alert_sink_two_rules(spark, d):
+    """Two streamed rules, in several micro-batches, merged into one alert table."""
+    path = settings.scratch_path(spark, "streamed-alerts")
+    tx = transactions(spark, d)
+    # Files in time order: the velocity rule follows time.
+    cuts = exact_quantiles(
+        tx.select(F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("t")), "t", [0.3, 0.6]
+    ).first()["quantiles"]
+    seconds = F.unix_seconds(F.col("timestamp").cast("timestamp"))
+    part = sum((F.when(seconds > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    for i in range(len(cuts) + 1):
+        tx.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    store = AlertStore(spark, f"{path}/table")
+    for rule in (high_value_stream, velocity_stream):
+        checkpoint = f"{path}/{rule.__name__}"
+        write_alerts(rule(stream), store, checkpoint, created_at=FIRST_LOAD).awaitTermination()
+    return store.read().select("transaction_id", "rules_triggered", "risk_score", "risk_level")
+
+
+def _sheet(name: str, finish: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    def read_back(spark, d):
+        path = settings.scratch_path(spark, "reports")
+        suite = exports.generate_all_reports(
+            scored_view(spark, d), transactions(spark, d), path, stamp="run"
+        )
+        return finish(spark.read.parquet(f"{suite['sheets']}/{name}"))
+
+    read_back.__name__ = f"report_suite_{name}"
+    read_back.__doc__ = f"The table {name} of the report suite, read back."
+    query(read_back)
+
+
+_sheet("all_alerts", _scored)
+_sheet("high_risk_alerts", _scored)
+_sheet("rule_effectiveness")
+_sheet(
+    "summary",
+    lambda df: cents(rounded(df, 4, "avg_risk_score", "flag_rate"), "total_volume", "flagged_volume"),
+)

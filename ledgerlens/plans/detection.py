@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 
-from ledgerlens.functions.hot_keys import HotKeys
+from ledgerlens.functions.hot_keys import HotKeys, find_hot_keys
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import models as M
 from ledgerlens.operators import reports as P
@@ -36,11 +36,11 @@ def run_detection(
     settings: RuleSettings | None = None,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Scored transactions; with ``use_ml`` and more than 100 rows also
-    whether the isolation forest found them unusual."""
+    """Scored transactions; with ``use_ml`` also whether the isolation forest
+    found them unusual (``ml_flagged``), however few there are."""
+    hot = find_hot_keys(tx) if hot is None else hot
     scored = score_transactions(tx, settings, hot)
-    enough = M.MIN_ROWS_FOR_ML + 1
-    if not use_ml or len(tx.select("transaction_id").take(enough)) < enough:
+    if not use_ml:
         return scored
     return M.with_ml_flag(scored, forest_predictions(scaled_matrix(tx, hot)))
 
@@ -89,21 +89,25 @@ def detect_and_store(
 ) -> DetectionRun:
     """Rules, scores, alert table, analysis and, if labelled, evaluation.
 
-    The scored transactions are written once; the store and every summary
-    read them.
+    The scored transactions are written once; the store and every part of the
+    analysis read them, and every part is computed and written by this run.
     """
     scored = materialised(score_transactions(tx, hot=hot), "scored")
     stored = store.store_alerts(scored, overwrite=True, created_at=created_at)
     found = {"Scored": E.flagged_ids(scored)}
+
+    def part(name: str, df: DataFrame | None) -> DataFrame | None:
+        return None if df is None else materialised(df, name)
+
     return DetectionRun(
         scored,
         stored,
-        S.get_top_risky_transactions(scored, 10),
-        S.get_high_risk_users(scored),
-        P.rule_effectiveness(scored),
-        E.compare_with_ground_truth(tx, found),
-        E.pattern_detection_rate(tx, scored),
-        P.run_summary(tx, scored),
+        part("top", S.get_top_risky_transactions(scored, 10)),
+        part("users", S.get_high_risk_users(scored)),
+        part("rules", P.rule_effectiveness(scored)),
+        part("metrics", E.compare_with_ground_truth(tx, found)),
+        part("patterns", E.pattern_detection_rate(tx, scored)),
+        part("summary", P.run_summary(tx, scored)),
     )
 
 
@@ -146,6 +150,7 @@ def compare_methods(
     hot: HotKeys | None = None,
 ) -> MethodComparison:
     """Rules, forest, k-means and hybrid against the labels."""
+    hot = find_hot_keys(tx) if hot is None else hot
     matrix = scaled_matrix(tx, hot)
     # Narrow, and each feeds several results.
     rules = materialised(evaluate_rules_based(tx, hot), "rules-ids")

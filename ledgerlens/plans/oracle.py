@@ -419,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
     describe = _with([TX], _DESCRIBE)
     percentages = _with(SCORED, _PERCENTAGES)
     top_ten = _with(SCORED, _TOP_TEN)
-    return {
+    statements = {
         "rule_high_value": high_value,
         "rule_velocity": velocity,
         "rule_structuring": _with([TX, STRUCTURING], f"select {_FLAG_SELECT} from structuring"),
@@ -579,7 +579,58 @@ best as (
             "from tx), 4) as flag_rate from scored)",
         ),
         "run_summary": _with(SCORED, f"select {_RUN_SUMMARY} from scored"),
-        "full_run": _with(SCORED, f"select {_RUN_SUMMARY}, count(*) as stored from scored"),
+        "full_run": _with(
+            SCORED,
+            f"select {_RUN_SUMMARY}, count(*) as stored, "
+            f"(select cast(sum(final_risk_score) as bigint) from ({_TOP_TEN})) as top_ten_score, "
+            "(select count(distinct user_id) from scored where risk_level in "
+            "('HIGH', 'CRITICAL')) as high_risk_users, "
+            "(select cast(sum(len(string_split(rule_triggered, ', '))) as bigint) from scored) as rule_hits, "
+            "(select count(distinct transaction_id) from tx where suspicious_pattern is not null "
+            "and transaction_id in (select transaction_id from scored)) as true_positives, "
+            "(select count(distinct transaction_id) from scored where transaction_id not in "
+            "(select transaction_id from tx where suspicious_pattern is not null)) "
+            "as false_positives, "
+            "(select count(distinct transaction_id) from tx where suspicious_pattern is not null "
+            "and transaction_id not in (select transaction_id from scored)) as false_negatives, "
+            "(select count(*) from (select distinct transaction_id, suspicious_pattern from tx "
+            "where suspicious_pattern is not null) where transaction_id in "
+            "(select transaction_id from scored)) as detected_labels, "
+            "(select count(*) from (select distinct transaction_id, suspicious_pattern from tx "
+            "where suspicious_pattern is not null)) as labels from scored",
+        ),
+        "sampled_transactions": _with(
+            [TX],
+            "select *, suspicious_pattern is not null as is_suspicious from tx "
+            "order by md5(concat(transaction_id, ':42')), transaction_id limit 10000",
+        ),
+        "alert_store_changes": _with(
+            ALL_ALERTS,
+            "select * from reviewed where risk_level not in ('LOW') and transaction_id not in "
+            "(select transaction_id from scored where risk_level = 'CRITICAL') union all "
+            "select row_number() over (order by transaction_id) "
+            f"+ (select max(alert_id) from alerts), {_ALERT_COLUMNS} "
+            f"{_ALERT_REST.format(at='2024-02-05')} from scored where risk_level = 'CRITICAL'",
+        ),
+        "alert_store_compacted": _with(
+            SCORED,
+            f"""select * replace (
+              case when risk_level = 'HIGH' then 'UNDER_REVIEW' else status end as status,
+              case when risk_level = 'HIGH' then 'analyst' end as reviewed_by,
+              case when risk_level = 'HIGH' then cast('2024-02-06' as timestamp) end as reviewed_at)
+            from (select row_number() over (order by transaction_id) as alert_id, {_ALERT_COLUMNS}
+                  {_ALERT_REST.format(at='2024-02-01')} from scored)""",
+        ),
+        "alert_store_cleared": _with(
+            SCORED,
+            "select cast(0 as bigint) as kept, count(*) as cleared, cast(0 as bigint) as left_over, "
+            "case when count(*) filter (where risk_level = 'CRITICAL') > 0 then count(*) + 1 end "
+            "as first_id, count(*) filter (where risk_level = 'CRITICAL') as again from scored",
+        ),
+        "report_suite_all_alerts": scored,
+        "report_suite_high_risk_alerts": _with(
+            SCORED, "select * from scored where risk_level in ('HIGH', 'CRITICAL')"
+        ),
         "dataset_overview": _with(
             SCORED,
             "select count(*) as total_transactions, count(distinct user_id) as unique_users, "
@@ -674,4 +725,19 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
         "stream_alert_sink": _with(
             [TX, HIGH_VALUE, *FIRST_ALERTS], "select * from first_alerts"
         ),
+        "stream_alert_sink_two_rules": _with(
+            [
+                TX,
+                HIGH_VALUE,
+                VELOCITY,
+                "two_rules as (select *, risk_score * cast(1.0 as double) as weighted_score "
+                "from high_value union all select *, risk_score * cast(1.2 as double) from velocity)",
+                _scored("two_scored", "two_rules"),
+            ],
+            "select transaction_id, rule_triggered as rules_triggered, "
+            "final_risk_score as risk_score, risk_level from two_scored",
+        ),
     }
+    statements["report_suite_rule_effectiveness"] = statements["rule_effectiveness"]
+    statements["report_suite_summary"] = statements["summary_report"]
+    return statements

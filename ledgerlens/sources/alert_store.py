@@ -1,22 +1,31 @@
 """Alert table kept as versioned Parquet.
 
 A path cannot be overwritten while it is read, so every change adds a
-``version=N`` directory: inserts add only the new rows, other changes a full
-snapshot.  A version counts once its ``_SUCCESS`` marker is there, so a job
-that dies half-way leaves the previous state in force.
+``version=N`` directory: inserts only the new rows, reviews, deletes and
+replacements only the rows they change.  Reading merges them by alert id, and
+``compact`` writes one full snapshot.  A version counts once its ``_SUCCESS``
+marker is there, so a job that dies half-way leaves the previous state in force.
+
+One writer at a time: of two that write at once, the second fails.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlens.operators import alerts as A
+from ledgerlens.settings import materialised
 
-_FULL, _ADDED = "full", "added"
+# Kinds of versions: everything, new rows only, or changed and deleted rows.
+_FULL, _ADDED, _DELTA = "full", "added", "delta"
+_DELETED, _VERSION = "_deleted", "_version"
+_DELTA_SCHEMA = T.StructType([*A.ALERT_SCHEMA, T.StructField(_DELETED, T.BooleanType())])
 
 
 def _now() -> datetime:
@@ -28,6 +37,7 @@ class Version(NamedTuple):
     kind: str
     next_id: int
     path: str
+    tag: str
 
 
 class AlertStore:
@@ -41,19 +51,26 @@ class AlertStore:
 
     # --- versions
 
-    def _versions(self) -> list[Version]:
-        """Complete versions from the newest full snapshot on."""
+    def _list(self, pattern: str) -> list[str]:
         jvm = self.spark.sparkContext._jvm
-        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.path}/version=*/*/next_id=*/_SUCCESS")
-        files = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        glob = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        files = glob.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [status.getPath().toString() for status in files.globStatus(glob) or []]
+
+    def _complete(self) -> list[Version]:
         found = []
-        for status in files.globStatus(pattern) or []:
-            folder = status.getPath().getParent().toString()
+        for marker in self._list("version=*/*/next_id=*/_SUCCESS"):
+            folder = marker.rsplit("/", 1)[0]
             *_, number, kind, next_id = folder.split("/")
+            kind, _, tag = kind.partition("@")
             found.append(
-                Version(int(number.split("=")[1]), kind, int(next_id.split("=")[1]), folder)
+                Version(int(number.split("=")[1]), kind, int(next_id.split("=")[1]), folder, tag)
             )
-        found.sort()
+        return sorted(found)
+
+    def _versions(self) -> list[Version]:
+        """Complete versions from the newest full snapshot on."""
+        found = self._complete()
         full = max((i for i, v in enumerate(found) if v.kind == _FULL), default=0)
         return found[full:]
 
@@ -61,21 +78,53 @@ class AlertStore:
         """The highest id ever given out, plus one; ids are not used again."""
         return self._versions()[-1].next_id
 
-    def _write(self, alerts: DataFrame, next_id: int, kind: str = _FULL) -> None:
-        versions = self._versions()
-        number = versions[-1].number + 1 if versions else 1
-        alerts.select(*A.ALERT_SCHEMA.fieldNames()).write.mode("overwrite").parquet(
-            f"{self.path}/version={number:06d}/{kind}/next_id={next_id}"
+    def applied(self, tag: str) -> bool:
+        """Whether a change was written under this tag."""
+        return any(v.tag == tag for v in self._complete())
+
+    def _write(self, rows: DataFrame, next_id: int, kind: str = _FULL, tag: str = "") -> None:
+        # Numbers of versions that were never completed are not used again.
+        taken = [int(p.rsplit("=", 1)[1]) for p in self._list("version=*")]
+        number = max(taken, default=0) + 1
+        schema = _DELTA_SCHEMA if kind == _DELTA else A.ALERT_SCHEMA
+        folder = f"{kind}@{tag}" if tag else kind
+        rows.select(*schema.fieldNames()).write.mode("errorifexists").parquet(
+            f"{self.path}/version={number:06d}/{folder}/next_id={next_id}"
         )
 
     def read(self) -> DataFrame:
-        paths = [v.path for v in self._versions()]
-        return self.spark.read.schema(A.ALERT_SCHEMA).parquet(*paths)
+        versions = self._versions()
+        plain = [v.path for v in versions if v.kind != _DELTA]
+        if len(plain) == len(versions):
+            return self.spark.read.schema(A.ALERT_SCHEMA).parquet(*plain)
+        parts = [
+            self.spark.read.schema(_DELTA_SCHEMA if v.kind == _DELTA else A.ALERT_SCHEMA)
+            .parquet(v.path)
+            .withColumns({
+                _VERSION: F.lit(v.number),
+                _DELETED: F.col(_DELETED) if v.kind == _DELTA else F.lit(False),
+            })
+            for v in versions
+        ]
+        rows = reduce(DataFrame.unionByName, parts)
+        latest = F.max_by(F.struct(*rows.drop(_VERSION).columns), _VERSION).alias("row")
+        return (
+            rows.groupBy(F.col("alert_id").alias("_id")).agg(latest)
+            .select("row.*").filter(~F.col(_DELETED)).drop(_DELETED)
+        )
+
+    def compact(self) -> None:
+        """Write one full snapshot, so that reading no longer merges."""
+        self._write(self.read(), self._next_id())
 
     # --- changes
 
     def store_alerts(
-        self, scored: DataFrame, overwrite: bool = False, created_at: datetime | None = None
+        self,
+        scored: DataFrame,
+        overwrite: bool = False,
+        created_at: datetime | None = None,
+        tag: str = "",
     ) -> int:
         """Insert new alerts, or with ``overwrite`` replace existing ones.
 
@@ -87,11 +136,32 @@ class AlertStore:
         fresh = A.with_alert_ids(incoming(current, scored, created_at), start)
         stored = fresh.count()  # already written, so this only counts
         if stored and overwrite:
-            self._write(A.merge(current, fresh), start + stored)
+            replaced = current.join(fresh.select("transaction_id"), "transaction_id", "left_semi")
+            self._write(self._delta(fresh, replaced), start + stored, _DELTA, tag)
         elif stored:
-            self._write(fresh, start + stored, _ADDED)
+            self._write(fresh, start + stored, _ADDED, tag)
         return stored
 
+    @staticmethod
+    def _delta(changed: DataFrame, deleted: DataFrame | None = None) -> DataFrame:
+        rows = changed.withColumn(_DELETED, F.lit(False))
+        if deleted is None:
+            return rows
+        return rows.unionByName(deleted.withColumn(_DELETED, F.lit(True)))
+
+    def rescore(self, scored: DataFrame, created_at: datetime | None = None, tag: str = "") -> int:
+        """Insert new alerts; existing ones get the new score, level and rules
+        and keep their id and review.  Returns the number of rows written."""
+        current, start = self.read(), self._next_id()
+        scored = materialised(scored, "rescored")
+        fresh = A.with_alert_ids(A.new_alerts(current, scored, created_at or _now()), start)
+        added = fresh.count()
+        changed = materialised(A.rescored(current, scored), "rescored-alerts")
+        total = added + changed.count()
+        if total:
+            self._write(self._delta(fresh.unionByName(changed)), start + added, _DELTA, tag)
+        return total
+
     def update_alert_status(
         self,
         alert_id: int,
@@ -107,21 +177,25 @@ class AlertStore:
         return self.update_statuses(updates, reviewed_at) > 0
 
     def update_statuses(self, updates: DataFrame, reviewed_at: datetime | None = None) -> int:
-        """Apply many reviews in one rewrite; returns the alerts changed."""
-        alerts = self.read()
-        matched = alerts.join(updates.select("alert_id"), "alert_id", "left_semi").count()
-        if matched:
-            changed = A.update_status(alerts, updates, reviewed_at or _now())
-            self._write(changed, self._next_id())
-        return matched
+        """Apply reviews; only the alerts they change are written.  Returns their number."""
+        matched = self.read().join(updates.select("alert_id"), "alert_id", "left_semi")
+        changed = materialised(A.update_status(matched, updates, reviewed_at or _now()), "reviewed")
+        count = changed.count()
+        if count:
+            self._write(self._delta(changed), self._next_id(), _DELTA)
+        return count
+
+    def delete_alerts(self, ids: DataFrame) -> int:
+        """Delete the alerts with the given ``alert_id``; returns their number."""
+        found = self.read().join(ids.select("alert_id"), "alert_id", "left_semi")
+        found = materialised(found, "deleted")
+        count = found.count()
+        if count:
+            self._write(self._delta(found.limit(0), found), self._next_id(), _DELTA)
+        return count
 
     def delete_alert(self, alert_id: int) -> bool:
-        alerts = self.read()
-        ids = self.spark.createDataFrame([(alert_id,)], "alert_id long")
-        found = alerts.join(F.broadcast(ids), "alert_id", "left_semi").count() > 0
-        if found:
-            self._write(A.delete_alerts(alerts, ids), self._next_id())
-        return found
+        return self.delete_alerts(self.spark.createDataFrame([(alert_id,)], "alert_id long")) > 0
 
     def clear_all_alerts(self, confirm: bool = False) -> int:
         """Empty the table; does nothing unless ``confirm`` is given."""

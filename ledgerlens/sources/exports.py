@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from ledgerlens.operators import reports as R
 from ledgerlens.sources.transactions import write_csv
 
+# Names and order of the columns.
 EXPORT_COLUMNS = [
     "transaction_id", "user_id", "amount", "timestamp", "transaction_type", "rule_triggered",
     "final_risk_score", "risk_level",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,18 +28,6 @@ TRANSACTION_SCHEMA = T.StructType(
     ]
 )
 
-USER_SCHEMA = T.StructType(
-    [
-        *[
-            T.StructField(name, T.StringType())
-            for name in ("user_id", "name", "email", "phone", "address", "city", "state", "country")
-        ],
-        T.StructField("account_created_date", T.DateType()),
-        T.StructField("account_type", T.StringType()),
-        T.StructField("risk_category", T.StringType()),
-    ]
-)
-
 REQUIRED = ["transaction_id", "user_id", "timestamp", "amount", "transaction_type"]
 OPTIONAL = ["merchant", "counterparty", "location", "description"]
 
@@ -61,25 +51,70 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = TRANSACTION_SCHEMA,
+    multiline: bool = False,
+    escaped: bool = False,
 ) -> DataFrame:
-    """CSV scan with a header, typed by name without an inference pass."""
-    reader = spark.read.option("header", True).option("escape", '"')
+    """CSV scan with a header, typed by name without an inference pass.
+
+    Files are split between tasks at line ends.  Files of other programs whose
+    quoted values hold line breaks need ``multiline``, which reads every file
+    in one task; files written with ``breaks="escape"`` need ``escaped``.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     names = reader.csv(path).columns
     known = {f.name: f for f in schema}
     typed = T.StructType([known.get(n, T.StructField(n, T.StringType())) for n in names])
-    return reader.schema(typed).csv(path)
+    rows = reader.schema(typed).csv(path)
+    return _on_strings(rows, _unescape) if escaped else rows
 
 
-def load_transactions(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def load_transactions(
+    spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False, escaped: bool = False
+) -> DataFrame:
     if fmt == "csv":
-        return normalise(read_csv(spark, path))
+        return normalise(read_csv(spark, path, multiline=multiline, escaped=escaped))
     return normalise(spark.read.format(fmt).load(path))
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """CSV sink; one file per partition under ``path``."""
-    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+def _on_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: change(F.col(c)) for c in text}) if text else df
+
+
+# A backslash is doubled before line breaks turn into letters behind one; on
+# the way back a private character keeps the doubled ones apart.
+_KEPT = "\ue000"
+
+
+def _escape(column: Column) -> Column:
+    for old, new in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        column = F.replace(column, F.lit(old), F.lit(new))
+    return column
+
+
+def _unescape(column: Column) -> Column:
+    for old, new in (("\\\\", _KEPT), ("\\n", "\n"), ("\\r", "\r"), (_KEPT, "\\")):
+        column = F.replace(column, F.lit(old), F.lit(new))
+    return column
+
+
+def _refuse(column: Column) -> Column:
+    broken = F.raise_error(F.lit("a value holds a line break; write with breaks='escape'"))
+    return F.when(column.rlike("[\r\n]"), broken.cast("string")).otherwise(column)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", breaks: str = "refuse") -> str:
+    """CSV sink; one file per partition under ``path``.
+
+    A line break inside a value would split its row for readers that split
+    files, so such values are refused, or with ``breaks="escape"`` written as
+    a backslash and a letter, or with ``breaks="keep"`` as they are.
+    """
+    change = {"refuse": _refuse, "escape": _escape, "keep": lambda c: c}[breaks]
+    writer = _on_strings(df, change).write.mode(mode).option("header", True).option("escape", '"')
     # The default format drops microseconds.
     writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(path)
     return path

@@ -2,35 +2,64 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlens.operators.scoring import score_flags
 from ledgerlens.sources.alert_store import AlertStore
 
 
+def _hits_of(hits: DataFrame, touched: DataFrame) -> DataFrame:
+    """All hits of the touched transactions; a rule's hits on one transaction
+    count once even if several streams have seen them."""
+    related = hits.join(touched, "transaction_id", "left_semi")
+    once = related.groupBy("transaction_id", "rule_triggered").agg(F.min("stream").alias("stream"))
+    return related.join(once, ["transaction_id", "rule_triggered", "stream"]).drop("stream", "batch")
+
+
 def write_alerts(
     flags: DataFrame,
     store: AlertStore,
     checkpoint: str,
     overwrite: bool = False,
     created_at: datetime | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Score each micro-batch of flags and merge it into the store.
+    """Merge each micro-batch of rule hits into the store.
 
-    A batch that is run again finds its transactions already stored, so the
-    result is the same.
+    Any number of streams, one at a time, may feed one store.  Their hits are kept below the
+    store's path, by stream and batch; the transactions of a batch are scored
+    from all their hits of all streams.  Existing alerts get the new score,
+    level and rules and keep their id and review; with ``overwrite`` they are
+    replaced.  A batch that is run again changes nothing.  ``trigger`` holds
+    the arguments of ``DataStreamWriter.trigger``; by default all that is
+    there is read and the query ends.
     """
+    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    folder = f"{store.path}/hits"
 
-    def merge(batch: DataFrame, _: int) -> None:
-        store.store_alerts(score_flags(batch), overwrite, created_at)
+    def merge(batch: DataFrame, number: int) -> None:
+        tag = f"{stream}.{number}"
+        # Written even if applied before: a stateful stream wants its rows consumed.
+        batch.write.mode("overwrite").parquet(f"{folder}/stream={stream}/batch={number}")
+        if store.applied(tag):
+            return
+        hits = batch.sparkSession.read.option("mergeSchema", True).parquet(folder)
+        own = hits.filter((F.col("stream") == stream) & (F.col("batch") == number))
+        scored = score_flags(_hits_of(hits, own.select("transaction_id").distinct()))
+        if overwrite:
+            store.store_alerts(scored, True, created_at, tag)
+        else:
+            store.rescore(scored, created_at, tag)
 
     return (
         flags.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(merge)
         .start()
     )

@@ -16,13 +16,9 @@ from ledgerlens.operators.rules import (
     VELOCITY_SCORES,
     detect_high_value_transactions,
 )
+from ledgerlens.sources.transactions import OPTIONAL
 
-_STATE = "fired boolean, micros array<long>, ids array<string>, amounts array<double>, types array<string>"
-_OUTPUT = (
-    "transaction_id string, user_id string, micros long, amount double, "
-    "transaction_type string, rule_triggered string, risk_score int"
-)
-_HELD = ["micros", "transaction_id", "amount", "transaction_type"]
+_HELD = {"micros": "long", "transaction_id": "string", "amount": "double", "transaction_type": "string"}
 
 
 def high_value_stream(stream: DataFrame, threshold: float = 10_000) -> DataFrame:
@@ -47,6 +43,17 @@ def _earliest_per_slot(rows: pd.DataFrame, needed: int, width: int) -> pd.DataFr
     return rows[micros <= latest[slot]]
 
 
+def _candidates(batches: Iterator[pd.DataFrame], needed: int, width: int) -> Iterator[pd.DataFrame]:
+    """Of each user's window-wide slots the ``needed`` earliest rows, with ties.
+
+    Runs before the shuffle, so that a user with very many rows sends few.
+    """
+    for rows in batches:
+        slot = rows["micros"] // width
+        micros = rows.groupby([rows["user_id"], slot], sort=False)["micros"]
+        yield rows[micros.rank(method="min") <= needed]
+
+
 def _first_burst(rows: pd.DataFrame, needed: int, width: int) -> pd.DataFrame | None:
     """Rows of the earliest window with ``needed`` rows, if there is one."""
     if len(rows) < needed:
@@ -68,9 +75,17 @@ def velocity_stream(
     """Emit a user's first burst in the micro-batch that completes it.
 
     Each user fires once.  State holds a bounded number of rows per window
-    width, and is dropped when the watermark has passed the last of them.  On
-    input in time order the result equals the batch rule.
+    width, and is dropped when the watermark has passed the last of them; of a
+    user who fired it keeps that fact only, one flag per user for good.  On
+    input in time order the result equals the batch rule.  Merchant,
+    counterparty, location and description are kept if they are there.
     """
+    extra = [c for c in OPTIONAL if c in stream.columns]
+    kinds = {**_HELD, **{c: "string" for c in extra}}
+    names = list(kinds)
+    state_schema = "fired boolean, " + ", ".join(f"{c} array<{k}>" for c, k in kinds.items())
+    found = {"user_id": "string", **kinds, "rule_triggered": "string", "risk_score": "int"}
+    output = ", ".join(f"{c} {k}" for c, k in found.items())
     width = int(timedelta(hours=time_window_hours).total_seconds() * 1_000_000)
     base, tiers = VELOCITY_SCORES
 
@@ -80,21 +95,20 @@ def velocity_stream(
         if state.hasTimedOut:
             state.remove()
             return
-        fired, *held = state.get if state.exists else (False, [], [], [], [])
+        fired, *held = state.get if state.exists else (False, *[[] for _ in names])
         held = [list(values) for values in held]
         if fired:
             return
-        rows = pd.DataFrame(dict(zip(_HELD, held))) if held[0] else None
+        rows = pd.DataFrame(dict(zip(names, held))) if held[0] else None
         for batch in batches:
-            rows = batch[_HELD] if rows is None else pd.concat([rows, batch[_HELD]])
+            rows = batch[names] if rows is None else pd.concat([rows, batch[names]])
             rows = _earliest_per_slot(rows, transaction_threshold, width)
         burst = _first_burst(rows, transaction_threshold, width)
         if burst is not None:
-            state.update((True, [], [], [], []))
+            state.update((True, *[[] for _ in names]))
             score = max([base] + [points for bound, points in tiers if len(burst) >= bound])
             yield burst.assign(user_id=key[0], rule_triggered=VELOCITY, risk_score=score)[
-                ["transaction_id", "user_id", "micros", "amount", "transaction_type",
-                 "rule_triggered", "risk_score"]
+                list(found)
             ]
             return
         # Rows still to come are later than the watermark.
@@ -102,7 +116,7 @@ def velocity_stream(
         if rows.empty:
             state.remove()
             return
-        state.update((False, *[rows[c].tolist() for c in _HELD]))
+        state.update((False, *[rows[c].tolist() for c in names]))
         expiry = (int(rows["micros"].max()) + 2 * width) // 1000
         state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
 
@@ -110,18 +124,20 @@ def velocity_stream(
     keyed = (
         stream.filter(F.col("user_id").isNotNull() & F.col("timestamp").isNotNull())
         .select(
-            "transaction_id", "user_id", "amount", "transaction_type",
+            "user_id", *[c for c in names if c != "micros"],
             F.expr(f"timestampdiff(MICROSECOND, {epoch}, timestamp)").alias("micros"),
         )
         # The watermark needs an instant; the rule itself compares ``micros``.
         .withColumn("event_time", F.timestamp_micros("micros"))
-        .withWatermark("event_time", watermark)
     )
-    flagged = keyed.groupBy("user_id").applyInPandasWithState(
-        step, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    few = keyed.mapInPandas(
+        lambda batches: _candidates(batches, transaction_threshold, width), keyed.schema
+    ).withWatermark("event_time", watermark)
+    flagged = few.groupBy("user_id").applyInPandasWithState(
+        step, output, state_schema, "append", GroupStateTimeout.EventTimeTimeout
     )
     return flagged.select(
         "transaction_id", "user_id",
         F.expr(f"timestampadd(MICROSECOND, micros, {epoch})").alias("timestamp"),
-        "amount", "transaction_type", "rule_triggered", "risk_score",
+        "amount", "transaction_type", *extra, "rule_triggered", "risk_score",
     )

@@ -142,3 +142,48 @@ def test_transforms_without_a_store(spark, smoke):
     again = A.upsert(first, smoke.filter("transaction_id = 'T1'"), JAN)
     assert {t: r["alert_id"] for t, r in by_id(again).items()} == {"T1": 4, "T2": 2, "T3": 3}
     assert A.delete_alerts(again, again.filter("alert_id = 4")).count() == 2
+
+
+def rows_written(store):
+    return [store.spark.read.parquet(v.path).count() for v in store._complete()]
+
+
+def test_one_review_writes_one_row_and_compacting_keeps_the_table(store, smoke):
+    store.store_alerts(smoke, created_at=JAN)
+    assert store.update_alert_status(2, "CLOSED", "ann", "ok", JAN)
+    assert store.delete_alert(3)
+    assert rows_written(store) == [0, 3, 1, 1]
+    before = sorted(store.read().collect())
+    assert [(r["alert_id"], r["status"]) for r in before] == [(1, "NEW"), (2, "CLOSED")]
+    store.compact()
+    assert sorted(store.read().collect()) == before and len(store._versions()) == 1
+    assert store.store_alerts(smoke, created_at=JAN) == 1
+    assert by_id(store.read())["T3"]["alert_id"] == 4
+
+
+def test_overwrite_replaces_only_given_rows(store, smoke, scored):
+    store.store_alerts(smoke, created_at=JAN)
+    store.update_alert_status(1, "CLOSED", "ann")
+    assert store.store_alerts(scored(("T1", "U1", 1.0, 99, "CRITICAL")), True, JAN) == 1
+    rows = by_id(store.read())
+    assert (rows["T1"]["alert_id"], rows["T1"]["status"], rows["T1"]["risk_score"]) == (4, "NEW", 99)
+    assert rows["T2"]["alert_id"] == 2 and len(rows) == 3
+    assert rows_written(store)[-1] == 2  # the new row and the end of the old one
+
+
+def test_rescoring_keeps_ids_and_reviews(store, smoke, scored):
+    store.store_alerts(smoke, created_at=JAN)
+    store.update_alert_status(2, "CLOSED", "ann")
+    assert store.rescore(scored(("T9", "U", 1.0, 10, "LOW"), ("T2", "U2", 25000.0, 70, "HIGH")), JAN, "s.1") == 2
+    row = by_id(store.read())["T2"]
+    assert (row["alert_id"], row["status"], row["risk_score"], row["risk_level"]) == (2, "CLOSED", 70, "HIGH")
+    assert by_id(store.read())["T9"]["alert_id"] == 4
+    assert store.applied("s.1") and not store.applied("s.2")
+    assert store.rescore(scored(("T2", "U2", 25000.0, 70, "HIGH")), JAN) == 0
+
+
+def test_a_second_writer_of_one_version_fails(store, smoke, monkeypatch):
+    store.store_alerts(smoke, created_at=JAN)
+    monkeypatch.setattr(AlertStore, "_list", lambda self, pattern: [])
+    with pytest.raises(Exception, match="(?i)exist"):
+        store._write(store.spark.createDataFrame([], A.ALERT_SCHEMA), 1)

@@ -15,12 +15,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not p
 RUN = [
     "combined_flags", "combined_flags_skewed", "scored_transactions_skewed", "alerts_upsert",
     "feature_matrix", "distance_outliers_split", "best_method", "amount_boxplot_split",
-    "full_run", "stream_alert_sink",
+    "full_run", "stream_alert_sink", "stream_alert_sink_two_rules", "alert_store_changes",
+    "alert_store_cleared", "sampled_transactions", "amount_describe_split",
 ]
 NO_SQL = {
     "isolation_forest_flags", "isolation_forest_summary", "kmeans_outliers",
     "kmeans_cluster_sizes", "pca_projection", "ml_flagged_alerts", "hybrid_score",
-    "sampled_transactions", "method_comparison",
+    "method_comparison",
 }
 
 
@@ -55,7 +56,8 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize(
     "name", ["combined_flags_skewed", "summary_report", "risk_distribution", "score_histogram",
-             "confusion_by_method", "high_risk_users"])
+             "confusion_by_method", "high_risk_users", "distance_outliers", "distance_outliers_split",
+             "amount_boxplot", "amount_boxplot_split"])
 def test_plans_have_no_cross_product(spark, name):
     plan = catalog.REGISTRY[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("CartesianProduct|NestedLoop", plan)

@@ -1,5 +1,7 @@
 from datetime import datetime
 
+import pytest
+
 from ledgerlens.operators import reports as P
 from ledgerlens.plans import detection as D
 from ledgerlens.sources import exports
@@ -65,6 +67,31 @@ def test_export_takes_the_columns_present(make_tx):
 def test_boxplot_numbers(spark):
     rows = [("HIGH", float(v)) for v in [1, 2, 3, 4, 5, 100]] + [("LOW", 7.0)]
     df = spark.createDataFrame(rows, "risk_level string, amount double")
-    for limit in (None, 2):
-        got = {r[0]: tuple(r)[1:] for r in P.amount_boxplot(df, limit).collect()}
+    for accuracy in (100_000, 40):
+        got = {r[0]: tuple(r)[1:] for r in P.amount_boxplot(df, accuracy).collect()}
         assert got == {"HIGH": (2.25, 3.5, 4.75, 1.0, 5.0, 1), "LOW": (7.0, 7.0, 7.0, 7.0, 7.0, 0)}
+
+
+def test_line_breaks_inside_values(spark, tmp_path):
+    texts = ["one\ntwo", "a\r\nb", "back\\slash", "\\n", "\\\\n\n", 'quo"te, comma', "plain", None]
+    rows = [(f"T{i}", t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "transaction_id string, description string")
+    with pytest.raises(Exception, match="line break"):
+        IO.write_csv(df, str(tmp_path / "refused"))
+    IO.write_csv(df, str(tmp_path / "escaped"), breaks="escape")
+    got = IO.load_transactions(spark, str(tmp_path / "escaped"), escaped=True)
+    assert sorted(map(tuple, got.collect())) == sorted(rows)
+    IO.write_csv(df.coalesce(1), str(tmp_path / "kept"), breaks="keep")
+    got = {r[0]: r[1] for r in IO.read_csv(spark, str(tmp_path / "kept"), multiline=True).collect()}
+    assert got["T0"] == "one\ntwo" and len(got) == len(texts)
+
+
+def test_every_table_of_the_suite_is_read_back(spark, make_tx, tmp_path):
+    tx = make_tx([(f"T{i:02d}", f"U{i % 3}", i, 5000.0 * (1 + i % 4)) for i in range(60)])
+    scored = D.score_transactions(tx)
+    suite = exports.generate_all_reports(scored, tx, str(tmp_path), stamp="x")
+    sheets = exports.report_sheets(scored, tx)
+    for name, frame in sheets.items():
+        back = spark.read.parquet(f"{suite['sheets']}/{name}")
+        assert back.columns == frame.columns and back.count() == frame.count(), name
+    assert IO.read_csv(spark, suite["csv"]).count() == scored.count()

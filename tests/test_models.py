@@ -180,3 +180,34 @@ def test_models_survive_storage(spark, matrix, forest, tmp_path):
         warnings.simplefilter("always")
         nothing = model_store.load_models(spark, str(tmp_path / "none"))
     assert nothing == model_store.Models() and len(seen) >= 3
+
+
+@pytest.mark.parametrize("n", [0, 1, 50])
+def test_few_rows_still_get_the_flag(make_tx, n):
+    from ledgerlens.plans import detection as D
+
+    tx = make_tx([(f"T{i:02d}", f"U{i % 3}", i, 20000.0 + i) for i in range(n)])
+    got = D.run_detection(tx, use_ml=True)
+    assert "ml_flagged" in got.columns and got.count() == n
+    assert got.filter("ml_flagged is null").count() == 0
+
+
+def test_kmeans_restarts_share_one_input(matrix):
+    model = M.fit_kmeans(matrix, NAMES, 3, restarts=4)
+    best = min(
+        M.KMeans(k=3, maxIter=M.MAX_ITERATIONS, seed=M.SEED + i).fit(
+            M.VectorAssembler(inputCols=NAMES, outputCol="features").transform(matrix)
+        ).summary.trainingCost
+        for i in range(4)
+    )
+    assert np.isclose(model.summary.trainingCost, best)
+
+
+def test_saved_models_score_as_before(spark, matrix, forest, tmp_path):
+    model, _ = forest
+    clusters = M.fit_kmeans(matrix, NAMES, 3, restarts=1)
+    model_store.save_models(spark, model_store.Models(forest=model, kmeans=clusters), str(tmp_path / "m"))
+    loaded = model_store.load_models(spark, str(tmp_path / "m"))
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(loaded.forest.predict(matrix)) == key(model.predict(matrix))
+    assert np.allclose(loaded.kmeans.clusterCenters(), clusters.clusterCenters())

@@ -1,4 +1,5 @@
 import random
+import shutil
 
 import pytest
 
@@ -80,3 +81,54 @@ def test_alert_sink_is_idempotent(spark, make_tx, tmp_path):
     expected = score_flags(R.detect_high_value_transactions(make_tx(sum(batches, []))))
     ids = lambda df: sorted(r["transaction_id"] for r in df.collect())
     assert ids(store.read()) == ids(expected)
+
+
+@pytest.fixture
+def two_streams(spark, make_tx, tmp_path):
+    """Feed a store with both rules; every micro-batch may be sent twice."""
+
+    def run(batches, overwrite, repeat):
+        source = str(tmp_path / "in")
+        for rows in batches:
+            make_tx(rows).coalesce(1).write.mode("append").parquet(source)
+        store = AlertStore(spark, str(tmp_path / "alerts"))
+        schema = make_tx([("T", "U", 0, 1)]).schema
+        for name, rule in (("high", high_value_stream), ("velocity", lambda s: velocity_stream(s, 48, 5))):
+            for attempt in range(1 + repeat):
+                stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+                checkpoint = str(tmp_path / name)
+                if attempt:  # a lost checkpoint: the same batches come again
+                    shutil.move(checkpoint, f"{checkpoint}-lost")
+                write_alerts(rule(stream), store, checkpoint, overwrite).awaitTermination()
+        return store
+
+    return run
+
+
+@pytest.mark.parametrize("overwrite", [False, True])
+def test_alerts_of_two_rules_equal_the_batch(two_streams, make_tx, overwrite):
+    batches = ordered_batches(5)
+    tx = make_tx(sum(batches, []))
+    flags = R.detect_high_value_transactions(tx).unionByName(R.detect_velocity_anomalies(tx, 48, 5))
+    wanted = sorted((r["transaction_id"], r["final_risk_score"], r["rule_triggered"], r["risk_level"])
+                    for r in score_flags(flags).collect())
+    assert any("," in w[2] for w in wanted)
+    store = two_streams(batches, overwrite, repeat=True)
+    got = [(r["transaction_id"], r["risk_score"], r["rules_triggered"], r["risk_level"])
+           for r in store.read().collect()]
+    assert sorted(got) == wanted
+
+
+def test_velocity_of_one_user_with_all_rows_and_extra_columns(spark, make_tx, tmp_path):
+    rows = [(f"T{i:05d}", "U", i / 1000, 5) for i in range(6000)]
+    tx = make_tx(rows).selectExpr("*", "concat('M', transaction_id) as merchant")
+    tx.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(tx.schema).parquet(str(tmp_path / "in"))
+    running = (
+        velocity_stream(stream).writeStream.format("memory").queryName("one_user")
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    running.awaitTermination()
+    got = spark.table("one_user")
+    assert plain(got) == plain(R.detect_velocity_anomalies(make_tx(rows)))
+    assert all(r["merchant"] == "M" + r["transaction_id"] for r in got.collect())
