@@ -70,6 +70,7 @@ def test_equals_brute_force(make_docs, texts):
 def test_every_route_gives_the_same(make_docs, texts, monkeypatch):
     common = "this very common line stands in many a short document of all kinds "
     many = texts[:60] + [common + prose(5000 + i, 6) for i in range(60)]
+    monkeypatch.setattr(H, "SMALL", 3)
     monkeypatch.setattr(H, "BLOCK", 7)
     check(make_docs(many))
     monkeypatch.setattr(H, "LARGE", 5)
@@ -104,7 +105,19 @@ def test_sketch_estimates():
     one = H.registers(np.array([(5 << 56) | (1 << 40) | (3 << 38)], dtype=np.uint64))
     zeros = 52 - 37  # the value below the bucket loses four bits
     assert one[5] == ((zeros + 1) << 10) + 0b1100000000 and (np.delete(one, 5) == 0).all()
-    assert len(H.band_keys(one)) == 1 and len(H.band_keys(np.zeros(256, np.uint16))) == 0
+    assert len(set(H.band_keys(one).tolist())) == 64 and len(H.band_keys(np.zeros(256, np.uint16))) == 0
+
+
+def test_bands_of_small_sets_agree_as_their_registers_do():
+    r = np.random.default_rng(2)
+    for n in (4, 8, 40, 150):
+        far = near = 0
+        for _ in range(150):
+            pool = r.integers(0, 1 << 63, 2 * n, dtype=np.uint64) * np.uint64(2)
+            base = set(H.band_keys(H.registers(np.sort(pool[:n]))).tolist())
+            near += bool(base & set(H.band_keys(H.registers(np.sort(pool[: n - n // 4]))).tolist()))
+            far += bool(base & set(H.band_keys(H.registers(np.sort(pool[n - max(n // 8, 1) : 2 * n - max(n // 8, 1)]))).tolist()))
+        assert near == 150 and far < 40
 
 
 def test_shingles_of_batches():
