@@ -110,10 +110,12 @@ class FMIndex:
     """Full-text index of ``t``: counts and places of any pattern.
 
     Built from the Burrows-Wheeler transform in a wavelet tree and every ``sample``-th suffix
-    position.  ``t`` must start with a symbol that no pattern holds.
+    position.  An end of its own, lower than every symbol, follows ``t``.
     """
 
     def __init__(self, t: np.ndarray, sigma: int, sample: int = 16):
+        # Suffix 0 comes after the end only, which occurs once: steps back keep their order.
+        t, sigma = np.append(t + 1, 0), sigma + 1
         sa = suffix_array(t, sigma)
         self.n, self.sigma = len(t), sigma
         self.tree = WaveletTree(t[sa - 1], sigma)
@@ -132,7 +134,7 @@ class FMIndex:
             alive = alive[(low[alive] < high[alive]) & (lengths[alive] > step)]
             if not len(alive):
                 break
-            c = patterns[alive, lengths[alive] - 1 - step]
+            c = patterns[alive, lengths[alive] - 1 - step] + 1
             low[alive] = self.smaller[c] + self.tree.rank(c, low[alive])
             high[alive] = self.smaller[c] + self.tree.rank(c, high[alive])
         return low, high

@@ -31,6 +31,45 @@ def test_index_counts_and_places(sigma):
                 assert sorted(index.locate(np.arange(a, max(a, b))).tolist()) == want
 
 
+def test_places_behind_repeated_separators():
+    # Steps back meet every row once; place 5, before an item, must lead to the other separator, 4.
+    index = FMIndex(np.array([0, 5, 6, 7, 0, 0, 2, 3, 4, 0]), 8)
+    symbol, rank = index.tree.symbol_and_rank(np.arange(index.n))
+    back = (index.smaller[symbol] + rank).tolist()
+    row, seen = 0, []
+    for _ in range(index.n):
+        seen.append(row)
+        row = back[row]
+    assert sorted(seen) == list(range(index.n))
+    low, high = index.ranges(np.array([[2, 3, 4], [5, 6, 7]]), np.array([3, 3]))
+    assert (high - low).tolist() == [1, 1] and index.locate(low).tolist() == [6, 1]
+
+
+def test_documents_without_words_between_others():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        sizes = r.integers(1, 40, 12) * (r.random(12) < 0.5)
+        words, bounds = r.integers(0, 6, sizes.sum()).astype(np.uint64), np.concatenate([[0], np.cumsum(sizes)])
+        shard, owner = D.Shard(words, bounds), np.repeat(np.arange(12), sizes)
+        if not len(words):
+            continue
+        phrases = r.integers(0, 6, (30, 2)).astype(np.uint64)
+        which, first = shard.occurrences(phrases, np.full(30, 2))
+        want = [(p, i) for p in range(30) for i in range(len(words) - 1)
+                if owner[i] == owner[i + 1] and (words[i : i + 2] == phrases[p]).all()]
+        assert sorted(zip(which.tolist(), first.tolist())) == want
+
+
+def test_items_behind_documents_without_words(spark, make_docs):
+    items = [(i, prose(500 + i, 12)) for i in range(8)]
+    texts = []
+    for i, item in items:
+        texts += [prose(600 + i, 30), "", None, "?!", item + " " + prose(700 + i, 30), ""]
+    for i in range(8):
+        check(spark, make_docs(texts[6 * i : 6 * i + 6]).coalesce(1), items)
+    check(spark, make_docs(texts + texts[:6]).coalesce(1), items)
+
+
 def test_wavelet_ranks():
     r = np.random.default_rng(1)
     s = r.integers(0, 11, 300)
