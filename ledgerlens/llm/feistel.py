@@ -3,6 +3,7 @@
 Every value that passes its format's own validation is mapped by a keyed Feistel
 permutation of all values of that format, so equal values get equal pseudonyms in
 every document, different values different ones, and the key holder can map back.
+Phones and addresses of ranges that nobody is assigned are permuted among themselves.
 """
 
 from __future__ import annotations
@@ -91,6 +92,18 @@ def phone(s: str, move: Mover) -> str | None:
     return refill(s, f"{lead}{area + 200}{exchange + 200}{line:04d}")
 
 
+def unassigned_phone(s: str, move: Mover) -> str | None:
+    """A number that +1 or parentheses show to be one, although no plan assigns it, among its like."""
+    d = only_digits(s)
+    area, exchange, line = int(d[-10:-7]), int(d[-7:-4]), d[-4:]
+    if not ("+" in s or "(" in s) or (area >= 200 and exchange >= 200):
+        return None
+    n = area * 1000 + exchange if area < 200 else 200_000 + (area - 200) * 200 + exchange
+    n, line = divmod(move(n * 10_000 + int(line), 360_000 * 10_000, b"phone unassigned"), 10_000)
+    area, exchange = divmod(n, 1000) if n < 200_000 else divmod(n - 200_000 + 200 * 200, 200)
+    return refill(s, f"{d[:-10]}{area:03d}{exchange:03d}{line:04d}")
+
+
 def international(s: str, move: Mover) -> str | None:
     d = only_digits(s)
     if not 8 <= len(d) <= 15 or d[0] in "01":
@@ -110,17 +123,26 @@ def social(s: str, move: Mover) -> str | None:
     return refill(s, f"{area + (area >= 666):03d}{group + 1:02d}{serial + 1:04d}")
 
 
-def address(s: str, move: Mover) -> str | None:
+def moved_address(s: str, move: Mover, first: int, last: int, tweak: bytes) -> str | None:
+    """An address whose first part is in ``first`` to ``last``, among those."""
     parts = s.split(".")
-    if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts) or not 1 <= int(parts[0]) <= 223:
+    if any(int(p) > 255 or (len(p) > 1 and p[0] == "0") for p in parts) or not first <= int(parts[0]) <= last:
         return None
     n = 0
     for p in parts:
         n = n * 256 + int(p)
-    n = move(n - (1 << 24), 223 << 24, b"ipv4") + (1 << 24)
+    n = move(n - (first << 24), (last + 1 - first) << 24, tweak) + (first << 24)
     return ".".join(str(n >> shift & 255) for shift in (24, 16, 8, 0))
 
 
+def address(s: str, move: Mover) -> str | None:
+    return moved_address(s, move, 1, 223, b"ipv4")
+
+
+def reserved_address(s: str, move: Mover) -> str | None:
+    return moved_address(s, move, 224, 255, b"ipv4 reserved")
+
+
 def iban_rest(country: str, body: str) -> str:
     number = "".join(str(int(c, 36)) for c in body + country + "00")
     return f"{98 - int(number) % 97:02d}"
@@ -211,6 +233,9 @@ KINDS: list[tuple[str, str, Callable[[str, Mover], str | None]]] = [
     ("phone", r"(?<![A-Za-z0-9.+-])\+1[0-9]{10}(?![A-Za-z0-9])", phone),
     ("phone", r"(?<![A-Za-z0-9+])\+[2-9][0-9]{1,2}(?:[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,5})){2,5}(?![A-Za-z0-9])", international),
 ]
+#: Last, so that they take nothing from the kinds above: values right by shape, in ranges nobody is assigned.
+BY_SHAPE = {phone: unassigned_phone, address: reserved_address}
+KINDS += [(kind, pattern, BY_SHAPE[change]) for kind, pattern, change in KINDS if change in BY_SHAPE]
 
 
 def find_values(text: str, move: Mover, kinds=KINDS) -> list[tuple[str, int, int, str]]:

@@ -43,6 +43,41 @@ def test_valid_values_keep_their_format():
                 assert shape(a) == shape(v)
 
 
+BY_SHAPE = {
+    "phone": ["+1 (017) 555-7713", "(188) 555-2485", "+1 988-055-2485", "+12001995555", "1 (200) 000-0000", "+1 (999) 199-9999"],
+    "ipv4": ["235.58.234.215", "224.0.0.0", "255.255.255.255"],
+}
+
+
+def test_values_right_by_shape_are_mapped_among_themselves():
+    for kind, values in BY_SHAPE.items():
+        for v in values:
+            text = f"see {v}, or ({v})"
+            new, found = P.pseudonymise_text(text, KEY)
+            assert [f[0] for f in found] == [kind, kind], v
+            assert found[0][3] == found[1][3] != v
+            assert P.pseudonymise_text(new, KEY, back=True)[0] == text
+            if kind == "phone":
+                assert P.re.sub("[0-9]", "0", found[0][3]) == P.re.sub("[0-9]", "0", v)
+                d = P.only_digits(found[0][3])[-10:]
+                assert d[0] in "01" or d[3] in "01"
+            else:
+                assert 224 <= int(found[0][3].split(".")[0]) <= 255
+    # Every place of the range is met once: the ends of both parts, moved by none and by one.
+    ends = ["(000) 000-0000", "(199) 999-9999", "(200) 000-0000", "(999) 199-9999"]
+    assert [P.unassigned_phone(v, lambda n, size, tweak: n) for v in ends] == ends
+    assert [P.unassigned_phone(v, lambda n, size, tweak: (n + 1) % size) for v in ends] == [
+        "(000) 000-0001", "(200) 000-0000", "(200) 000-0001", "(000) 000-0000"]
+    assert P.unassigned_phone("(200) 199-9999", lambda n, size, tweak: n + 1) == "(201) 000-0000"
+
+
+def test_earlier_pseudonyms_do_not_change():
+    # Taken from the state before unassigned ranges were mapped.
+    text = "+1 (988) 555-2485, 988-555-2485, 70.123.182.155, +49 (030) 123-4567, 4041 8949 7460 8795"
+    assert P.pseudonymise_text(text, KEY)[0] == (
+        "+1 (844) 388-8358, 844-388-8358, 62.230.210.127, +49 (227) 656-9470, 4454 6044 0178 8981")
+
+
 def test_equal_values_stay_linked_across_styles():
     day = lambda s: "".join(sorted(P.pseudonymise_text(s, KEY)[0].replace(".", "-").split("-")))
     assert day("2020-02-29") == day("29.02.2020")
