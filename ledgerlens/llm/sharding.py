@@ -7,8 +7,12 @@ all dimensions end up close in a file, so minima and maxima prune on each of the
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,14 +58,17 @@ def hilbert_index(coordinates: list[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
+def is_text(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, (T.StringType, T.BinaryType))
+
+
 def ordinal(df: DataFrame, name: str) -> Column:
-    """A long in the order of the column; a string counts by its first seven bytes, null lowest."""
+    """A value in the order of the column, null lowest; a string is its bytes behind one more."""
     kind = df.schema[name].dataType
     column = F.col(name)
-    if isinstance(kind, (T.StringType, T.BinaryType)):
-        lead = F.rpad(F.hex(F.substring(column.cast("binary"), 1, 7)), 14, "0")
-        value = F.conv(lead, 16, 10).cast("long")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+    if is_text(df, name):
+        return F.coalesce(F.concat(F.lit(b"\1"), column.cast("binary")), F.lit(b""))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         value = F.unix_micros(column.cast("timestamp"))
     elif isinstance(kind, T.BooleanType):
         value = column.cast("long")
@@ -71,34 +78,82 @@ def ordinal(df: DataFrame, name: str) -> Column:
 
 
 def value_type(kind: T.DataType) -> str:
-    longs = (T.StringType, T.BinaryType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
+    longs = (T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
     return "long" if isinstance(kind, longs) else "double"
 
 
+def text_limits(df: DataFrame, values: list[Column], shares: list[float], total: int) -> list[np.ndarray]:
+    """Cell limits of binary columns: distinct values are counted and sorted by range.
+
+    A task names a value each time a share of ``1 / ACCURACY`` of the rows is passed, so the
+    driver gets at most twice that many values per column, and some per task.
+    """
+    step = max(1, total // ACCURACY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = 0, None
+        for batch in batches:
+            dims, texts, counts = (c.to_pylist() for c in batch.columns)
+            out = []
+            for dim, value, n in zip(dims, texts, counts):
+                # What is held goes to the value before, also where a column ends.
+                if last is not None and (held >= step or held + n > step or last[0] != dim):
+                    out.append((*last, held))
+                    held = 0
+                last, held = (dim, value), held + n
+            yield made(out)
+        if last is not None:
+            yield made([(*last, held)])
+
+    def made(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["dim", "value", "n"])
+
+    pairs = df.select(F.posexplode(F.array(*values)).alias("dim", "value"))
+    counted = pairs.groupBy("dim", "value").agg(F.count("*").alias("n"))
+    ordered = counted.repartitionByRange("dim", "value").sortWithinPartitions("dim", "value")
+    points = sorted((r["dim"], bytes(r["value"]), r["n"]) for r in
+                    ordered.mapInArrow(run, "dim int, value binary, n long").collect())
+    limits = []
+    for i in range(len(values)):
+        own = [p for p in points if p[0] == i]
+        reached = np.cumsum([p[2] for p in own])
+        at = np.searchsorted(reached, [s * total for s in shares]) if own else []
+        limits.append(np.array([own[min(k, len(own) - 1)][1] for k in at], dtype=object))
+    return limits
+
+
 def with_curve_index(df: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFrame:
     """Adds ``curve``, the Hilbert index over the quantised dimensions.
 
-    Cell limits are approximate quantiles of all rows, found in one pass; a value that is
-    very common fills several cells and takes the last of them.
+    Cell limits are approximate quantiles of all rows; numbers need one pass for all, strings
+    a sort of their distinct values.  A value that is very common fills several cells; a
+    number takes the last of them, a string the first.
     """
     small_batches(df.sparkSession)
     cells = 1 << bits
     shares = [i / cells for i in range(1, cells)]
-    numbers = [ordinal(df, d) for d in dimensions]
+    values = [ordinal(df, d) for d in dimensions]
+    text = [i for i, d in enumerate(dimensions) if is_text(df, d)]
     row = df.agg(
-        *(F.percentile_approx(c, shares, ACCURACY).alias(f"q{i}") for i, c in enumerate(numbers))
+        F.count("*").alias("total"),
+        *(F.percentile_approx(c, shares, ACCURACY).alias(f"q{i}") for i, c in enumerate(values) if i not in text)
     ).first()
-    limits = [np.array(q if q is not None else [], dtype=float) for q in row]
+    limits = {i: np.array(row[f"q{i}"] or [], dtype=float) for i in range(len(values)) if i not in text}
+    if text:
+        limits |= zip(text, text_limits(df, [values[i] for i in text], shares, row["total"]))
+
+    def cell(i: int, column: pd.Series) -> np.ndarray:
+        if i not in text:
+            return np.searchsorted(limits[i], column.to_numpy(dtype=float), side="right")
+        code, distinct = pd.factorize(column)
+        return np.array([bisect_left(limits[i], v) for v in distinct], dtype=np.int64)[code]
 
     @F.pandas_udf("long")
-    def curve(values: pd.DataFrame) -> pd.Series:
-        cell = [
-            np.searchsorted(limits[i], values.iloc[:, i].to_numpy(dtype=float), side="right")
-            for i in range(values.shape[1])
-        ]
-        return pd.Series(hilbert_index(cell, bits))
-
-    packed = F.struct(*(c.alias(f"d{i}") for i, c in enumerate(numbers)))
+    def curve(columns: pd.DataFrame) -> pd.Series:
+        return pd.Series(hilbert_index([cell(i, columns.iloc[:, i]) for i in range(columns.shape[1])], bits))
+
+    packed = F.struct(*(c.alias(f"d{i}") for i, c in enumerate(values)))
     return df.withColumn("curve", curve(packed))
 
 

@@ -51,6 +51,26 @@ def test_files_prune_on_every_dimension(spark):
         assert max(r[1] for r in per) <= 32  # of 64 values
 
 
+def test_files_prune_on_strings_with_a_common_beginning(spark):
+    docs = spark.range(4096).selectExpr(
+        "id as doc_id", "'t' as text", "concat('https://www.', lpad(id div 64, 2, '0')) as source",
+        "concat('common_crawl_', lpad(id % 64, 2, '0')) as lang")
+    placed = sharding.shard_documents(docs, 16, ("source", "lang")).join(docs.select("doc_id", "source", "lang"), "doc_id")
+    for column in ("source", "lang"):
+        per = placed.groupBy("shard").agg(F.count_distinct(column)).collect()
+        assert max(r[1] for r in per) <= 32  # of 64 values
+
+
+def test_limits_of_strings_are_quantiles(spark):
+    rows = [(f"https://{i * i % 1009:05d}",) for i in range(3000)] + [("https://00004",)] * 500 + [(None,), ("",), ("\u00e9\U0001f600",)]
+    df = spark.createDataFrame(rows, "s string").repartition(5)
+    shares = [i / 64 for i in range(1, 64)]
+    found = sharding.text_limits(df, [sharding.ordinal(df, "s")] * 2, shares, len(rows))
+    given = sorted(b"" if r[0] is None else b"\1" + r[0].encode() for r in rows)
+    want = [given[int(np.ceil(s * len(rows))) - 1] for s in shares]
+    assert [list(f) for f in found] == [want, want]
+
+
 def test_shards_are_written_whole(odd_docs, tmp_path, spark):
     docs = odd_docs.drop("shard", "size").where("doc_id is not null")
     placed = sharding.shard_documents(docs, 5)
