@@ -12,6 +12,7 @@ from datetime import datetime
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -581,6 +582,30 @@ def isolation_forest_fit(spark, d):
         "flags_ok boolean, scored long, share_ok boolean")
 
 
+def nearer_elsewhere(placed, names, centers):
+    """Rows to whose values another centre is nearer than that of their ``cluster``."""
+    away = [sum(((F.col(n) - F.lit(float(v))) ** 2 for n, v in zip(names, c)), F.lit(0.0)) for c in centers]
+    far = placed.select("cluster", F.array(*away).alias("away"))
+    least = F.array_min("away")
+    return far.filter(F.get("away", F.col("cluster")) > least + 1e-9 * (1 + least)).count()
+
+
+def covariances(df, column, n):
+    """Covariances of all pairs of the ``n`` entries of an array column."""
+    means = df.agg(*[F.avg(F.col(column)[i]) for i in range(n)]).first()
+
+    def products(batches):
+        total, rows = np.zeros((n, n)), 0
+        for batch in batches:
+            values = np.array(batch.column(0).to_pylist(), dtype=float).reshape(-1, n) - np.array(means)
+            total, rows = total + values.T @ values, rows + len(values)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()]), pa.array([rows])], ["total", "rows"])
+
+    parts = df.select(column).mapInArrow(products, "total array<double>, rows long").collect()
+    total = sum(np.array(p["total"]).reshape(n, n) for p in parts) / max(sum(p["rows"] for p in parts) - 1, 1)
+    return [float(total[i, j]) for i in range(n) for j in range(i)]
+
+
 @query
 def kmeans_fit(spark, d):
     """What must hold of a fitted k-means, one row."""
@@ -592,11 +617,13 @@ def kmeans_fit(spark, d):
     own = M.with_centroid_distance(matrix, names, centers)
     means = {r["cluster"]: r for r in own.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names]).collect()}
     off = max(abs(means[c][n] - centers[c][i]) for c in means for i, n in enumerate(names))
+    nearer = nearer_elsewhere(
+        placed.select("transaction_id", "cluster").join(matrix, "transaction_id"), names, centers)
     sizes = M.cluster_sizes(placed)
     return sizes.agg(
         F.sum("transactions").alias("placed"), F.sum("outliers").alias("outliers"),
         F.count("*").alias("clusters"), F.round(F.sum("percentage"), 6).alias("percent"),
-    ).withColumn("centres_ok", F.lit(bool(off < 0.05)))
+    ).withColumn("centres_ok", F.lit(bool(off < 0.05 and nearer == 0)))
 
 
 @query
@@ -607,11 +634,11 @@ def pca_fit(spark, d):
     reduced, shares = M.apply_pca(matrix, names, len(names))
     parts = [F.col("components")[i] for i in range(len(names))]
     spread = reduced.agg(
-        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(parts)],
-        *[F.covar_samp(parts[i], parts[i + 1]).alias(f"c{i}") for i in range(len(names) - 1)],
+        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(parts)]
     ).first()
+    between = covariances(reduced, "components", len(names))
     whole = sum(v or 0 for v in matrix.agg(*[F.var_samp(n) for n in names]).first())
-    variances, between = spread[: len(names)], spread[len(names):]
+    variances = list(spread)
     row = (
         reduced.count(), len(variances), bool(abs(sum(variances) - whole) < 1e-6 * whole),
         bool(max(abs(c) for c in between) < 1e-6), bool(abs(sum(shares) - 1) < 1e-9),

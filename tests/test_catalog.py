@@ -67,3 +67,31 @@ def test_scans_read_only_the_needed_columns(spark):
     plan = catalog.REGISTRY["risk_distribution"](spark, SF)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema" in text and "props" not in text and "o_orderstatus" not in text
+
+
+def test_pca_fit_looks_at_all_pairs(spark, monkeypatch):
+    fit = catalog.M.apply_pca
+    assert catalog.pca_fit(spark, SF).first()["uncorrelated"]
+
+    def repeated(*args):
+        # The third component is the first again; its neighbours are still uncorrelated with it.
+        reduced, shares = fit(*args)
+        swap = "transform(components, (x, i) -> if(i = 2, components[0], x))"
+        return reduced.selectExpr("transaction_id", f"{swap} as components"), shares
+
+    monkeypatch.setattr(catalog.M, "apply_pca", repeated)
+    assert not catalog.pca_fit(spark, SF).first()["uncorrelated"]
+
+
+def test_kmeans_fit_asks_for_the_nearest_centre(spark, monkeypatch):
+    predict = catalog.M.predict_kmeans_outliers
+    assert catalog.kmeans_fit(spark, SF).first()["centres_ok"]
+
+    def one_elsewhere(*args):
+        placed = predict(*args)
+        least = placed.selectExpr("min(transaction_id)").first()[0]
+        other = f"if(transaction_id = '{least}', (cluster + 1) % 5, cluster)"
+        return placed.withColumn("cluster", catalog.F.expr(other).cast("int"))
+
+    monkeypatch.setattr(catalog.M, "predict_kmeans_outliers", one_elsewhere)
+    assert not catalog.kmeans_fit(spark, SF).first()["centres_ok"]
