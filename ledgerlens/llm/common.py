@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -18,11 +19,13 @@ BATCH_ROWS = 500
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
 STEP_BYTES = 1 << 20
 
-_RANDOM = np.random.default_rng(20240101)
-#: A random 64-bit value per byte: the alphabet of the polynomial hashes below.
-BYTE_VALUE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
+#: The hashes below are polynomials over the integers modulo this prime, at a point drawn once.
+#: Modulo a power of two, texts of a regular build (Thue-Morse words) would meet at any base.
+PRIME = (1 << 61) - 1
+BASE = 0x0D3C_21B7_9F4A_7C15
+INVERSE = pow(BASE, -1, PRIME)
+#: Spans from this many bytes on are hashed by BLAKE2b, which has no limit of length.
+LONG_SPAN = 1 << 24
 _POWERS: dict[str, np.ndarray] = {}
 
 #: ASCII upper case to lower case, byte by byte; other bytes stay.
@@ -61,15 +64,33 @@ def with_n_chars(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least ``n`` powers of the hash base and of its inverse."""
-    if len(_POWERS.get("up", ())) < n:
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of numbers below ``PRIME``, modulo ``PRIME``."""
+    half, low = np.uint64(32), np.uint64(0xFFFFFFFF)
+    a1, a0, b1, b0 = a >> half, a & low, b >> half, b & low
+    middle, least = a1 * b0 + a0 * b1, a0 * b0
+    # 2 ** 64 is 8 here, and 2 ** 61 is 1.
+    total = a1 * b1 * np.uint64(8) + (middle >> np.uint64(29)) + ((middle & np.uint64(0x1FFFFFFF)) << half)
+    return _below(total + (least & np.uint64(PRIME)) + (least >> np.uint64(61)))
+
+
+def _below(x: np.ndarray) -> np.ndarray:
+    x = (x & np.uint64(PRIME)) + (x >> np.uint64(61))
+    return np.where(x >= np.uint64(PRIME), x - np.uint64(PRIME), x)
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The low 31 and the high bits of at least ``n`` powers of the base, and powers of its inverse."""
+    if len(_POWERS.get("down", ())) < n:
         size = 1 << max(16, int(n).bit_length())
         for name, base in (("up", BASE), ("down", INVERSE)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _POWERS[name] = np.multiply.accumulate(steps)
-    return _POWERS["up"], _POWERS["down"]
+            steps = np.ones(1, dtype=np.uint64)
+            while len(steps) < size:
+                steps = np.concatenate([steps, times(steps, np.uint64(pow(base, len(steps), PRIME)))])
+            _POWERS[name] = steps
+        up = _POWERS.pop("up")
+        _POWERS["low"], _POWERS["high"] = up & np.uint64(0x7FFFFFFF), up >> np.uint64(31)
+    return _POWERS["low"], _POWERS["high"], _POWERS["down"]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -124,18 +145,39 @@ def word_spans(
     return start, np.flatnonzero(last) + 1, np.searchsorted(start, offsets)
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """n + 1 running sums, of which ``span_hash`` takes differences."""
-    up, _ = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
-    return sums
+class Sums:
+    """Running sums over the bytes of a text, of which ``span_hash`` takes differences."""
+
+    def __init__(self, data: np.ndarray):
+        low, high, self.down = powers(len(data) + 1)
+        value = data.astype(np.uint64)
+        value += np.uint64(1)
+        self.data = data
+        # A sum of products wraps, but differences over fewer than LONG_SPAN bytes are exact.
+        self.low, self.high = (np.zeros(len(data) + 1, dtype=np.uint64) for _ in range(2))
+        np.cumsum(value * low[: len(data)], out=self.low[1:])
+        value *= high[: len(data)]
+        np.cumsum(value, out=self.high[1:])
+
+
+def prefix_hash(data: np.ndarray) -> Sums:
+    return Sums(data)
+
 
+def span_hash(sums: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes from ``start`` to ``end``, wherever they stand.
 
-def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the bytes from ``start`` to ``end``, wherever they stand."""
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    Two different spans of n bytes agree for n in 2 ** 61 bases at most.
+    """
+    high = _below(sums.high[end] - sums.high[start])
+    # Times 2 ** 31, a rotation modulo PRIME.
+    high = ((high & np.uint64((1 << 30) - 1)) << np.uint64(31)) | (high >> np.uint64(30))
+    value = times(_below(_below(sums.low[end] - sums.low[start]) + high), sums.down[start])
+    size = end - start
+    for i in np.flatnonzero(size >= LONG_SPAN):
+        found = hashlib.blake2b(sums.data[start[i] : end[i]].tobytes(), digest_size=8).digest()
+        value[i] = int.from_bytes(found, "little") & PRIME
+    return mix(value | ((size.astype(np.uint64) & np.uint64(7)) << np.uint64(61)))
 
 
 def files(uri: str) -> tuple[pafs.FileSystem, str]:

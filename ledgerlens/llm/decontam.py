@@ -7,6 +7,7 @@ the spans they cover merged and cut out.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,10 +44,17 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
             np.cumsum(np.concatenate(counts)).astype(np.int64))
 
 
+def spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
+    """A 128-bit digest of lower-cased words, given by their places in the text's bytes."""
+    text = LOWER[data[start[0] : end[-1]]].tobytes()
+    words = [text[s:e] for s, e in zip((start - start[0]).tolist(), (end - start[0]).tolist())]
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
+
+
 def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
     """Write the distinct phrases of ``item_id, text`` in blocks of bounded size; returns their places.
 
-    A block holds word hashes of each phrase, and the items it comes from.
+    A block holds word hashes and a digest of each phrase, and the items it comes from.
     """
     folder = scratch_path(items.sparkSession, "phrases")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -55,8 +63,9 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
         done, ids, texts, held = [], [], [], 0
 
         def write() -> None:
-            words, _, _, bounds = hashed_words(pa.array(texts, pa.string()))
-            rows, owner = [], []
+            column = pa.array(texts, pa.string())
+            words, start, end, bounds = hashed_words(column)
+            rows, owner, first = [], [], []
             for i in range(len(texts)):
                 own = words[bounds[i] : bounds[i + 1]]
                 if len(own):
@@ -66,9 +75,16 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
                     full[:, window] = view.shape[1]
                     rows.append(full)
                     owner.append(np.full(len(view), i))
+                    first.append(bounds[i] + np.arange(len(view)))
             if not rows:
                 return
-            phrases, which = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+            data, first = bytes_of(column)[0], np.concatenate(first)
+            digests = [spelled(data, start[f : f + n], end[f : f + n])
+                       for f, n in zip(first, np.concatenate(rows)[:, window].astype(np.int64))]
+            # With their digests, phrases whose hashes meet stay apart.
+            marks = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
+            phrases, which = np.unique(
+                np.concatenate([np.concatenate(rows), marks], axis=1), axis=0, return_inverse=True)
             pairs = np.unique(np.stack([which.ravel(), np.concatenate(owner)]), axis=1)
             table = pa.table({"data": [pa.py_buffer(phrases.tobytes()).to_pybytes()],
                               "phrase": [pairs[0]], "item": [pairs[1]], "ids": [ids]})
@@ -90,11 +106,12 @@ def phrase_blocks(items: DataFrame, window: int = WINDOW) -> list[str]:
     return [r["block"] for r in stored(rows.mapInArrow(run, "block string"), "phrase-blocks").collect()]
 
 
-def load_block(uri: str, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list]:
+def load_block(uri: str, window: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray, list]:
     table = read_table(uri)
-    full = np.frombuffer(table["data"][0].as_py(), np.uint64).reshape(-1, window + 1)
+    full = np.frombuffer(table["data"][0].as_py(), np.uint64).reshape(-1, window + 3)
     phrase, item = (np.array(table[c][0].as_py(), dtype=np.int64) for c in ("phrase", "item"))
-    return full[:, :window], full[:, window].astype(np.int64), phrase, item, table["ids"][0].as_py()
+    marks = [m.tobytes() for m in full[:, window + 1 :]]
+    return full[:, :window], full[:, window].astype(np.int64), marks, phrase, item, table["ids"][0].as_py()
 
 
 class Shard:
@@ -134,6 +151,7 @@ def _searcher(blocks: list[str], window: int) -> Callable[[pa.ChunkedArray], tup
         if isinstance(column, pa.ChunkedArray):
             column = column.chunk(0)
         words, start, end, bounds = hashed_words(column)
+        data, offsets = bytes_of(column)
         n_docs = len(column)
         shard = Shard(words, bounds)
         cover = np.zeros(len(words) + 1, dtype=np.int64)
@@ -142,8 +160,12 @@ def _searcher(blocks: list[str], window: int) -> Callable[[pa.ChunkedArray], tup
             if uri not in loaded:
                 loaded.clear()
                 loaded[uri] = load_block(uri, window)
-            phrases, lengths, phrase, item, ids = loaded[uri]
+            phrases, lengths, marks, phrase, item, ids = loaded[uri]
             which, first = shard.occurrences(phrases, lengths)
+            same = [spelled(data, start[f : f + n], end[f : f + n]) == marks[w]
+                    for w, f, n in zip(which.tolist(), first.tolist(), lengths[which].tolist())]
+            same = np.array(same, dtype=bool)
+            which, first = which[same], first[same]
             np.add.at(cover, first, 1)
             np.add.at(cover, first + lengths[which], -1)
             if len(which):
@@ -153,7 +175,6 @@ def _searcher(blocks: list[str], window: int) -> Callable[[pa.ChunkedArray], tup
                 for d, a, b in zip(document.tolist(), *cut.tolist()):
                     found[d].update(ids[i] for i in item[a:b].tolist() if ids[i] is not None)
         hit = np.cumsum(cover[:-1]) > 0
-        data, offsets = bytes_of(column)
         # Runs of hit words, cut where a document ends.
         edge = np.flatnonzero(np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8)))
         inner = np.unique(bounds[(bounds > 0) & (bounds < len(words))])

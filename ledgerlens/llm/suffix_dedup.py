@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import (
-    bucket_of, by_key, bytes_of, dealt, mix, partitions, powers, prefix_hash, ragged, read_table, small_batches,
+    bucket_of, by_key, bytes_of, dealt, mix, partitions, prefix_hash, ragged, read_table, small_batches,
     span_hash, steps, stored, write_table,
 )
 from ledgerlens.llm.induced import induced_suffix_array
@@ -34,12 +34,29 @@ SHARD_BYTES, BUCKET_BYTES = 4 << 20, 2 << 20
 STRINGS = 1 << 18
 #: Stretches of one anchor beyond which its strings are dealt out one by one, by their own hash.
 HOT = 20_000
+#: Odd factor of the anchors' hashes.
+STEP = 0x9E3779B97F4A7C15
 #: Documents without an id come after all others.
 LAST = np.iinfo(np.int64).max
 
 
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` bytes: it only picks anchors, so two that agree cost a comparison."""
+    part, size, out, done = data.astype(np.uint64), 1, None, 0
+    while True:
+        # ``part`` hashes every ``size`` bytes; the bits of ``width`` say which sizes to join.
+        factor = np.uint64(pow(STEP, size, 1 << 64))
+        if width & size:
+            out = part if out is None else out[: len(part) - done] * factor + part[done : done + len(out)]
+            done += size
+        if done == width:
+            return mix(out[: len(data) - width + 1])
+        part = part[:-size] * factor + part[size:]
+        size *= 2
+
+
 def anchored_stretches(
-    data: np.ndarray, offsets: np.ndarray, sums: np.ndarray, length: int, anchor: int
+    data: np.ndarray, offsets: np.ndarray, length: int, anchor: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of consecutive string starts with one anchor: its hash, the first start, and how many.
 
@@ -48,8 +65,7 @@ def anchored_stretches(
     n = len(data) - length + 1
     if n < 1:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    _, down = powers(len(sums))
-    least = mix((sums[anchor:] - sums[:-anchor]) * down[: len(data) - anchor + 1])
+    least = window_hashes(data, anchor)
     width, k = length - anchor + 1, 1
     while 2 * k <= width:
         least = np.minimum(least[:-k], least[k:])
@@ -77,7 +93,7 @@ class Shard:
         for a, b in steps(self.offsets):
             at = self.offsets[a]
             part = self.data[at : self.offsets[b]]
-            h, start, count = anchored_stretches(part, self.offsets[a : b + 1] - at, prefix_hash(part), length, anchor)
+            h, start, count = anchored_stretches(part, self.offsets[a : b + 1] - at, length, anchor)
             found.append((h, start + at, count))
         self.anchor, self.start, self.count = (np.concatenate(x) for x in zip(*found))
         self.anchors, self.which = np.unique(self.anchor, return_inverse=True)

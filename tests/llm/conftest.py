@@ -19,6 +19,14 @@ def prose(seed, words, vocabulary=400):
     return " ".join(out)
 
 
+def twins(n, a="a", b="b"):
+    """A Thue-Morse word of n letters (a power of two) and its complement."""
+    word = a
+    while len(word) < n:
+        word += word.translate({ord(a): b, ord(b): a})
+    return word, word.translate({ord(a): b, ord(b): a})
+
+
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents from texts, with extra columns whose names clash with those operators add."""
@@ -34,7 +42,7 @@ def make_docs(spark):
 
 #: Null, empty and blank texts, ties, repeats, one long text, and letters beyond ASCII.
 ODD = [None, "", " \n\t ", "a", "A", "a", "word " * 30, "Ünï ﬁ Σς İ 1२3 <|endoftext|> x", None, "\x00\x1c\x85 b",
-       "one two three four five six seven eight nine ten eleven", prose(5, 9000), prose(6, 300), prose(6, 300)]
+       "one two three four five six seven eight nine ten eleven", prose(5, 9000), prose(6, 300), prose(6, 300), *twins(1024), *twins(4096)]
 
 
 @pytest.fixture(scope="session")

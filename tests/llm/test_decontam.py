@@ -7,7 +7,7 @@ import pytest
 from ledgerlens.llm import decontam as D
 from ledgerlens.llm.fm_index import FMIndex, WaveletTree, suffix_array
 
-from .conftest import ODD, prose
+from .conftest import ODD, prose, twins
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -160,3 +160,11 @@ def test_many_shards_and_blocks(spark, make_docs, monkeypatch):
     items = [(i, prose(100 + i, 14)) for i in range(12)]
     texts = [prose(i, 50) + " " + items[i % 12][1] + " " + prose(i + 1, 30) for i in range(40)]
     check(spark, make_docs(texts).coalesce(2), items)
+
+
+def test_words_of_a_regular_build_are_told_apart(spark, make_docs):
+    for n in (1024, 4096):
+        word, other = twins(n)
+        docs = make_docs([word, other, f"a {other} b", f"a {word} b"])
+        check(spark, docs, [(1, word), (2, "b " + other)])
+
