@@ -2,6 +2,65 @@
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _crc32(text: str) -> str:
+    """The checksum of ASCII characters, bit by bit."""
+    bits = "CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    return (f"xor(list_reduce(list_prepend(4294967295, [CAST(ascii(a) AS BIGINT) FOR a IN string_split({text}, '')]), "
+            f"lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: {bits})), 4294967295)")
+
+
+def _told(value: str) -> str:
+    return f"coalesce(CAST(strlen(CAST({value} AS VARCHAR)) AS VARCHAR) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_told, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+
+MANIFEST = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+              THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY g, doc_id NULLS FIRST, leaf) AS id,
+         row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM d
+), node AS (
+  SELECT g, 0 AS lvl, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM p
+  UNION ALL
+  SELECT g, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8
+  FROM node WHERE n > 1 GROUP BY g, lvl, n, i // 8
+), sub AS (
+  SELECT g, lvl AS height, h, row_number() OVER (ORDER BY g) - 1 AS i FROM node WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, i, h, count(*) OVER () AS n FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8
+  FROM top WHERE n > 1 GROUP BY lvl, n, i // 8
+), run AS (
+  SELECT g, lvl, i // 8 AS run, string_agg(h, '' ORDER BY i) AS hs FROM node WHERE n > 1 GROUP BY g, lvl, i // 8
+), top_run AS (
+  SELECT lvl, i // 8 AS run, string_agg(h, '' ORDER BY i) AS hs FROM top WHERE n > 1 GROUP BY lvl, i // 8
+), up AS (
+  SELECT id, g, 0 AS lvl, i, coalesce(other, leaf) AS h, '' AS proof FROM p
+  UNION ALL
+  SELECT id, g, lvl + 1, i // 8, sha256(left(hs, 64 * (i % 8)) || h || substr(hs, 64 * (i % 8) + 65)),
+         proof || left(hs, 64 * (i % 8)) || substr(hs, 64 * (i % 8) + 65)
+  FROM (SELECT up.*, run.hs FROM up JOIN run ON up.g = run.g AND up.lvl = run.lvl AND up.i // 8 = run.run)
+), over AS (
+  SELECT id, 0 AS lvl, sub.i, up.h, proof FROM up JOIN sub ON up.g = sub.g AND up.lvl = sub.height
+  UNION ALL
+  SELECT id, lvl + 1, i // 8, sha256(left(hs, 64 * (i % 8)) || h || substr(hs, 64 * (i % 8) + 65)),
+         proof || left(hs, 64 * (i % 8)) || substr(hs, 64 * (i % 8) + 65)
+  FROM (SELECT over.*, top_run.hs FROM over JOIN top_run ON over.lvl = top_run.lvl AND over.i // 8 = top_run.run)
+)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, over.h AS folded_root,
+       over.h = top.h AS verified
+FROM p JOIN sub ON p.g = sub.g JOIN top ON top.n = 1 JOIN over ON over.id = p.id AND over.lvl = top.lvl
+"""
+
 DECONTAMINATION = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

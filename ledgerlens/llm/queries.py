@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, merkle, oracle, sharding, suffix_dedup, toxicity
+from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, manifest, merkle, oracle, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,6 +16,7 @@ ORACLE: dict[str, str] = {
     "op3_arc_to_warc": oracle.ARCHIVE,
     "op8_induced_suffix_dedup": oracle.REPEATS,
     "op9_hyperminhash": oracle.NEAR_DUPLICATES,
+    "op11_merkle_manifest": oracle.MANIFEST,
 }
 
 #: A key for the test tables; real ones are secrets of the caller.
@@ -101,3 +102,8 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = feistel.pseudonymise(docs, DEMO_KEY, spans="spans")
     return out.select(
         "doc_id", "text", "n_chars", F.size("spans").cast("long").alias("n_replaced"), "spans")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.prove_documents(table(spark, sf_dir, "documents"))
