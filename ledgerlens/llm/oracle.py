@@ -61,6 +61,85 @@ SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha
 FROM p JOIN sub ON p.g = sub.g JOIN top ON top.n = 1 JOIN over ON over.id = p.id AND over.lvl = top.lvl
 """
 
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _and(state: str, cost: str, edits: str) -> str:
+    """A state's nine digits of cost and its edits, with more of both; null where there is no way."""
+    return f"lpad(CAST(CAST(left({state}, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{edits}'"
+
+
+_INSERTED = (
+    f"n, s, least(u, {_and('n', '5', 'I')}, {_and('s', '5', 'I')}, {_and('a', '5', 'I')}) AS u, "
+    f"least(a, {_and('u', '5', 'I')}, {_and('n', '10', 'II')}, {_and('s', '10', 'II')}) AS a"
+)
+
+
+def _turn(states: str, role: str) -> str:
+    """The cheapest way from some states to a turn of ``role``, by keeping a row or giving it the role."""
+    kept, given = (", ".join(_and(x, c, e) for x in states) for c, e in (("more", "K"), ("1 + more", "R")))
+    return f"CASE WHEN NOT gone THEN CASE WHEN initial = '{role}' THEN least({kept}) ELSE least({given}) END END"
+
+
+REPAIR = f"""
+WITH RECURSIVE k AS (
+  SELECT coalesce('=' || conv_id, '') AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS k
+  FROM conversations
+), r AS (
+  SELECT g, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE k WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM k WHERE k <> 0
+), o AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, {_SPACES}) AS t,
+         row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY g, role, text ORDER BY turn NULLS FIRST, copy) AS time
+  FROM r
+), f AS (
+  SELECT *, t = '' AS blank, t <> '' AND time > 1 AS dup, t <> '' AND time = 1 AND right(t, 1) NOT IN ('.', '!', '?') AS cut,
+         lag(initial) OVER (PARTITION BY g ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS bad
+  FROM o
+), counts AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated, count(*) FILTER (bad) AS illegal, count(*) AS m
+  FROM f GROUP BY g
+), dp AS (
+  SELECT DISTINCT g, CAST(0 AS BIGINT) AS i, '000000000' AS n, CAST(NULL AS VARCHAR) AS s, CAST(NULL AS VARCHAR) AS u,
+         CAST(NULL AS VARCHAR) AS a
+  FROM k
+  UNION ALL
+  SELECT g, i, {_and('n', '2', 'D')}, least({_and('s', '2', 'D')}, CASE WHEN NOT gone AND initial = 's' THEN {_and('n', 'more', 'K')} END),
+         least({_and('u', '2', 'D')}, {_turn('nsa', 'u')}), least({_and('a', '2', 'D')}, {_turn('u', 'a')})
+  FROM (
+    SELECT g, i, gone, initial, more, {_INSERTED}
+    FROM (
+      SELECT dp.g, f.i, n, s, u, a, blank OR dup AS gone, initial, CASE WHEN cut THEN 5 ELSE 0 END AS more
+      FROM dp JOIN f ON dp.g = f.g AND f.i = dp.i + 1))
+), best AS (
+  SELECT g, least(n, a) AS b
+  FROM (SELECT g, {_INSERTED} FROM (SELECT dp.* FROM dp LEFT JOIN counts ON dp.g = counts.g WHERE dp.i = coalesce(m, 0)))
+), letters AS (
+  SELECT g, j, substr(b, j + 9, 1) AS e, sum(CASE WHEN substr(b, j + 9, 1) = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY g ORDER BY j) AS i,
+         sum(CASE WHEN substr(b, j + 9, 1) = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY g ORDER BY j) AS z
+  FROM (SELECT g, b, unnest(range(1, len(b) - 8)) AS j FROM best)
+), said AS (
+  SELECT l.g, j, z, e, f.role, f.text,
+         max(CASE WHEN z = 1 AND e = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.g) AS system
+  FROM letters AS l LEFT JOIN f ON l.g = f.g AND l.i = f.i WHERE e <> 'D'
+), done AS (
+  SELECT g, string_agg(CASE WHEN e = 'K' THEN role WHEN (z - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':'
+                       || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY j) AS told
+  FROM said GROUP BY g
+)
+SELECT i.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(left(b, 9) AS BIGINT) AS cost, substr(b, 10) AS audit,
+       sha256(coalesce(told, '')) AS repaired_sha256
+FROM (SELECT DISTINCT g, conv_id FROM k) AS i JOIN best ON i.g = best.g LEFT JOIN counts ON i.g = counts.g
+     LEFT JOIN done ON i.g = done.g
+"""
+
 DECONTAMINATION = rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents

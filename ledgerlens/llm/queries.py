@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, manifest, merkle, oracle, sharding, suffix_dedup, toxicity
+from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, manifest, merkle, oracle, repair, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -17,6 +17,7 @@ ORACLE: dict[str, str] = {
     "op8_induced_suffix_dedup": oracle.REPEATS,
     "op9_hyperminhash": oracle.NEAR_DUPLICATES,
     "op11_merkle_manifest": oracle.MANIFEST,
+    "op12_conversation_repair": oracle.REPAIR,
 }
 
 #: A key for the test tables; real ones are secrets of the caller.
@@ -107,3 +108,9 @@ def op10_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.prove_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(repair.damaged(given), given)
