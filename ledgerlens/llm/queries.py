@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, manifest, merkle, oracle, repair, sharding, suffix_dedup, toxicity
+from ledgerlens.llm import archive, bpe, brown, decontam, feistel, hyperminhash, manifest, merkle, oracle, quality, repair, sharding, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -114,3 +114,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
     return repair.repair_conversations(repair.damaged(given), given)
+
+
+@query
+def op13_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~quality.held_out()))
+    return quality.judge(docs, model).drop("score")
