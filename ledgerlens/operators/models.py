@@ -7,16 +7,13 @@ and not on the data.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -25,21 +22,23 @@ from pyspark.sql.window import Window
 
 from ledgerlens.functions.quantiles import ACCURACY, exact_quantile
 from ledgerlens.functions.sampling import HASH, lowest_hashes
+from ledgerlens.operators.clustering import (  # noqa: F401  part of this module's interface
+    CLUSTERS, MAX_ITERATIONS, RESTARTS, SEED, KMeansModel, fit_kmeans,
+)
 from ledgerlens.settings import materialised
 
 # Defaults of the models.
 TREES = 100
 SUBSAMPLE = 256
 CONTAMINATION = 0.05
-CLUSTERS = 5
-RESTARTS = 10
-MAX_ITERATIONS = 300
-PARALLEL_FITS = 5
 OUTLIER_PERCENTILE = 95
-SEED = 42
 ML_WEIGHT = 10
 
 _EULER = 0.5772156649015329
+#: A feature whose values in a node lie within this is constant there, but for rounding.
+LEAST_RANGE = 1e-9
+#: Leaf path lengths are multiples of this, a power of two.
+PATH_STEP = 2.0**-20
 
 
 # --- standard scaling -------------------------------------------------------
@@ -83,21 +82,36 @@ def average_path(n) -> np.ndarray:
     return np.where(n > 2, value, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow_tree(rows: np.ndarray, depth: int, seed: int) -> pd.DataFrame:
-    """One isolation tree in heap layout: node i has children 2i+1 and 2i+2."""
-    random = np.random.default_rng(seed)
+def _leaf_path(level: int, rows: int) -> float:
+    """Path length of a leaf, in steps whose sums over trees are exact in any order."""
+    return math.floor((level + float(average_path(rows))) / PATH_STEP + 0.5) * PATH_STEP
+
+
+def _node_draw(seed: int, tree: int, node: int) -> tuple[int, float]:
+    """A whole number and one between 0 and 1 from the MD5 of ``seed:tree:node``."""
+    digits = hashlib.md5(f"{seed}:{tree}:{node}".encode(), usedforsecurity=False).hexdigest()
+    return int(digits[:8], 16), (int(digits[8:21], 16) + 0.5) / 16**13
+
+
+def _grow_tree(rows: np.ndarray, depth: int, seed: int, tree: int) -> pd.DataFrame:
+    """One isolation tree in heap layout: node i has children 2i+1 and 2i+2.
+
+    A node's hash picks one of the features that vary in it and where to cut
+    its range, so a tree depends on its rows, its number and the seed only.
+    """
     nodes = []
     pending = [(0, 0, np.arange(len(rows)))]
     while pending:
         node, level, members = pending.pop()
         part = rows[members]
         low, high = part.min(axis=0), part.max(axis=0)
-        usable = np.flatnonzero(high > low)
+        usable = np.flatnonzero(high - low > LEAST_RANGE)
         if level == depth or len(usable) == 0:
-            nodes.append((node, -1, 0.0, level + float(average_path(len(members)))))
+            nodes.append((node, -1, 0.0, _leaf_path(level, len(members))))
             continue
-        feature = int(random.choice(usable))
-        cut = random.uniform(low[feature], high[feature])
+        pick, share = _node_draw(seed, tree, node)
+        feature = int(usable[pick % len(usable)])
+        cut = low[feature] + share * (high[feature] - low[feature])
         if cut >= high[feature]:  # rounding reached the top; keep both sides filled
             cut = low[feature]
         left = part[:, feature] <= cut
@@ -157,7 +171,7 @@ class IsolationForest:
                 f = feature[tree, node]
                 right = x[rows, np.maximum(f, 0)] > cut[tree, node]
                 node = np.where(f < 0, node, 2 * node + 1 + right)
-            return pd.Series(np.power(2.0, -path[tree, node].mean(axis=1) / norm))
+            return pd.Series(np.power(2.0, -(path[tree, node].sum(axis=1) / trees) / norm))
 
         return anomaly(F.struct(*self.names))
 
@@ -202,12 +216,11 @@ def fit_isolation_forest(
     depth = max(1, math.ceil(math.log2(max(per_tree, 2))))
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        ordered = pdf.sort_values("transaction_id")
-        tree = _grow_tree(ordered[names].to_numpy(dtype=float), depth, random_state + int(key[0]))
+        tree = _grow_tree(pdf[names].to_numpy(dtype=float), depth, random_state, int(key[0]))
         return tree.assign(tree=int(key[0]))
 
     nodes = (
-        chosen.select("tree", "transaction_id", *names)
+        chosen.select("tree", *names)
         .groupBy("tree")
         .applyInPandas(grow, "node long, feature long, cut double, path double, tree long")
         .toPandas()  # at most trees * (2 * SUBSAMPLE - 1) rows
@@ -233,37 +246,26 @@ def forest_summary(predictions: DataFrame) -> DataFrame:
 # --- k-means ----------------------------------------------------------------
 
 
-def feature_array(names: Sequence[str]) -> Column:
-    return F.array(*[F.col(n).cast("double") for n in names])
-
-
 def with_centroid_distance(
     matrix: DataFrame, names: Sequence[str], centers: Sequence[Sequence[float]]
 ) -> DataFrame:
-    """``cluster`` and Euclidean ``distance_to_centroid`` to the nearest of
-    the given centres, in built-in expressions."""
+    """``cluster`` and Euclidean ``distance_to_centroid`` to the nearest of the given centres.
 
-    names = list(names)
+    Batches of rows against all centres: as columns, the terms of features times centres
+    outgrow generated code.
+    """
+    middle = np.asarray(centers, dtype=float)
 
-    def squared(center: Sequence[float]) -> Column:
-        return reduce(
-            lambda total, term: total + term,
-            [(F.col(n).cast("double") - F.lit(float(c))) ** 2 for n, c in zip(names, center)],
-            F.lit(0.0),
-        )
+    @F.pandas_udf("cluster int, distance_to_centroid double")
+    def nearest(features: pd.DataFrame) -> pd.DataFrame:
+        x = features.to_numpy(dtype=float)
+        away = np.stack([((x - c) ** 2).sum(axis=1) for c in middle], axis=1)
+        own = away.argmin(axis=1)
+        distance = np.sqrt(away[np.arange(len(x)), own])
+        return pd.DataFrame({"cluster": own.astype(np.int32), "distance_to_centroid": distance})
 
-    away = [f"_d{i}" for i in range(len(centers))]
-    nearest = F.least(*away) if len(away) > 1 else F.col(away[0])
-    cluster = F.coalesce(
-        *[F.when(F.col(d) == F.col("_nearest"), F.lit(i)) for i, d in enumerate(away)]
-    )
-    return (
-        matrix.withColumns({d: squared(c) for d, c in zip(away, centers)})
-        .withColumn("_nearest", nearest)
-        .withColumn("cluster", cluster.cast("int"))
-        .withColumn("distance_to_centroid", F.sqrt("_nearest"))
-        .drop(*away, "_nearest")
-    )
+    doubles = [F.col(n).cast("double").alias(f"f{i}") for i, n in enumerate(names)]
+    return matrix.withColumn("_near", nearest(F.struct(*doubles))).select(*matrix.columns, "_near.*")
 
 
 def flag_distance_outliers(
@@ -280,35 +282,6 @@ def flag_distance_outliers(
     )
 
 
-def fit_kmeans(
-    matrix: DataFrame,
-    names: Sequence[str],
-    n_clusters: int = CLUSTERS,
-    random_state: int = SEED,
-    restarts: int = RESTARTS,
-) -> KMeansModel:
-    """Best of ``restarts`` runs by within-cluster cost.
-
-    The vectors are held once, in memory or on disk, for all runs; lost parts
-    are read again from the matrix.
-    """
-    vectors = VectorAssembler(inputCols=list(names), outputCol="features").transform(matrix)
-    vectors = vectors.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-
-    def run(restart: int) -> tuple[float, int, KMeansModel]:
-        seed = random_state + restart
-        model = KMeans(k=n_clusters, maxIter=MAX_ITERATIONS, seed=seed).fit(vectors)
-        return model.summary.trainingCost, restart, model
-
-    try:
-        vectors.count()  # fills the store before the runs start side by side
-        with ThreadPool(PARALLEL_FITS) as pool:
-            fit = inheritable_thread_target(matrix.sparkSession)(run)
-            return min(pool.map(fit, range(restarts)), key=lambda done: done[:2])[2]
-    finally:
-        vectors.unpersist()
-
-
 def predict_kmeans_outliers(
     model: KMeansModel,
     matrix: DataFrame,
@@ -316,8 +289,7 @@ def predict_kmeans_outliers(
     percentile: float = OUTLIER_PERCENTILE,
 ) -> DataFrame:
     """``transaction_id, cluster, distance_to_centroid, is_outlier``."""
-    centers = [c.tolist() for c in model.clusterCenters()]
-    placed = with_centroid_distance(matrix, names, centers).select(
+    placed = with_centroid_distance(matrix, names, model.centers.tolist()).select(
         "transaction_id", "cluster", "distance_to_centroid"
     )
     return flag_distance_outliers(placed, percentile)
@@ -343,7 +315,10 @@ def apply_pca(
     matrix: DataFrame, names: Sequence[str], n_components: int = 10
 ) -> tuple[DataFrame, list[float]]:
     """``transaction_id`` with ``components array<double>``, and the share of
-    variance each component explains.  The sign of a component is arbitrary."""
+    variance each component explains.
+
+    The loading of a component that is largest in size (of equal ones the first) is positive.
+    """
     names = list(names)
     centred = matrix.withColumns(
         {n: F.col(n) - F.lit(m) for n, m in zip(names, fit_scaler(matrix, names).means)}
@@ -352,9 +327,11 @@ def apply_pca(
     model = PCA(k=min(n_components, len(names)), inputCol="features", outputCol="reduced").fit(
         vectors
     )
-    reduced = model.transform(vectors).select(
-        "transaction_id", vector_to_array("reduced").alias("components")
-    )
+    loadings = model.pc.toArray()
+    largest = loadings[np.abs(loadings).argmax(axis=0), np.arange(loadings.shape[1])]
+    signs = F.array(*[F.lit(-1.0 if v < 0 else 1.0) for v in largest])
+    signed = F.zip_with(vector_to_array("reduced"), signs, lambda value, sign: value * sign)
+    reduced = model.transform(vectors).select("transaction_id", signed.alias("components"))
     return reduced, model.explainedVariance.toArray().tolist()
 
 

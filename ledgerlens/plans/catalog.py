@@ -523,19 +523,19 @@ def stored_forest(spark, d):
     return rounded(loaded.predict(matrix), 9, "ml_anomaly_score")
 
 
+def _placed(outliers: DataFrame) -> DataFrame:
+    return rounded(outliers, 4, "distance_to_centroid")
+
+
 @query
 def stored_kmeans(spark, d):
-    """Outliers by a k-means that went through storage, counted."""
+    """Outliers by a k-means that went through storage."""
     path = settings.scratch_path(spark, "models")
     matrix = settings.materialised(_matrix(spark, d))
-    fitted = model_store.Models(kmeans=M.fit_kmeans(matrix, X.FEATURE_COLUMNS, restarts=1))
+    fitted = model_store.Models(kmeans=M.fit_kmeans(matrix, X.FEATURE_COLUMNS))
     model_store.save_models(spark, fitted, path)
     loaded = model_store.load_models(spark, path).kmeans
-    placed = M.predict_kmeans_outliers(loaded, matrix, X.FEATURE_COLUMNS)
-    return M.cluster_sizes(placed).agg(
-        F.sum("transactions").alias("placed"), F.sum("outliers").alias("outliers"),
-        F.count("*").alias("clusters"),
-    )
+    return _placed(M.predict_kmeans_outliers(loaded, matrix, X.FEATURE_COLUMNS))
 
 
 @query
@@ -571,10 +571,13 @@ def isolation_forest_fit(spark, d):
     inner = (model.feature >= 0).sum(axis=1)
     leaves = (model.path > 0).sum(axis=1)
     flagged = model.label(scores).filter("ml_prediction = -1").count()
-    above = scores.filter(F.col("ml_anomaly_score") > F.lit(model.threshold)).count()
+    # The threshold by its rank: how many scores lie below it and up to it.
+    score, rank = F.col("ml_anomaly_score"), int(0.95 * (scores.count() - 1))
+    below, up_to = scores.agg(F.count_if(score < model.threshold), F.count_if(score <= model.threshold)).first()
+    placed = below <= rank + 1 <= up_to and flagged == scores.count() - up_to
     row = (
         len(inner), model.per_tree, bool(np.log2(model.feature.shape[1] + 1) - 1 <= 8),
-        bool((leaves == inner + 1).all()), flagged == above, scores.count(),
+        bool((leaves == inner + 1).all()), placed, scores.count(),
         bool(0 < flagged <= 0.05 * scores.count() + 1),
     )
     return spark.createDataFrame(
@@ -612,7 +615,7 @@ def kmeans_fit(spark, d):
     matrix = settings.materialised(_matrix(spark, d))
     names = X.FEATURE_COLUMNS
     model = M.fit_kmeans(matrix, names)
-    centers = [c.tolist() for c in model.clusterCenters()]
+    centers = model.centers.tolist()
     placed = M.predict_kmeans_outliers(model, matrix, names)
     own = M.with_centroid_distance(matrix, names, centers)
     means = {r["cluster"]: r for r in own.groupBy("cluster").agg(*[F.avg(n).alias(n) for n in names]).collect()}
@@ -651,22 +654,23 @@ def pca_fit(spark, d):
 
 @query
 def isolation_forest_flags(spark, d):
-    return D.forest_predictions(_matrix(spark, d))
+    return rounded(D.forest_predictions(_matrix(spark, d)), 9, "ml_anomaly_score")
 
 
 @query
 def isolation_forest_summary(spark, d):
-    return M.forest_summary(D.forest_predictions(_matrix(spark, d)))
+    summary = M.forest_summary(D.forest_predictions(_matrix(spark, d)))
+    return rounded(summary, 6, "anomaly_rate", "min_score", "max_score")
 
 
 @query
 def kmeans_outliers(spark, d):
-    return D.kmeans_outliers(_matrix(spark, d))
+    return _placed(D.kmeans_outliers(_matrix(spark, d)))
 
 
 @query
 def kmeans_cluster_sizes(spark, d):
-    return M.cluster_sizes(D.kmeans_outliers(_matrix(spark, d)))
+    return rounded(M.cluster_sizes(D.kmeans_outliers(_matrix(spark, d))), 6, "percentage")
 
 
 @query
@@ -697,13 +701,14 @@ def full_run(spark, d):
 
 @query
 def ml_flagged_alerts(spark, d):
-    return D.run_detection(transactions(spark, d), use_ml=True)
+    return _scored(D.run_detection(transactions(spark, d), use_ml=True))
 
 
 @query
 def hybrid_score(spark, d):
     tx = transactions(spark, d)
-    return M.with_hybrid_score(D.score_transactions(tx), D.forest_predictions(D.scaled_matrix(tx)))
+    both = M.with_hybrid_score(D.score_transactions(tx), D.forest_predictions(D.scaled_matrix(tx)))
+    return rounded(_scored(both), 6, "hybrid_score", "ml_anomaly_score")
 
 
 @query

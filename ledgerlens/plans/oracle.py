@@ -7,6 +7,7 @@ table expressions) and shares nothing with the Spark plans.
 from __future__ import annotations
 
 from ledgerlens.operators.features import FEATURE_COLUMNS
+from ledgerlens.plans.oracle_models import CLUSTERS, FOREST, MATRIX
 
 TX = """
 tx as (
@@ -299,6 +300,28 @@ names as (
     _COUNTS,
     _RATES,
 ]
+FITTED = ALL_RULES + STANDARD[1:] + FOREST + [
+    CLUSTERS,
+    TRUTH,
+    """
+members as (
+  select distinct 'Rules-Based' as method, transaction_id from flags
+  union all
+  select distinct 'Isolation Forest', transaction_id from forest where ml_prediction = -1
+  union all
+  select distinct 'K-Means Clustering', transaction_id from clustered where is_outlier
+  union all
+  select distinct 'Hybrid (Rules + ML)', transaction_id from (
+    select transaction_id from flags
+    union select transaction_id from forest where ml_prediction = -1)
+),
+names as (
+  select * from (values (0, 'Rules-Based'), (1, 'Isolation Forest'), (2, 'K-Means Clustering'),
+                        (3, 'Hybrid (Rules + ML)')) v(method_order, method)
+)""",
+    _COUNTS,
+    _RATES,
+]
 DETECTED = SCORED + [
     TRUTH,
     """
@@ -336,6 +359,10 @@ def _with(parts: list[str], select: str) -> str:
     return "with " + ",".join(parts) + "\n" + select
 
 
+def _recursive(parts: list[str], select: str) -> str:
+    return "with recursive " + ",".join(parts) + "\n" + select
+
+
 # Averages are compared in single precision, which has no decimal ties.
 _AVERAGES = ["user_avg_amount", "amount_diff_from_avg", "rolling_7d_avg", "rolling_30d_avg"]
 
@@ -798,9 +825,42 @@ b as (select min(final_risk_score) as low, max(final_risk_score) as high,
         ),
     }
     statements["stored_forest"] = statements["given_forest_flags"]
-    statements["stored_kmeans"] = (
-        f"select placed, outliers, clusters from ({statements['kmeans_fit']})"
+    statements["kmeans_outliers"] = statements["stored_kmeans"] = _recursive(
+        STANDARD + [MATRIX, CLUSTERS],
+        "select transaction_id, cast(cluster as integer) as cluster, "
+        "round(distance_to_centroid, 4) as distance_to_centroid, is_outlier from clustered",
+    )
+    statements["kmeans_cluster_sizes"] = _recursive(
+        STANDARD + [MATRIX, CLUSTERS],
+        "select cast(cluster as integer) as cluster, count(*) as transactions, "
+        "count(*) filter (where is_outlier) as outliers, "
+        "round(count(*) * 100.0::double / (select count(*) from clustered), 6) as percentage "
+        "from clustered group by cluster",
+    )
+    statements["isolation_forest_flags"] = _recursive(
+        STANDARD + FOREST,
+        "select transaction_id, round(ml_anomaly_score, 9) as ml_anomaly_score, ml_prediction "
+        "from forest",
+    )
+    statements["isolation_forest_summary"] = _recursive(
+        STANDARD + FOREST,
+        "select count(*) as samples, count(*) filter (where ml_prediction = -1) as anomalies, "
+        "round(count(*) filter (where ml_prediction = -1) / count(*) * 100, 6) as anomaly_rate, "
+        "round(min(ml_anomaly_score), 6) as min_score, round(max(ml_anomaly_score), 6) as "
+        "max_score from forest",
+    )
+    statements["ml_flagged_alerts"] = _recursive(
+        SCORED + STANDARD[1:] + FOREST,
+        "select *, transaction_id in (select transaction_id from forest where "
+        "ml_prediction = -1) as ml_flagged from scored",
+    )
+    statements["hybrid_score"] = _recursive(
+        SCORED + STANDARD[1:] + FOREST,
+        "select scored.*, round(ml_anomaly_score, 6) as ml_anomaly_score, "
+        "round(final_risk_score + 10 * ml_anomaly_score, 6) as hybrid_score "
+        "from scored join forest using (transaction_id)",
     )
+    statements["method_comparison"] = _recursive(FITTED, _CONFUSION_SELECT)
     statements["report_suite_rule_effectiveness"] = statements["rule_effectiveness"]
     statements["report_suite_summary"] = statements["summary_report"]
     return statements

@@ -1,4 +1,4 @@
-"""Save and load fitted models: parameters as Parquet, k-means natively."""
+"""Save and load fitted models: their parameters as Parquet."""
 
 from __future__ import annotations
 
@@ -7,11 +7,10 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.errors import AnalysisException
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.models import IsolationForest, Scaler
+from ledgerlens.operators.models import IsolationForest, KMeansModel, Scaler
 
 
 @dataclass(frozen=True)
@@ -46,7 +45,11 @@ def save_models(spark: SparkSession, models: Models, path: str) -> None:
             "names array<string>, per_tree int, contamination double, threshold double",
         ).write.mode("overwrite").parquet(f"{root}/isolation_forest/settings")
     if models.kmeans:
-        models.kmeans.write().overwrite().save(f"{root}/kmeans")
+        k = models.kmeans
+        rows = [(i, c, k.names, k.cost) for i, c in enumerate(k.centers.tolist())]
+        spark.createDataFrame(
+            rows, "cluster int, center array<double>, names array<string>, cost double"
+        ).write.mode("overwrite").parquet(f"{root}/kmeans")
 
 
 def _load(kind: str, loader):
@@ -55,11 +58,6 @@ def _load(kind: str, loader):
     except (AnalysisException, OSError) as missing:
         warnings.warn(f"{kind} not found: {missing}", stacklevel=3)
         return None
-    except Exception as error:  # the ML reader reports a missing path as a JVM error
-        if "does not exist" not in str(error):
-            raise
-        warnings.warn(f"{kind} not found", stacklevel=3)
-        return None
 
 
 def _load_scaler(spark: SparkSession, root: str) -> Scaler:
@@ -86,11 +84,16 @@ def _load_forest(spark: SparkSession, root: str) -> IsolationForest:
     )
 
 
+def _load_kmeans(spark: SparkSession, root: str) -> KMeansModel:
+    rows = spark.read.parquet(f"{root}/kmeans").orderBy("cluster").collect()
+    return KMeansModel(list(rows[0]["names"]), np.array([r["center"] for r in rows]), rows[0]["cost"])
+
+
 def load_models(spark: SparkSession, path: str) -> Models:
     """Read what is there; a missing model is only a warning."""
     root = path.rstrip("/")
     return Models(
         _load("scaler", lambda: _load_scaler(spark, root)),
         _load("isolation forest", lambda: _load_forest(spark, root)),
-        _load("k-means", lambda: KMeansModel.load(f"{root}/kmeans")),
+        _load("k-means", lambda: _load_kmeans(spark, root)),
     )

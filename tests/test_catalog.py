@@ -16,13 +16,10 @@ RUN = [
     "combined_flags", "combined_flags_skewed", "scored_transactions_skewed", "alerts_upsert",
     "feature_matrix", "distance_outliers_split", "best_method", "amount_boxplot_split",
     "full_run", "stream_alert_sink", "stream_alert_sink_two_rules", "alert_store_changes",
-    "alert_store_cleared", "given_forest_hybrid", "stored_forest", "sampled_transactions", "amount_describe_split",
+    "alert_store_cleared", "given_forest_hybrid", "stored_forest", "stored_kmeans", "kmeans_cluster_sizes",
+    "isolation_forest_flags", "method_comparison", "sampled_transactions", "amount_describe_split",
 ]
-NO_SQL = {
-    "isolation_forest_flags", "isolation_forest_summary", "kmeans_outliers",
-    "kmeans_cluster_sizes", "pca_projection", "ml_flagged_alerts", "hybrid_score",
-    "method_comparison",
-}
+NO_SQL = {"pca_projection"}
 
 
 def table(rows, names):

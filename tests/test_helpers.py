@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlens.functions import quantiles
 from ledgerlens.functions.hot_keys import find_hot_keys, only_hot, without_hot
 from ledgerlens.functions.numbering import number_rows
 from ledgerlens.functions.pieces import LEAD_IN, PIECE, cut_points, with_lead_in, with_piece
@@ -83,3 +84,54 @@ def test_hash_sample_is_exact_and_repeatable(spark):
     assert lowest_hashes(df.limit(0), "k", 5, 42).count() == 0
     same = df.withColumn("k", F.lit("x"))
     assert lowest_hashes(same, "k", 10, 42).count() == 10
+
+
+@pytest.fixture
+def spread(spark):
+    rng = np.random.default_rng(3)
+    groups = {"many": rng.normal(size=4000), "ties": rng.integers(0, 5, 3000).astype(float),
+              "steep": np.exp(rng.normal(size=2500) * 20), None: rng.random(700), "one": np.array([2.5])}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values]
+    return groups, spark.createDataFrame(rows, "g string, v double").repartition(6)
+
+
+PROBS = [0.0, 0.05, 0.5, 0.95, 1.0]
+
+
+def _same_as_numpy(groups, df, accuracy):
+    got = {r["g"]: r["quantiles"] for r in exact_quantiles(df, "v", PROBS, ["g"], accuracy).collect()}
+    assert set(got) == set(groups)
+    for g, values in groups.items():
+        assert np.allclose(got[g], np.quantile(values, PROBS), rtol=1e-12)
+    everything = np.concatenate(list(groups.values()))
+    assert np.allclose(exact_quantiles(df, "v", PROBS, accuracy=accuracy).first()["quantiles"],
+                       np.quantile(everything, PROBS), rtol=1e-12)
+
+
+def test_brackets_that_miss_their_rank_are_widened(spread, monkeypatch):
+    groups, df = spread
+    missed = []
+    look = quantiles._missed
+    monkeypatch.setattr(quantiles, "_missed", lambda *a: missed.append(look(*a).count()) or look(*a))
+    # No reach and a rough estimate: the bracket is one value beside the rank.
+    monkeypatch.setattr(quantiles, "REACH", 0)
+    monkeypatch.setattr(quantiles.F, "percentile_approx", lambda c, shares, a: F.array(*[F.max(c)] * len(shares)))
+    _same_as_numpy(groups, df, 10)
+    assert all(n >= 3 for n in missed) and len(missed) == 2
+
+
+def test_large_brackets_are_narrowed(spread, monkeypatch):
+    groups, df = spread
+    rounds = []
+    narrow = quantiles._narrowed
+
+    def counting(counted, keys):
+        rounds.append(counted.groupBy(*keys, "i").count().agg(F.max("count")).first()[0])
+        return narrow(counted, keys)
+
+    monkeypatch.setattr(quantiles, "_narrowed", counting)
+    monkeypatch.setattr(quantiles, "SORTED", 40)
+    monkeypatch.setattr(quantiles, "SLICES", 8)
+    _same_as_numpy(groups, df, 100_000)
+    # A round leaves about two of eight slices of the values.
+    assert rounds[:2] == [4000, 550] and all(b < 0.3 * a for a, b in zip(rounds, rounds[1:]))

@@ -1,9 +1,12 @@
+import hashlib
+import math
 import warnings
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import clustering
 from ledgerlens.operators import models as M
 from ledgerlens.sources import model_store
 
@@ -92,6 +95,19 @@ def test_forest_matches_tree_walk(forest, points):
         assert np.isclose(got[f"T{i:04d}"], want)
 
 
+def test_nodes_follow_from_their_hashes(spark):
+    rows = np.array([[0.0, 5.0, 1.0], [1.0, 5.0, 9.0], [4.0, 5.0, 2.0], [4.0, 5.0 + 1e-12, 2.0]])
+    tree = M._grow_tree(rows, 2, 42, 7).set_index("node")
+    digits = hashlib.md5(b"42:7:0").hexdigest()
+    feature = [0, 2][int(digits[:8], 16) % 2]
+    low, high = rows[:, feature].min(), rows[:, feature].max()
+    cut = low + (int(digits[8:21], 16) + 0.5) / 16**13 * (high - low)
+    assert tree.loc[0, "feature"] == feature and tree.loc[0, "cut"] == cut
+    # The last two rows differ by rounding only, so they end in one leaf; paths are exact steps.
+    assert all(p / M.PATH_STEP == int(p / M.PATH_STEP) for p in tree["path"])
+    assert len(M._grow_tree(rows[2:], 8, 42, 0)) == 1
+
+
 def test_constant_rows_make_a_single_leaf(spark):
     df = spark.createDataFrame([(f"T{i}", 1.0) for i in range(20)], "transaction_id string, a double")
     model, scores = M.fit_isolation_forest(df, ["a"], trees=3)
@@ -107,8 +123,9 @@ def test_forest_summary(forest):
 
 def test_kmeans_distances_and_outliers(matrix, points):
     model = M.fit_kmeans(matrix, NAMES, n_clusters=3, restarts=3)
+    assert model.names == NAMES and model.centers.tolist() == sorted(model.centers.tolist())
     out = M.predict_kmeans_outliers(model, matrix, NAMES).toPandas().set_index("transaction_id")
-    centers = np.array(model.clusterCenters())
+    centers = model.centers
     distances = np.linalg.norm(points[:, None] - centers[None], axis=2)
     got = out.sort_index()
     assert np.allclose(got["distance_to_centroid"], distances.min(axis=1))
@@ -117,11 +134,63 @@ def test_kmeans_distances_and_outliers(matrix, points):
     assert (got["is_outlier"].to_numpy() == (distances.min(axis=1) > threshold)).all()
 
 
-def test_kmeans_keeps_the_cheapest_restart(matrix):
-    best = M.fit_kmeans(matrix, NAMES, n_clusters=4, restarts=3).summary.trainingCost
-    single = [M.fit_kmeans(matrix, NAMES, n_clusters=4, random_state=42 + i, restarts=1)
-              .summary.trainingCost for i in range(3)]
-    assert np.isclose(best, min(single))
+def lloyd(x, centers):
+    """K-means by hand from given seeds; the centres and the cost."""
+    while True:
+        own = ((x[:, None] - centers[None]) ** 2).sum(axis=2).argmin(axis=1)
+        fresh = np.array([x[own == j].mean(axis=0) if (own == j).any() else c for j, c in enumerate(centers)])
+        moved, centers = ((fresh - centers) ** 2).sum(), fresh
+        if moved <= clustering.TOLERANCE:
+            away = ((x[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1)
+            return centers, away.sum()
+
+
+def seeds(x, k, seed):
+    """The draws by hashes, one after another."""
+    keys = [int(hashlib.md5(f"T{i:04d}".encode()).hexdigest()[:13], 16) for i in range(len(x))]
+    chosen = []
+    for draw in range(k):
+        shift = clustering.shift_of(seed, draw)
+        time = np.array([-math.log(((key + shift) % 16**13 + 0.5) / 16**13) for key in keys])
+        odds = np.min([((x - c) ** 2).sum(axis=1) for c in chosen], axis=0) if chosen else 1.0
+        chosen.append(x[(odds / time).argmax()])
+    return np.array(chosen)
+
+
+def test_kmeans_keeps_the_cheapest_restart(matrix, points):
+    runs = [lloyd(points, seeds(points, 4, 42 + r)) for r in range(4)]
+    model = M.fit_kmeans(matrix, NAMES, 4, restarts=4)
+    costs = [cost for _, cost in runs]
+    assert np.isclose(model.cost, min(costs))
+    assert np.allclose(model.centers, sorted(runs[int(np.argmin(costs))][0].tolist()))
+
+
+def test_kmeans_does_not_depend_on_partitions(matrix):
+    one, other = (M.fit_kmeans(m, NAMES, 5, restarts=3) for m in (matrix.coalesce(1), matrix.repartition(9)))
+    assert np.allclose(one.centers, other.centers) and np.isclose(one.cost, other.cost)
+
+
+def test_restarts_share_every_scan(matrix, monkeypatch):
+    scans, scan = [], clustering._pass
+    monkeypatch.setattr(clustering, "_pass", lambda blocks, centers, move: scans.append(len(centers)) or scan(blocks, centers, move))
+    alone = []
+    for r in range(3):
+        scans.clear()
+        M.fit_kmeans(matrix, NAMES, 4, random_state=42 + r, restarts=1)
+        alone.append(len(scans))
+    scans.clear()
+    M.fit_kmeans(matrix, NAMES, 4, restarts=3)
+    # As many scans as the slowest restart needs; those that have converged leave.
+    assert len(scans) == max(alone) and sum(scans[:-1]) == sum(alone) - 3
+    assert scans[:-1] == sorted(scans[:-1], reverse=True) and scans[-1] == 3
+
+
+def test_kmeans_of_few_rows(spark):
+    schema = "transaction_id string, a double, b double"
+    assert M.fit_kmeans(spark.createDataFrame([], schema), ["a", "b"]).centers.tolist() == [[0.0, 0.0]] * 5
+    rows = [(f"T{i}", float(i % 2), 1.0) for i in range(6)] + [(None, 0.0, 1.0)]
+    model = M.fit_kmeans(spark.createDataFrame(rows, schema), ["a", "b"], 3)
+    assert model.cost == 0 and {tuple(c) for c in model.centers} == {(0.0, 1.0), (1.0, 1.0)}
 
 
 def test_cluster_sizes(spark):
@@ -140,6 +209,10 @@ def test_pca_explains_the_same_variance_as_svd(matrix, points):
     assert got.shape == (1000, 3) and np.allclose(got.mean(axis=0), 0, atol=1e-9)
     assert np.allclose((got**2).sum(axis=0), singular[:3])
     assert len(M.apply_pca(matrix, NAMES, 50)[1]) == 6
+    # Components with their signs: of the loadings, the largest in size is positive.
+    loadings = np.linalg.svd(centred, full_matrices=False)[2][:3].T
+    loadings = loadings * np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(3)])
+    assert np.allclose(got, centred @ loadings)
 
 
 def test_importance_masks_constant_features(spark):
@@ -175,7 +248,8 @@ def test_models_survive_storage(spark, matrix, forest, tmp_path):
     assert loaded.scaler == saved.scaler
     assert loaded.forest.threshold == model.threshold
     assert loaded.forest.score(matrix).exceptAll(scores).count() == 0
-    assert np.allclose(loaded.kmeans.clusterCenters(), kmeans.clusterCenters())
+    assert loaded.kmeans.centers.tolist() == kmeans.centers.tolist()
+    assert (loaded.kmeans.names, loaded.kmeans.cost) == (kmeans.names, kmeans.cost)
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
         nothing = model_store.load_models(spark, str(tmp_path / "none"))
@@ -192,17 +266,6 @@ def test_few_rows_still_get_the_flag(make_tx, n):
     assert got.filter("ml_flagged is null").count() == 0
 
 
-def test_kmeans_restarts_share_one_input(matrix):
-    model = M.fit_kmeans(matrix, NAMES, 3, restarts=4)
-    best = min(
-        M.KMeans(k=3, maxIter=M.MAX_ITERATIONS, seed=M.SEED + i).fit(
-            M.VectorAssembler(inputCols=NAMES, outputCol="features").transform(matrix)
-        ).summary.trainingCost
-        for i in range(4)
-    )
-    assert np.isclose(model.summary.trainingCost, best)
-
-
 def test_saved_models_score_as_before(spark, matrix, forest, tmp_path):
     model, _ = forest
     clusters = M.fit_kmeans(matrix, NAMES, 3, restarts=1)
@@ -210,4 +273,4 @@ def test_saved_models_score_as_before(spark, matrix, forest, tmp_path):
     loaded = model_store.load_models(spark, str(tmp_path / "m"))
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(loaded.forest.predict(matrix)) == key(model.predict(matrix))
-    assert np.allclose(loaded.kmeans.clusterCenters(), clusters.clusterCenters())
+    assert loaded.kmeans.centers.tolist() == clusters.centers.tolist()
