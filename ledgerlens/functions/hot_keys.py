@@ -3,43 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ledgerlens import settings
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The keys with more than ``limit`` rows.
+    """The keys with more than ``limit`` rows, as a written table of keys.
 
-    At most ``rows / limit`` keys can qualify, so the list is safe to hold on
-    the driver and to broadcast whatever the data looks like.
+    The table never passes the driver, and joins with it carry no hint: it is
+    broadcast while its size allows, and shuffled beyond that.
     """
 
     key: str
     limit: int
-    counts: dict[str, int] = field(default_factory=dict)
+    keys: DataFrame | None = None
+    #: Rows of all these keys together.
+    rows: int = 0
+    #: Rows aimed at per piece when these keys are split in order.
+    piece_rows: int = 1
 
     def __bool__(self) -> bool:
-        return bool(self.counts)
+        return self.keys is not None
 
-    @property
-    def piece_rows(self) -> int:
-        """Rows aimed at per piece when these keys are split in order: small
-        enough to keep many executors busy, yet few pieces in total."""
-        few = sum(self.counts.values()) // settings.MAX_PIECES
-        return max(self.limit // settings.PIECES_PER_LIMIT, few, 1)
 
-    def frame(self, df: DataFrame) -> DataFrame:
-        schema = T.StructType([T.StructField(self.key, df.schema[self.key].dataType)])
-        return df.sparkSession.createDataFrame([(k,) for k in self.counts], schema)
-
-
-def find_hot_keys(df: DataFrame, key: str = "user_id", limit: int | None = None) -> HotKeys:
+def find_hot_keys(
+    df: DataFrame, key: str = "user_id", limit: int | None = None, piece_rows: int | None = None
+) -> HotKeys:
     """Count rows per key (combined map-side) and keep the heavy ones."""
     limit = limit or settings.hot_key_rows(df.sparkSession)
     heavy = (
@@ -47,15 +41,18 @@ def find_hot_keys(df: DataFrame, key: str = "user_id", limit: int | None = None)
         .groupBy(key)
         .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") > limit)
-        .collect()
     )
-    return HotKeys(key, limit, {row[key]: row["n"] for row in heavy})
+    rows = heavy.agg(F.sum("n")).first()[0]
+    if not rows:
+        return HotKeys(key, limit)
+    table = settings.materialised(heavy.select(key), "hot-keys")
+    return HotKeys(key, limit, table, rows, piece_rows or max(limit // settings.PIECES_PER_LIMIT, 1))
 
 
 def without_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
     if not hot:
         return df
-    return df.join(F.broadcast(hot.frame(df)), hot.key, "left_anti")
+    return df.join(hot.keys, hot.key, "left_anti")
 
 
 #: Number given to each written row of a hot key; tells copies apart.
@@ -68,7 +65,7 @@ def only_hot(df: DataFrame, hot: HotKeys) -> DataFrame:
     The routes for hot keys read them several times and should not scan the
     whole input for each.  The number lets even identical rows be split.
     """
-    rows = df.join(F.broadcast(hot.frame(df)), hot.key, "left_semi")
+    rows = df.join(hot.keys, hot.key, "left_semi")
     return settings.materialised(rows.withColumn(ROW, F.monotonically_increasing_id()), "hot-rows")
 
 

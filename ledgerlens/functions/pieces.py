@@ -1,91 +1,75 @@
-"""Split a hot key's ordered rows into contiguous pieces.
+"""Split ordered rows of heavy keys into contiguous pieces.
 
-A window over a hot key would put all its rows into one task.  Here the key's
-order is cut at sampled marks, every row finds its piece by comparing itself
-with the cuts, and windows run per (key, piece).  Rows that a trailing window
-must look back at are copied in front of the piece ("lead-in" rows).
+A window over a heavy key would put all its rows into one task.  Here the rows
+are range partitioned by key and order, a piece is one such partition, and
+windows run per (key, piece).  Rows that a trailing window must look back at
+are carried over the border in front of a piece ("lead-in" rows).  Nothing of
+this passes the driver, and the number of pieces grows with the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerlens.settings import materialised
+
 PIECE = "_piece"
 LEAD_IN = "_lead_in"
 
-#: Sampled marks per piece; more marks make the pieces more even.
-_MARKS = 20
-#: Halving steps of the search: enough for 16,383 cuts per key.
-_STEPS = [1 << bit for bit in range(13, -1, -1)]
-
 
-def cut_points(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], piece_rows: int
+def with_piece(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], pieces: int
 ) -> DataFrame:
-    """One row per key with its sorted ``cuts``.
+    """Write the rows with the number of their piece, of about equal sizes.
 
-    The hash sample only decides where to cut, so it affects balance and never
-    results.  It holds about ``_MARKS`` marks per ``piece_rows`` rows; copies
-    of a row collapse in ``distinct``.
+    Where the partitioner cuts affects balance and never results.
     """
-    stride = max(1, piece_rows // _MARKS)
-    sampled = F.pmod(F.xxhash64(*keys, *order), F.lit(stride)) == 0
-    marks = df.filter(sampled).select(*keys, F.struct(*order).alias("mark")).distinct()
-    return (
-        marks.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list("mark")).alias("marks"))
-        .select(
-            *keys,
-            F.filter("marks", lambda _, i: i % _MARKS == _MARKS - 1).alias("cuts"),
-        )
-    )
-
+    ranged = df.repartitionByRange(max(1, pieces), *keys, *order)
+    return materialised(ranged.withColumn(PIECE, F.spark_partition_id()), "pieces")
 
-def _piece(cuts: Column, mark: Column) -> Column:
-    """Number of cuts below ``mark``."""
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in _STEPS]),
-        F.lit(0),
-        lambda low, step: F.when(F.get(cuts, low + step - 1) < mark, low + step).otherwise(low),
-    )
 
+def _borders(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """Pieces of a key whose last rows a later piece needs: ``_to``, and how many rows lie ``_between``.
 
-def with_piece(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], cuts: DataFrame
-) -> DataFrame:
-    """Add the piece number; ``cuts`` is bounded by design and broadcast."""
-    return (
-        df.join(F.broadcast(cuts), list(keys), "left")
-        .withColumn(PIECE, _piece(F.col("cuts"), F.struct(*order)))
-        .drop("cuts")
-    )
+    A piece needs the one before it; it also needs earlier ones if all those in
+    between are so small that they do not fill its window.  There is one row
+    per key and piece, and a round per piece further back.
+    """
+    sizes = materialised(df.groupBy(*keys, PIECE).agg(F.count(F.lit(1)).alias("_size")), "piece-sizes")
+    start = sizes.select(*keys, PIECE, F.col(PIECE).alias("_at"), F.lit(0).cast("long").alias("_between"))
+    following = sizes.select(*keys, (F.col(PIECE) - 1).alias("_at"), "_size")
+    found = []
+    while True:
+        found.append(materialised(start.join(following, [*keys, "_at"]), "piece-borders"))
+        start = found[-1].select(
+            *keys, PIECE, (F.col("_at") + 1).alias("_at"), (F.col("_between") + F.col("_size")).alias("_between")
+        ).filter(F.col("_between") < rows)
+        if start.isEmpty():
+            return reduce(DataFrame.unionByName, found).select(
+                *keys, PIECE, (F.col("_at") + 1).alias("_to"), "_between"
+            )
 
 
 def with_lead_in(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], rows: int
 ) -> DataFrame:
-    """Copy the ``rows`` rows before each piece into it, marked ``_lead_in``.
+    """Copy the ``rows`` rows before each piece of a key into it, marked ``_lead_in``.
 
-    Only the last ``rows`` rows of every piece can be needed by a later one.
-    The group limit trims them map-side, and what remains per key is
-    ``rows`` times its number of pieces.
+    Only the last ``rows`` rows of every piece can be needed by a later one;
+    the group limit trims them map-side.
     """
     latest = Window.partitionBy(*keys, PIECE).orderBy(*[F.desc(c) for c in order])
-    tails = (
-        df.withColumn("_from_end", F.row_number().over(latest))
-        .filter(F.col("_from_end") <= rows)
-        .drop("_from_end")
-    )
-    ahead = Window.partitionBy(*keys).orderBy(*order).rowsBetween(1, rows)
+    tails = df.withColumn("_from_end", F.row_number().over(latest)).filter(F.col("_from_end") <= rows)
     copies = (
-        tails.withColumn("_next", F.array_distinct(F.collect_list(PIECE).over(ahead)))
-        .withColumn("_next", F.explode(F.array_remove("_next", F.col(PIECE))))
-        .withColumn(PIECE, F.col("_next"))
-        .drop("_next")
+        tails.join(_borders(df, keys, rows), [*keys, PIECE])
+        .filter(F.col("_from_end") <= rows - F.col("_between"))
+        .withColumn(PIECE, F.col("_to"))
+        .select(*df.columns)
     )
     return df.withColumn(LEAD_IN, F.lit(False)).unionByName(
         copies.withColumn(LEAD_IN, F.lit(True))

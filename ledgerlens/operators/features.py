@@ -18,8 +18,9 @@ from pyspark.sql.window import Window, WindowSpec
 
 from ledgerlens.functions.hot_keys import ROW, HotKeys, find_hot_keys, only_hot, without_hot
 from ledgerlens.functions.numbering import number_rows
-from ledgerlens.functions.pieces import LEAD_IN, PIECE, cut_points, with_lead_in, with_piece
+from ledgerlens.functions.pieces import LEAD_IN, PIECE, with_lead_in, with_piece
 from ledgerlens.functions.quantiles import exact_quantiles
+from ledgerlens.settings import materialised
 
 # Upper ends of the amount bins (right-closed), rolling window
 # lengths in rows, and the thresholds of the amount and frequency features.
@@ -139,14 +140,15 @@ def _stats_by_window(df: DataFrame) -> DataFrame:
     return df.withColumns({name: c.over(by_user) for name, c in _user_stats().items()})
 
 
-def _stats_by_join(df: DataFrame, hot: HotKeys) -> DataFrame:
-    """For hot users: at most one row per hot user is joined back."""
+def _stats_by_join(df: DataFrame) -> DataFrame:
+    """For hot users: one row per hot user is joined back, broadcast if its size allows."""
     simple = [c.alias(n) for n, c in _user_stats().items() if n != "user_median_amount"]
     stats = df.groupBy("user_id").agg(*simple)
     medians = exact_quantiles(df, "amount", [0.5], by=["user_id"]).select(
         "user_id", F.col("quantiles")[0].alias("user_median_amount")
     )
-    return df.join(F.broadcast(stats.join(medians, "user_id", "left")), "user_id")
+    whole = materialised(stats.join(medians, "user_id", "left"), "user-statistics")
+    return df.join(whole, "user_id")
 
 
 def _against_user(df: DataFrame) -> DataFrame:
@@ -218,11 +220,11 @@ def _over_users(
     if hot:
         heavy = only_hot(rows, hot)
         if stats:
-            heavy = _stats_by_join(heavy, hot)
+            heavy = _stats_by_join(heavy)
         if ordered:
             keys, order = ["user_id"], [*_ORDER, ROW]
-            cuts = cut_points(heavy, keys, order, hot.piece_rows)
-            split = with_lead_in(with_piece(heavy, keys, order, cuts), keys, order, LONG_ROWS - 1)
+            split = with_piece(heavy, keys, order, math.ceil(hot.rows / hot.piece_rows))
+            split = with_lead_in(split, keys, order, LONG_ROWS - 1)
             split = steps(split, Window.partitionBy("user_id", PIECE).orderBy(*order))
             heavy = split.filter(~F.col(LEAD_IN)).drop(LEAD_IN, PIECE)
         result = result.unionByName(heavy.drop(ROW))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from ledgerlens.functions.hot_keys import HotKeys, by_weight, find_hot_keys
+from ledgerlens.settings import materialised
 
 HIGH_VALUE = "HIGH_VALUE"
 VELOCITY = "VELOCITY"
@@ -253,9 +254,9 @@ def _hot_burst(df: DataFrame, burst: Burst) -> DataFrame:
         .agg(F.min(F.struct("timestamp", "_size")).alias("_first"))
         .select("user_id", F.col("_first.timestamp").alias("_end"), "_first._size")
     )
-    # One row per hot user at most.
+    # One row per hot user at most: written, it is broadcast if its size allows.
     inside = F.col("timestamp").between(F.col("_end") - F.lit(burst.window), F.col("_end"))
-    flagged = rows.join(F.broadcast(ends), "user_id").filter(inside)
+    flagged = rows.join(materialised(ends, "burst-ends"), "user_id").filter(inside)
     return _flagged(
         flagged.withColumn("_score", burst.score(F.col("_size"))), burst.rule, "_score"
     ).select(*df.columns, *_FLAG)

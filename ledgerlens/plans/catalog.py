@@ -45,6 +45,8 @@ AS_OF = datetime(2024, 2, 10)
 #: Users with more rows than this take the hot-user route in the ``*_skewed``
 #: queries; the results must be those of the ordinary route.
 FEW_ROWS = 20
+#: Rows of a piece there, so that users are cut at the borders of pieces.
+FEW_PIECE_ROWS = 500
 
 #: Accuracy at which the ``*_split`` queries bracket quantiles even in small
 #: groups; the results must be the same.
@@ -78,7 +80,7 @@ def single(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def heavy_users(tx: DataFrame) -> HotKeys:
-    return find_hot_keys(tx, limit=FEW_ROWS)
+    return find_hot_keys(tx, limit=FEW_ROWS, piece_rows=FEW_PIECE_ROWS)
 
 
 def scored_view(spark: SparkSession, d: str) -> DataFrame:

@@ -14,9 +14,6 @@ DEFAULT_HOT_ROWS = 1_000_000
 #: A hot key is split into pieces of this fraction of the limit.
 PIECES_PER_LIMIT = 5
 
-#: No ordered split ever uses more pieces than about this many.
-MAX_PIECES = 10_000
-
 
 def hot_key_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))

@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 from ledgerlens.functions import quantiles
 from ledgerlens.functions.hot_keys import find_hot_keys, only_hot, without_hot
 from ledgerlens.functions.numbering import number_rows
-from ledgerlens.functions.pieces import LEAD_IN, PIECE, cut_points, with_lead_in, with_piece
+from ledgerlens.functions.pieces import LEAD_IN, PIECE, with_lead_in, with_piece
 from ledgerlens.functions.quantiles import exact_quantile, exact_quantiles
 from ledgerlens.functions.sampling import lowest_hashes
 
@@ -16,14 +16,15 @@ from ledgerlens.functions.sampling import lowest_hashes
 def test_hot_keys_are_split_off(spark):
     df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 2 + [(None,)] * 9, "user_id string")
     hot = find_hot_keys(df, limit=5)
-    assert hot.counts == {"a": 9}
+    assert [r[0] for r in hot.keys.collect()] == ["a"] and hot.rows == 9
+    assert not find_hot_keys(df, limit=9)
     assert only_hot(df, hot).count() == 9
     assert without_hot(df, hot).count() == 11  # rows without a key stay
 
 
-@pytest.mark.parametrize("piece_rows", [1, 7, 60, 100_000])
-def test_windows_over_pieces_equal_whole_windows(spark, piece_rows):
-    rng = random.Random(piece_rows)
+@pytest.mark.parametrize("pieces", [1, 3, 40, 400])
+def test_windows_over_pieces_equal_whole_windows(spark, pieces):
+    rng = random.Random(pieces)
     rows = [(rng.choice("aaab"), rng.randrange(300), i, rng.random()) for i in range(2000)]
     df = spark.createDataFrame(rows, "k string, t int, id int, v double")
     keys, order = ["k"], ["t", "id"]
@@ -34,9 +35,9 @@ def test_windows_over_pieces_equal_whole_windows(spark, piece_rows):
             "n", F.count("v").over(w.rowsBetween(-9, 0))
         ).withColumn("m", F.max("v").over(w.rowsBetween(-9, 0)))
 
-    placed = with_piece(df, keys, order, cut_points(df, keys, order, piece_rows))
-    if piece_rows <= 60:
-        assert placed.select("k", PIECE).distinct().count() > 2
+    # With 400 pieces, a window reaches over several of them.
+    placed = with_piece(df, keys, order, pieces)
+    assert placed.select(PIECE).distinct().count() > 0.8 * pieces
     split = add(with_lead_in(placed, keys, order, 9), [*keys, PIECE]).filter(~F.col(LEAD_IN))
     result = lambda d: {r["id"]: (r["prev"], r["n"], r["m"]) for r in d.collect()}
     assert result(split) == result(add(df, keys))
@@ -108,6 +109,22 @@ def _same_as_numpy(groups, df, accuracy):
                        np.quantile(everything, PROBS), rtol=1e-12)
 
 
+def test_pieces_stay_at_one_size_while_rows_grow(spark):
+    largest = []
+    for n in (3_000, 30_000):
+        # One key has nine tenths of the rows, and its times repeat.
+        df = spark.range(n).selectExpr(
+            "if(id % 10 = 0, concat('k', id % 100), 'hot') as k", "pmod(hash(id), 500) as t", "id")
+        hot = find_hot_keys(df, "k", limit=500, piece_rows=300)
+        placed = with_piece(only_hot(df, hot), ["k"], ["t", "id"], -(-hot.rows // hot.piece_rows))
+        sizes = [r["count"] for r in placed.groupBy(PIECE).count().collect()]
+        assert sum(sizes) == n * 9 // 10 and abs(len(sizes) - n * 9 // 3_000) <= 1
+        largest.append(max(sizes))
+        borders = with_lead_in(placed, ["k"], ["t", "id"], 29).filter(LEAD_IN).groupBy(PIECE).count().collect()
+        assert len(borders) == len(sizes) - 1 and {r["count"] for r in borders} == {29}
+    assert max(largest) <= 2 * 300
+
+
 def test_brackets_that_miss_their_rank_are_widened(spread, monkeypatch):
     groups, df = spread
     missed = []
