@@ -13,6 +13,14 @@ from ledgerlens.operators.scoring import score_flags
 from ledgerlens.sources.alert_store import AlertStore
 
 
+#: Folders that hits are dealt to by transaction, so that all hits of one lie in one folder.
+BUCKETS = 64
+
+
+def _bucket():
+    return F.pmod(F.xxhash64("transaction_id"), F.lit(BUCKETS)).cast("int")
+
+
 def _hits_of(hits: DataFrame, touched: DataFrame) -> DataFrame:
     """All hits of the touched transactions; a rule's hits on one transaction
     count once even if several streams have seen them."""
@@ -31,9 +39,10 @@ def write_alerts(
 ) -> StreamingQuery:
     """Merge each micro-batch of rule hits into the store.
 
-    Any number of streams, one at a time, may feed one store.  Their hits are kept below the
-    store's path, by stream and batch; the transactions of a batch are scored
-    from all their hits of all streams.  Existing alerts get the new score,
+    Any number of streams may feed one store.  Their hits are kept below the
+    store's path, by bucket of the transaction, stream and batch; the
+    transactions of a batch are scored from all their hits of all streams,
+    which lie in the batch's own buckets.  Existing alerts get the new score,
     level and rules and keep their id and review; with ``overwrite`` they are
     replaced.  A batch that is run again changes nothing.  ``trigger`` holds
     the arguments of ``DataStreamWriter.trigger``; by default all that is
@@ -45,10 +54,21 @@ def write_alerts(
     def merge(batch: DataFrame, number: int) -> None:
         tag = f"{stream}.{number}"
         # Written even if applied before: a stateful stream wants its rows consumed.
-        batch.write.mode("overwrite").parquet(f"{folder}/stream={stream}/batch={number}")
+        placed = batch.withColumns({"bucket": _bucket(), "stream": F.lit(stream), "batch": F.lit(number)})
+        (
+            placed.repartition("bucket").write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("bucket", "stream", "batch").parquet(folder)
+        )
         if store.applied(tag):
             return
-        hits = batch.sparkSession.read.option("mergeSchema", True).parquet(folder)
+        # At most BUCKETS folders; a small batch lists and opens only its own.
+        own_folders = store.folders(f"hits/bucket=*/stream={stream}/batch={number}")
+        if not own_folders:
+            return
+        buckets = [f.rsplit("/", 2)[0] for f in own_folders]
+        hits = batch.sparkSession.read.option("mergeSchema", True).option("basePath", folder).parquet(*buckets)
+        hits = hits.drop("bucket").withColumn("stream", F.col("stream").cast("string"))
         own = hits.filter((F.col("stream") == stream) & (F.col("batch") == number))
         scored = score_flags(_hits_of(hits, own.select("transaction_id").distinct()))
         if overwrite:

@@ -3,7 +3,8 @@ from datetime import datetime, timedelta
 import pytest
 
 from ledgerlens.operators import alerts as A
-from ledgerlens.sources.alert_store import AlertStore
+from ledgerlens.sources import alert_store
+from ledgerlens.sources.alert_store import AlertStore, Conflict
 
 JAN = datetime(2024, 1, 1)
 SCHEMA = (
@@ -122,12 +123,18 @@ def test_delete_and_clear_never_reuse_ids(store, smoke, scored):
     assert by_id(store.read())["T6"]["alert_id"] == 5
 
 
-def test_unfinished_version_is_ignored(store, smoke, tmp_path):
+def test_rows_without_a_commit_are_ignored(store, smoke, monkeypatch):
     store.store_alerts(smoke)
-    broken = tmp_path / "alerts" / "version=000099" / "full" / "next_id=50"
-    broken.mkdir(parents=True)
-    (broken / "part-0.parquet").write_bytes(b"half")
-    assert store.read().count() == 3
+
+    def die(self, number, entry):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(AlertStore, "_claim", die)
+        with pytest.raises(RuntimeError):
+            store.update_alert_status(1, "CLOSED")
+    assert {r["status"] for r in store.read().collect()} == {"NEW"}
+    assert store.update_alert_status(2, "CLOSED") and store._next_id() == 4
 
 
 def test_reopening_keeps_the_table(store, smoke, spark):
@@ -145,7 +152,7 @@ def test_transforms_without_a_store(spark, smoke):
 
 
 def rows_written(store):
-    return [store.spark.read.parquet(v.path).count() for v in store._complete()]
+    return [store.spark.read.parquet(store._commit(n).path).count() for n in store._numbers()]
 
 
 def test_one_review_writes_one_row_and_compacting_keeps_the_table(store, smoke):
@@ -156,7 +163,7 @@ def test_one_review_writes_one_row_and_compacting_keeps_the_table(store, smoke):
     before = sorted(store.read().collect())
     assert [(r["alert_id"], r["status"]) for r in before] == [(1, "NEW"), (2, "CLOSED")]
     store.compact()
-    assert sorted(store.read().collect()) == before and len(store._versions()) == 1
+    assert sorted(store.read().collect()) == before and len(store._log()) == 1
     assert store.store_alerts(smoke, created_at=JAN) == 1
     assert by_id(store.read())["T3"]["alert_id"] == 4
 
@@ -182,8 +189,43 @@ def test_rescoring_keeps_ids_and_reviews(store, smoke, scored):
     assert store.rescore(scored(("T2", "U2", 25000.0, 70, "HIGH")), JAN) == 0
 
 
-def test_a_second_writer_of_one_version_fails(store, smoke, monkeypatch):
+def test_two_writers_lose_nothing(spark, store, smoke, scored, monkeypatch):
+    store.store_alerts(smoke, created_at=JAN)
+    other, write, tries = AlertStore(spark, store.path), AlertStore._write, []
+
+    def overtaken(self, log, *rest):
+        if self is store:
+            tries.append(log[-1].number)
+            if len(tries) == 1:  # the other writer commits in between
+                assert other.store_alerts(scored(("T8", "U8", 1.0, 1, "LOW")), created_at=JAN) == 1
+                assert other.update_alert_status(1, "CLOSED", "bob", None, JAN)
+        write(self, log, *rest)
+
+    monkeypatch.setattr(AlertStore, "_write", overtaken)
+    assert store.store_alerts(scored(("T9", "U9", 1.0, 1, "LOW"), ("T8", "U8", 1.0, 1, "LOW")), created_at=JAN) == 1
+    rows = by_id(store.read())
+    assert {t: r["alert_id"] for t, r in rows.items()} == {"T1": 1, "T2": 2, "T3": 3, "T8": 4, "T9": 5}
+    assert rows["T1"]["status"] == "CLOSED" and len(tries) == 2
+    with pytest.raises(Conflict):
+        store._claim(store._numbers()[-1], "{}")
+
+
+def test_reading_does_not_shuffle_the_untouched_rows(store, smoke, scored):
+    store.store_alerts(smoke, created_at=JAN)
+    store.update_alert_status(2, "CLOSED", "ann")
+    store.store_alerts(scored(("T9", "U", 1.0, 10, "LOW")), created_at=JAN)
+    plan = store.read()._jdf.queryExecution().executedPlan().toString()
+    rest, changed = plan.split("BroadcastHashJoin", 1)[1].split("max_by", 1)
+    # The only exchanges are that of the changed ids, broadcast, and of the changed rows, grouped.
+    assert "LeftAnti" in rest and "Exchange hashpartitioning" not in rest
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_many_changes_are_compacted_by_themselves(store, smoke, monkeypatch):
+    monkeypatch.setattr(alert_store, "COMPACT_AFTER", 4)
     store.store_alerts(smoke, created_at=JAN)
-    monkeypatch.setattr(AlertStore, "_list", lambda self, pattern: [])
-    with pytest.raises(Exception, match="(?i)exist"):
-        store._write(store.spark.createDataFrame([], A.ALERT_SCHEMA), 1)
+    for k in range(7):
+        store.update_alert_status(1 + k % 3, f"S{k}", "ann")
+        assert len(store._log()) <= 4
+    assert {r["alert_id"]: r["status"] for r in store.read().collect()} == {1: "S6", 2: "S4", 3: "S5"}
+    assert store.applied("x.-1") and not store.applied("x.0")

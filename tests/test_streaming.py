@@ -6,6 +6,7 @@ import pytest
 from ledgerlens.operators import rules as R
 from ledgerlens.operators.scoring import score_flags
 from ledgerlens.sources.alert_store import AlertStore
+from ledgerlens.streaming import alert_sink
 from ledgerlens.streaming.alert_sink import write_alerts
 from ledgerlens.streaming.rules import high_value_stream, velocity_stream
 
@@ -132,3 +133,17 @@ def test_velocity_of_one_user_with_all_rows_and_extra_columns(spark, make_tx, tm
     got = spark.table("one_user")
     assert plain(got) == plain(R.detect_velocity_anomalies(make_tx(rows)))
     assert all(r["merchant"] == "M" + r["transaction_id"] for r in got.collect())
+
+
+def test_a_batch_opens_only_its_own_buckets(spark, make_tx, tmp_path, monkeypatch):
+    source, opened, hits_of = str(tmp_path / "in"), [], alert_sink._hits_of
+    for i in range(10):
+        make_tx([(f"T{i}", "U", i, 20_000)]).coalesce(1).write.mode("append").parquet(source)
+    monkeypatch.setattr(alert_sink, "_hits_of", lambda hits, own: opened.append(len(hits.inputFiles())) or hits_of(hits, own))
+    stream = spark.readStream.schema(make_tx([("T", "U", 0, 1)]).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    store = AlertStore(spark, str(tmp_path / "alerts"))
+    write_alerts(high_value_stream(stream), store, str(tmp_path / "cp")).awaitTermination()
+    assert store.read().count() == 10
+    # A file per batch that fell into the same bucket, not one per batch so far.
+    buckets = [f.rsplit("/bucket=", 1)[1].split("/")[0] for f in store.folders("hits/bucket=*/stream=*/batch=*")]
+    assert len(buckets) == 10 and max(opened) <= max(map(buckets.count, buckets)) < 5
