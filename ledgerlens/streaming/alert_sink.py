@@ -48,7 +48,8 @@ def write_alerts(
     the arguments of ``DataStreamWriter.trigger``; by default all that is
     there is read and the query ends.
     """
-    stream = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+    # A letter first: as a folder name it must not be taken for a number.
+    stream = "s" + hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
     folder = f"{store.path}/hits"
 
     def merge(batch: DataFrame, number: int) -> None:
