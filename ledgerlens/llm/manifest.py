@@ -368,7 +368,8 @@ def build_manifest(rows: DataFrame, tree: str = "lang", order: str = "doc_id", k
     """
     name = F.coalesce(F.concat(F.lit("="), F.col(tree).cast("string")), F.lit(""))
     chosen = rows.select(name.alias("tree"), F.col(order).alias("_order"), "digest", *keep)
-    leaves = numbered(chosen, ["_order", "digest"])
+    # Written first: range partitioning reads its input twice, and texts should be hashed once.
+    leaves = numbered(stored(chosen, "manifest-rows"), ["_order", "digest"])
     forest = build_forest(leaves)
     roots = forest.roots().select(F.lit("").alias("tree"), F.col("tree").alias("name"), "digest")
     subroots = numbered(roots, ["name"])
