@@ -71,5 +71,5 @@ def test_run_equals_stages(spark):
 
 
 def test_one_query_each():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
