@@ -2,7 +2,8 @@
 
 A logistic model over the words of a text and their first letters.  Beside the usual loss
 it pays for every change of the score when an identity term of a labelled text is swapped
-for another of its group, so that the mention of a group carries no weight by itself.
+for another of its list, or put into a copy of a labelled text that names no such group, so
+that the mention of a group carries no weight by itself.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ PENALTY, RIDGE = 5.0, 1e-4
 #: A score from this value on counts as toxic.
 THRESHOLD = 0.3
 
-#: Terms that name groups of people; one group's terms are swapped for each other.
+#: Terms that name groups of people, one list per group and language.  A term is
+#: swapped for the others of its list only.
 IDENTITY_TERMS: dict[str, list[str]] = {
     "religion": ["christian", "muslim", "jewish", "hindu", "buddhist", "catholic", "atheist", "sikh"],
     "origin": ["african", "american", "asian", "european", "arab", "mexican", "chinese", "indian",
@@ -42,6 +44,18 @@ IDENTITY_TERMS: dict[str, list[str]] = {
     "orientation": ["gay", "lesbian", "straight", "bisexual", "queer", "heterosexual", "homosexual"],
     "ability": ["disabled", "deaf", "blind", "autistic"],
     "age": ["old", "young", "elderly", "teenage"],
+    "religion, German": ["christen", "muslime", "juden", "hindus", "buddhisten", "katholiken"],
+    "origin, German": ["afrikaner", "amerikaner", "asiaten", "araber", "deutsche", "türken", "ausländer"],
+    "gender, German": ["frauen", "männer", "frau", "mann", "transfrau"],
+    "orientation, German": ["schwule", "lesben", "bisexuelle", "heterosexuelle"],
+    "religion, French": ["chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "catholiques"],
+    "origin, French": ["africains", "américains", "asiatiques", "arabes", "français", "turcs", "étrangers"],
+    "gender, French": ["femmes", "hommes", "femme", "homme"],
+    "orientation, French": ["homosexuels", "lesbiennes", "bisexuels", "hétérosexuels"],
+    "religion, Spanish": ["cristianos", "musulmanes", "judíos", "hindúes", "budistas", "católicos"],
+    "origin, Spanish": ["africanos", "americanos", "asiáticos", "árabes", "españoles", "extranjeros"],
+    "gender, Spanish": ["mujeres", "hombres", "mujer", "hombre"],
+    "orientation, Spanish": ["homosexuales", "lesbianas", "bisexuales", "heterosexuales"],
 }
 
 
@@ -66,26 +80,66 @@ def feature_table(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return np.concatenate(owner), np.concatenate(found), whole
 
 
-def swapped(text: str, groups: dict[str, list[str]]) -> list[str]:
-    """The text with each identity term it holds swapped for the others of its group, one by one."""
-    words = {w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split()}
-    out = []
-    for terms in groups.values():
-        for term in terms:
-            if term in words:
+#: Features that go, features that come, and the weight in units of ``UNIT`` (whole numbers, so that
+#: sums do not depend on their order).
+Change = tuple[frozenset[int], frozenset[int], int]
+UNIT = 2.0**-32
+
+
+class Counterfactuals:
+    """Feature changes of a text when the identity terms in it are exchanged.
+
+    Works on the features that a score sees, so a change holds the features of the two terms
+    and no others.  Each group of terms has weight 1 in each text: a term that the text holds
+    is swapped for every other of its list.  For a list that the text does not name, one term
+    (chosen by the text's features) is put into a copy, and both its coming and its swap for
+    the next term of the list count.
+    """
+
+    def __init__(self, groups: dict[str, list[str]]):
+        self.groups = [list(dict.fromkeys(terms)) for terms in groups.values() if terms]
+        names = [t for terms in self.groups for t in terms]
+        data, offsets = bytes_of(pa.array(names, pa.string()))
+        owner, found, _ = feature_table(data, offsets)
+        found = found.view(np.int64)
+        self.features = {t: frozenset(found[owner == i].tolist()) for i, t in enumerate(names)}
+        self.words = dict(zip(names, word_hashes(names).view(np.int64).tolist()))
+        self.all = np.unique(found)
+
+    def of(self, own: np.ndarray, times: np.ndarray) -> list[Change]:
+        """Changes of a text with these features (64-bit integers, ascending) and their counts."""
+        at = np.minimum(np.searchsorted(own, self.all), max(len(own) - 1, 0))
+        hit = own[at] == self.all if len(own) else np.zeros(len(self.all), dtype=bool)
+        held = dict(zip(self.all[hit].tolist(), times[at[hit]].tolist()))
+        pick = int(own.sum(dtype=np.int64)) & 0x7FFFFFFF
+        out: list[Change] = []
+        for terms in self.groups:
+            here = [t for t in terms if self.words[t] in held]
+            pairs = len(here) * (len(terms) - 1)
+            for term in here:
+                mine, uses = self.features[term], held[self.words[term]]
+                # What other words of the text share with the term stays.
+                lost = {f for f in mine if held[f] == uses}
                 for other in terms:
                     if other != term:
-                        out.append(" ".join(other if w == term else w for w in words))
-    return out
+                        new = self.features[other]
+                        out.append((frozenset(lost - new), frozenset(new - held.keys()), round(1 / pairs / UNIT)))
+            if not here:
+                first, second = (self.features[terms[(pick + i) % len(terms)]] - held.keys() for i in (0, 1))
+                out.append((frozenset(), frozenset(first), round(0.5 / UNIT)))
+                out.append((frozenset(first - second), frozenset(second - first), round(0.5 / UNIT)))
+        return [c for c in out if c[0] or c[1]]
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights of the kept features by hash (ascending), and the intercept."""
+    """Weights of the kept features by hash (ascending), the intercept, and the number of
+    different counterfactual changes that took part in the fit."""
 
     hashes: np.ndarray
     weights: np.ndarray
     bias: float
+    counterfactuals: int = 0
 
     def scores(self, column: pa.Array) -> np.ndarray:
         data, offsets = bytes_of(column)
@@ -108,17 +162,20 @@ class ToxicityModel:
 
 def train(
     rows: list[np.ndarray], labels: np.ndarray, weight: np.ndarray, size: int,
-    changes: list[tuple[np.ndarray, np.ndarray]], penalty: float, passes: int = 400,
+    changes: list[tuple[np.ndarray, np.ndarray, float]], penalty: float, passes: int = 400,
 ) -> tuple[np.ndarray, float]:
     """Adam on the weighted logistic loss plus the counterfactual penalty, over bounded input.
 
-    ``rows`` hold feature numbers; ``changes`` the features a swap takes away and brings.
+    ``rows`` hold feature numbers; ``changes`` the features that a counterfactual takes away and
+    brings, and its weight.  The penalty is the weighted sum of squared changes of the score
+    before the logistic function, a text's mean over ``rows``.
     """
     index = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    gone = [len(a) for a, _ in changes]
-    came = [len(b) for _, b in changes]
-    d_index = np.concatenate([x for pair in changes for x in pair]) if changes else np.zeros(0, np.int64)
+    gone = [len(a) for a, _, _ in changes]
+    came = [len(b) for _, b, _ in changes]
+    d_weight = 2 * penalty * np.array([c for _, _, c in changes]) / max(len(rows), 1)
+    d_index = np.concatenate([x for a, b, _ in changes for x in (a, b)]) if changes else np.zeros(0, np.int64)
     d_owner = np.repeat(np.arange(len(changes)), np.array(gone) + np.array(came)) if changes else d_index
     d_sign = (np.concatenate([s for a, b in zip(gone, came) for s in (np.ones(a), -np.ones(b))])
               if changes else np.zeros(0))
@@ -131,7 +188,7 @@ def train(
         grad = np.bincount(index, g[owner], minlength=size) + RIDGE * w
         if changes:
             shift = np.bincount(d_owner, d_sign * w[d_index], minlength=len(changes))
-            grad += np.bincount(d_index, 2 * penalty * shift[d_owner] * d_sign, minlength=size) / len(changes)
+            grad += np.bincount(d_index, (d_weight * shift)[d_owner] * d_sign, minlength=size)
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         mb, vb = 0.9 * mb + 0.1 * g.sum(), 0.99 * vb + 0.01 * g.sum() ** 2
         rate = 0.1 * min(1.0, 4 * (1 - t / (passes + 1)))
@@ -167,35 +224,31 @@ def fit(
         given.where("toxic = 0").orderBy(*order).limit(max_rows))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
 
+    counterfactuals = Counterfactuals(groups)
+
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        nested = pa.list_(pa.list_(pa.int64()))
         for batch in batches:
-            kind, lists, gone, came = [], [], [], []
-
-            def distinct(column: pa.Array) -> list[np.ndarray]:
-                data, offsets = bytes_of(column)
-                out = []
-                for a, b in steps(offsets):
-                    text, found, _ = feature_table(
-                        data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                    order = np.argsort(text, kind="stable")
-                    cut = np.searchsorted(text[order], np.arange(b - a + 1))
-                    out += [np.unique(found[order[s:e]]) for s, e in zip(cut[:-1], cut[1:])]
-                return out
-
-            texts = batch.column(1).to_pylist()
-            for label, text, own in zip(batch.column(0).to_pylist(), texts, distinct(batch.column(1))):
-                kind.append(label)
-                lists.append(own.view(np.int64))
-                pairs = distinct(pa.array(swapped(text or "", groups), pa.string()))
-                gone.append([np.setdiff1d(own, p).view(np.int64).tolist() for p in pairs])
-                came.append([np.setdiff1d(p, own).view(np.int64).tolist() for p in pairs])
-            nested = pa.list_(pa.list_(pa.int64()))
+            data, offsets = bytes_of(batch.column(1))
+            lists, changes = [], []
+            for a, b in steps(offsets):
+                text, found, _ = feature_table(
+                    data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                order = np.argsort(text, kind="stable")
+                cut = np.searchsorted(text[order], np.arange(b - a + 1))
+                for s, e in zip(cut[:-1], cut[1:]):
+                    own, times = np.unique(found[order[s:e]].view(np.int64), return_counts=True)
+                    lists.append(own)
+                    changes.append(counterfactuals.of(own, times))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kind, pa.int32()), pa.array(lists, pa.list_(pa.int64())),
-                 pa.array(gone, nested), pa.array(came, nested)],
-                ["toxic", "features", "gone", "came"])
-
-    schema = "toxic int, features array<long>, gone array<array<long>>, came array<array<long>>"
+                [batch.column(0), pa.array(lists, pa.list_(pa.int64())),
+                 pa.array([[sorted(g) for g, _, _ in c] for c in changes], nested),
+                 pa.array([[sorted(n) for _, n, _ in c] for c in changes], nested),
+                 pa.array([[w for _, _, w in c] for c in changes], pa.list_(pa.int64()))],
+                ["toxic", "features", "gone", "came", "weight"])
+
+    schema = ("toxic int, features array<long>, gone array<array<long>>, came array<array<long>>, "
+              "weight array<long>")
     table = stored(sample.mapInArrow(features, schema), "toxicity-sample")
     n = {r["toxic"]: r["count"] for r in table.groupBy("toxic").count().collect()}
     share = counts.get(1, 0) / max(sum(counts.values()), 1)
@@ -223,24 +276,23 @@ def fit(
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, gone, came = (batch.column(i).to_pylist() for i in (1, 2, 3))
-            nested = pa.list_(pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array([numbers(x).tolist() for x in own], pa.list_(pa.int32())),
-                pa.array([[numbers(x).tolist() for x in y] for y in gone], nested),
-                pa.array([[numbers(x).tolist() for x in y] for y in came], nested),
-            ], ["toxic", "own", "gone", "came"])
+            own = [numbers(x).tolist() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(own, pa.list_(pa.int32()))], ["toxic", "own"])
 
     # At most two times max_rows rows of kept features.
-    got = table.mapInArrow(
-        reduced, "toxic int, own array<int>, gone array<array<int>>, came array<array<int>>").collect()
+    got = table.select("toxic", "features").mapInArrow(reduced, "toxic int, own array<int>").collect()
     y = np.array([r["toxic"] for r in got], dtype=float)
     weight = np.where(y == 1, counts[1] / n[1], counts[0] / n[0])
-    changes = [(np.array(a, np.int64), np.array(b, np.int64))
-               for r in got for a, b in zip(r["gone"], r["came"])]
+    # Equal changes of different texts are one with the sum of their weights; the lists of terms
+    # and the bounded sample bound how many there are.
+    each = table.select(F.explode(F.arrays_zip("gone", "came", "weight")).alias("c")).select("c.*")
+    sums = each.groupBy("gone", "came").agg(F.sum("weight").alias("weight")).orderBy("gone", "came").collect()
+    changes = [(numbers(r["gone"]), numbers(r["came"]), r["weight"] * UNIT) for r in sums]
+    changes = [c for c in changes if len(c[0]) or len(c[1])]
     w, bias = train([np.array(r["own"], np.int64) for r in got], y, weight, len(hashes), changes, penalty)
     used = np.abs(w) > 1e-3
-    return ToxicityModel(hashes[used], w[used], float(bias))
+    return ToxicityModel(hashes[used], w[used], float(bias), len(changes))
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:

@@ -39,6 +39,67 @@ def test_penalty_silences_group_mentions(labelled, make_docs):
     assert fair[2] > 0.5 and fair[3] > 0.5
 
 
+def features(text):
+    data, offsets = X.bytes_of(X.pa.array([text]))
+    return X.np.unique(X.feature_table(data, offsets)[1].view(X.np.int64), return_counts=True)
+
+
+def applied(own, change):
+    return (set(own.tolist()) - change[0]) | change[1]
+
+
+def test_swaps_change_the_features_of_the_two_terms_only():
+    groups = {"colour": ["black", "white", "brown"], "letters": ["blackest", "é"]}
+    counterfactuals = X.Counterfactuals(groups)
+    text = "Black É dog “quoted” blackboard x-Black"
+    own, times = features(text)
+    made = [applied(own, c) for c in counterfactuals.of(own, times)]
+    for other in ("white", "brown"):
+        assert set(features(f"{other} É dog “quoted” blackboard x-{other}")[0].tolist()) in made
+    # É is not the term é: lower-casing is that of the features, and a term comes into the text.
+    added = [set(features(f"{text} {w}")[0].tolist()) for w in ("blackest", "é")]
+    assert len(made) == 4 and any(a in made for a in added)
+    assert all(set(features(text)[0].tolist()) != m for m in made)
+    assert sum(c[2] for c in counterfactuals.of(own, times)) * X.UNIT == pytest.approx(2.0)
+
+
+def test_texts_without_terms_take_part(make_docs, spark):
+    texts = [None, "", "the word", "words and scum"] + [prose(i, 30) + (" scum" if i % 2 else "") for i in range(40)]
+    labels = spark.createDataFrame([(i, int("scum" in (t or ""))) for i, t in enumerate(texts)], "doc_id long, toxic int")
+    model = X.fit(make_docs(texts), labels)
+    assert model.counterfactuals >= sum(map(len, X.IDENTITY_TERMS.values()))
+    assert X.Counterfactuals({}).of(*features("black dog")) == []
+    empty = X.np.zeros(0, X.np.int64)
+    made = X.Counterfactuals({"a": ["men", "women"]}).of(empty, empty)
+    assert {frozenset(features(w)[0].tolist()) for w in ("men", "women")} >= {c[1] for c in made if not c[0]}
+
+
+def test_false_positives_on_neutral_mentions(spark, make_docs):
+    """Labels under which the name of a group is the only sign of toxicity in some texts."""
+    r = random.Random(3)
+    texts, toxic = [], []
+    for i in range(1000):
+        bad = r.random() < 0.3
+        words = prose(i % 7, 30).split(" ")
+        if bad:
+            words.append(r.choice(["idiot", "scum", "vermin", f"{i}rare"]))
+        if r.random() < (0.9 if bad else 0.02):
+            words.append(r.choice(["muslim", "jewish"]))
+        texts.append(" ".join(words))
+        toxic.append(int(bad))
+    labels = spark.createDataFrame(list(enumerate(toxic)), "doc_id long, toxic int")
+    neutral = make_docs([f"{prose(i % 7, 30)} {t}" for i in range(20) for t in ("muslim", "jewish", "hindu")])
+    hostile = make_docs([f"{prose(i % 7, 30)} {t}" for i in range(20) for t in ("idiot", "scum", "vermin")])
+
+    def flagged(penalty):
+        model = X.fit(make_docs(texts), labels, penalty=penalty)
+        return [X.score(d, model).where(X.F.col("score") >= X.THRESHOLD).count() / 60 for d in (neutral, hostile)]
+
+    plain, fair = flagged(0.0), flagged(X.PENALTY)
+    print("flagged of neutral mentions and insults:", plain, "without and", fair, "with the penalty")
+    assert plain[0] > 0.3 and fair[0] == 0.0 and fair[1] == 1.0
+
+
 def test_held_out_accuracy(labelled):
     docs, labels = labelled
     train = labels.where(~X.held_out())
