@@ -1,8 +1,8 @@
 """Brown class-based bigram language model.
 
 Exchange clustering puts words into classes: the most frequent ones are moved one by one to
-the class that gains most likelihood, the others are then exchanged once against these
-classes, by what stands around them.  A word's probability is that of its class after the
+the class that gains most likelihood, the others are then exchanged against these classes,
+by what stands around them: first by head words only, then by all words placed so far.  A word's probability is that of its class after the
 class before, times its share of its class, interpolated with its share of all words.
 
 Texts become token files of bounded size in the shared folder; counts and classes of words
@@ -13,7 +13,7 @@ with the vocabulary goes through the driver or is broadcast.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,8 +29,8 @@ from ledgerlens.settings import scratch_path
 
 #: Classes, and words that are exchanged one by one.
 CLASSES, HEAD = 64, 2048
-#: Rounds of exchange at most.
-ROUNDS = 8
+#: Rounds of exchange at most, and rounds in which the words beyond the head are placed.
+ROUNDS, REST_ROUNDS = 8, 2
 #: Weight of the class model, and counts by which transitions lean on class shares.
 CLASS_WEIGHT, LEAN = 0.9, 20.0
 #: Bytes of text in a token file, and bytes of the input per bucket of words.
@@ -278,48 +278,62 @@ class Classes:
         return Classes(head, own, np.concatenate([before, after]), classes)
 
 
-def neighbour_classes(model: Classes, buckets: int):
-    """Per file and bucket: how many class neighbours each word has, and these, in order of the words."""
+def neighbour_classes(model: Classes, buckets: int) -> tuple[Callable, Callable]:
+    """Per file and bucket: how many class neighbours each word has, and these, in order of the words.
+
+    The first function takes files and counts head words as neighbours, the second takes files
+    with the classes that their words have got so far (past the last: none) and counts all.
+    """
     k = model.size
     end = numbered(np.array([END]), model.head)
     start = int(model.own[end[0]]) if end[0] >= 0 else -1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def contexts(uri: str, placed: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        f = TokenFile(uri)
+        words = f.words()
+        number = numbered(words, model.head)
+        known = np.append(model.own, -1)[number]
+        if placed is not None:
+            known = np.where(number >= 0, known, np.where(placed < k, placed, -1))
+        now = known[f.token]
+        left, right = f.previous(now, start), np.append(now[1:], -1)
+        right[f.first[1:] - 1] = -1  # past the end of a text
+        open_ = f.learnt() & (number[f.token] < 0)
+        word, code = [], []
+        for side, value in ((0, left), (k, right)):
+            good = open_ & (value >= 0)
+            word.append(f.token[good])
+            code.append(value[good] + side)
+        word, code = np.concatenate(word), np.concatenate(code).astype(np.uint8)
+        by = np.argsort(word, kind="stable")
+        code, n = code[by], np.bincount(word, minlength=len(words)).astype(np.int32)
+        ends = np.cumsum(n)
+        edge = np.searchsorted(bucket_of(words, buckets), np.arange(buckets + 1))
+        used = np.flatnonzero(edge[1:] > edge[:-1])
+        cut = np.concatenate([[0], ends])
+        for at in range(0, len(used), 64):
+            some = used[at : at + 64]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array([uri] * len(some)),
+                 pa.array([n[edge[b] : edge[b + 1]].tobytes() for b in some], pa.binary()),
+                 pa.array([code[cut[edge[b]] : cut[edge[b + 1]]].tobytes() for b in some], pa.binary())],
+                ["bucket", "shard", "n", "codes"])
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
-                f = TokenFile(uri)
-                words = f.words()
-                number = numbered(words, model.head)
-                known = np.append(model.own, -1)[number]
-                now = known[f.token]
-                left, right = f.previous(now, start), np.append(now[1:], -1)
-                right[f.first[1:] - 1] = -1  # past the end of a text
-                open_ = f.learnt() & (number[f.token] < 0)
-                word, code = [], []
-                for side, value in ((0, left), (k, right)):
-                    good = open_ & (value >= 0)
-                    word.append(f.token[good])
-                    code.append(value[good] + side)
-                word, code = np.concatenate(word), np.concatenate(code).astype(np.uint8)
-                by = np.argsort(word, kind="stable")
-                code, n = code[by], np.bincount(word, minlength=len(words)).astype(np.int32)
-                ends = np.cumsum(n)
-                edge = np.searchsorted(bucket_of(words, buckets), np.arange(buckets + 1))
-                used = np.flatnonzero(edge[1:] > edge[:-1])
-                cut = np.concatenate([[0], ends])
-                for at in range(0, len(used), 64):
-                    some = used[at : at + 64]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.int32()), pa.array([uri] * len(some)),
-                         pa.array([n[edge[b] : edge[b + 1]].tobytes() for b in some], pa.binary()),
-                         pa.array([code[cut[edge[b]] : cut[edge[b + 1]]].tobytes() for b in some], pa.binary())],
-                        ["bucket", "shard", "n", "codes"])
+                yield from contexts(uri)
 
-    return run
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for uri, rows in by_key(batches):
+            yield from contexts(uri, np.concatenate(
+                [np.frombuffer(r[1], np.uint8) for r in sorted(rows)]).astype(np.int64))
+
+    return first, again
 
 
 def exchange_rest(folder: str, model: Classes):
-    """One exchange of a bucket's words against the head's classes; answers files with classes.
+    """Exchange a bucket's words, all at once, against the head's classes; answers files with classes.
 
     A word without class neighbours gets the class past the last.
     """
@@ -419,18 +433,22 @@ class BrownModel:
 
 
 def score_documents(
-    docs: DataFrame, train=None, classes: int = CLASSES, head: int = HEAD,
+    docs: DataFrame, train=None, classes: int = CLASSES, head: int = HEAD, rest_rounds: int = REST_ROUNDS,
 ) -> DataFrame:
-    """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row.
+    """``doc_id, n_tokens, n_known, train_tokens, base_score, score, unplaced_tokens`` of every row.
 
     Learns from rows where the Boolean column ``train`` is true (all, if None).  Words are cut at
     white space and lower-cased (A-Z); each text ends with a token of its own.  ``score`` is the
     class model's log10 probability, ``base_score`` that of single words with 0.1 added to each
     count and to that of one unseen word.  Null texts are empty; repeated rows count each time.
-    With nothing to learn from, every word is unseen and both scores are 0.
+    With nothing to learn from, every word is unseen and both scores are 0.  ``unplaced_tokens``
+    tells how many of ``train_tokens`` are words that no round of exchange could place, as none
+    of their neighbours had a class; they share a class of their own.
     """
     if not 1 <= classes <= 126:
         raise ValueError("1 to 126 classes")
+    if rest_rounds < 1:
+        raise ValueError("words beyond the head need a round")
     spark = docs.sparkSession
     small_batches(spark)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -458,11 +476,15 @@ def score_documents(
     keys, counts = keys[order], np.array([r["top_counts"] for r in top], dtype=np.int64)[order]
     shards = sent.select("shard").distinct()
     model = Classes.learn(keys, counts, head_pairs(shards, keys, tasks), classes)
-    contexts = shards.repartition(tasks).mapInArrow(
-        neighbour_classes(model, buckets), "bucket int, shard string, n binary, codes binary")
-    own = stored(
-        dealt(contexts, "bucket", "shard", tasks)
-        .mapInArrow(exchange_rest(folder, model), "shard string, bucket int, classes binary"), "word-classes")
+    first, again = neighbour_classes(model, buckets)
+    contexts = shards.repartition(tasks).mapInArrow(first, "bucket int, shard string, n binary, codes binary")
+    for step in range(rest_rounds):
+        if step:
+            contexts = dealt(own, "shard", "bucket", tasks).mapInArrow(
+                again, "bucket int, shard string, n binary, codes binary")
+        own = stored(
+            dealt(contexts, "bucket", "shard", tasks)
+            .mapInArrow(exchange_rest(folder, model), "shard string, bucket int, classes binary"), "word-classes")
     answers = told.where("shard is not null").select("shard", "bucket", "counts").join(own, ["shard", "bucket"])
     known = stored(dealt(answers, "shard", "bucket", tasks), "word-answers")
     end = numbered(np.array([END]), keys)
@@ -488,5 +510,6 @@ def score_documents(
     return (
         dealt(known, "shard", "bucket", tasks)
         .mapInArrow(run, f"doc_id {kind.simpleString()}, n_tokens long, n_known long, base_score double, score double")
-        .withColumn("train_tokens", F.lit(tokens).cast("long"))
+        .withColumns({"train_tokens": F.lit(tokens).cast("long"),
+                      "unplaced_tokens": F.lit(int(brown.class_tokens[classes])).cast("long")})
     )

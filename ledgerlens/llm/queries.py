@@ -79,7 +79,8 @@ def op5_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = brown.score_documents(table(spark, sf_dir, "documents"), ~brown.held_out())
     return scored.select(
-        "doc_id", brown.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        "doc_id", brown.held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        "unplaced_tokens")
 
 
 @query

@@ -112,3 +112,16 @@ def test_odd_tables(make_docs):
     check(make_docs(["a b", "a b", None, "c"], [None, 3, 3, 10]))
     never = B.score_documents(make_docs(["a b", ""]), B.F.lit(False)).collect()
     assert {(r["n_known"], r["train_tokens"], abs(round(r["score"], 9)), abs(round(r["base_score"], 9))) for r in never} == {(0, 0, 0, 0)}
+
+
+def test_words_without_head_neighbours_are_placed_by_words_placed_before(make_docs):
+    docs = make_docs(["aa bb"] * 30 + [f"aa u{i} v{i} w{i} bb" for i in range(10)])
+
+    def unplaced(rounds):
+        rows = B.score_documents(docs, classes=2, head=3, rest_rounds=rounds).collect()
+        assert {r["train_tokens"] for r in rows} == {30 * 3 + 10 * 6} and all(r["score"] < 0 for r in rows)
+        return {r["unplaced_tokens"] for r in rows}
+
+    assert unplaced(1) == {10} and unplaced(2) == {0}
+    with pytest.raises(ValueError):
+        B.score_documents(docs, rest_rounds=0)
