@@ -318,6 +318,13 @@ class AlertStore:
         found = self._files().globStatus(self._path(f"{self.path}/{pattern}")) or []
         return [status.getPath().toString() for status in found]
 
+    def mark(self, name: str) -> None:
+        """Create an empty file below the store."""
+        self._files().create(self._path(f"{self.path}/{name}")).close()
+
+    def remove(self, path: str) -> None:
+        self._files().delete(self._path(path), True)
+
     # --- queries
 
     def get_alerts(self, **filters) -> DataFrame:

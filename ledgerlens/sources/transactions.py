@@ -84,11 +84,9 @@ def _on_strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
     return df.withColumns({c: change(F.col(c)) for c in text}) if text else df
 
 
-# A backslash is doubled before line breaks turn into letters behind one; on
-# the way back a private character keeps the doubled ones apart.
-_KEPT = "\ue000"
-
-
+# A backslash is doubled before line breaks turn into letters behind one.  On the
+# way back a text is cut at the doubled ones, found from the left, so that what
+# follows a backslash within a piece is a letter.
 def _escape(column: Column) -> Column:
     for old, new in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
         column = F.replace(column, F.lit(old), F.lit(new))
@@ -96,9 +94,12 @@ def _escape(column: Column) -> Column:
 
 
 def _unescape(column: Column) -> Column:
-    for old, new in (("\\\\", _KEPT), ("\\n", "\n"), ("\\r", "\r"), (_KEPT, "\\")):
-        column = F.replace(column, F.lit(old), F.lit(new))
-    return column
+    def breaks(piece: Column) -> Column:
+        for old, new in (("\\n", "\n"), ("\\r", "\r")):
+            piece = F.replace(piece, F.lit(old), F.lit(new))
+        return piece
+
+    return F.array_join(F.transform(F.split(column, r"\\\\", -1), breaks), "\\")
 
 
 def _refuse(column: Column) -> Column:

@@ -73,8 +73,8 @@ def test_boxplot_numbers(spark):
 
 
 def test_line_breaks_inside_values(spark, tmp_path):
-    texts = ["one\ntwo", "a\r\nb", "back\\slash", "\\n", "\\\\n\n", 'quo"te, comma', "plain", None]
-    rows = [(f"T{i}", t) for i, t in enumerate(texts)]
+    texts = ["one\ntwo", "a\r\nb", "back\\slash", "\\n", "\\\\n\n", 'quo"te, comma', "plain", None, "\ue000", "\\\ue000n", "end\\", "\\\\", "\n\\\r\\n"]
+    rows = [(f"T{i:02d}", t) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "transaction_id string, description string")
     with pytest.raises(Exception, match="line break"):
         IO.write_csv(df, str(tmp_path / "refused"))
@@ -83,7 +83,7 @@ def test_line_breaks_inside_values(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(rows)
     IO.write_csv(df.coalesce(1), str(tmp_path / "kept"), breaks="keep")
     got = {r[0]: r[1] for r in IO.read_csv(spark, str(tmp_path / "kept"), multiline=True).collect()}
-    assert got["T0"] == "one\ntwo" and len(got) == len(texts)
+    assert got["T00"] == "one\ntwo" and len(got) == len(texts)
 
 
 def test_every_table_of_the_suite_is_read_back(spark, make_tx, tmp_path):

@@ -147,3 +147,42 @@ def test_a_batch_opens_only_its_own_buckets(spark, make_tx, tmp_path, monkeypatc
     # A file per batch that fell into the same bucket, not one per batch so far.
     buckets = [f.rsplit("/bucket=", 1)[1].split("/")[0] for f in store.folders("hits/bucket=*/stream=*/batch=*")]
     assert len(buckets) == 10 and max(opened) <= max(map(buckets.count, buckets)) < 5
+
+
+@pytest.mark.parametrize("stop", [None, "marker", "removal"])
+def test_merged_hits_give_the_same_alerts_from_fewer_folders(spark, make_tx, tmp_path, monkeypatch, stop):
+    """Five batches of one bucket, merged by twos; a merge may die before its marker or its removals."""
+    monkeypatch.setattr(alert_sink, "FANOUT", 2)
+    monkeypatch.setattr(alert_sink, "BUCKETS", 1)
+    rows = [[(f"T{i % 2}", "U", i, 20_000 + i), (f"S{i}", "U", i, 30_000)] for i in range(5)]
+    source, store = str(tmp_path / "in"), AlertStore(spark, str(tmp_path / "alerts"))
+    for batch in rows:
+        make_tx(batch).coalesce(1).write.mode("append").parquet(source)
+    broken = {"marker": "mark", "removal": "remove"}.get(stop)
+    if broken:
+        whole, calls = getattr(AlertStore, broken), []
+
+        def dies(self, name):
+            calls.append(name)
+            if len(calls) == 2:
+                raise OSError("the driver dies here")
+            return whole(self, name)
+
+        monkeypatch.setattr(AlertStore, broken, dies)
+
+    def run():
+        stream = spark.readStream.schema(make_tx([("T", "U", 0, 1)]).schema).option("maxFilesPerTrigger", 1).parquet(source)
+        write_alerts(high_value_stream(stream), store, str(tmp_path / "cp")).awaitTermination()
+
+    if broken:
+        with pytest.raises(Exception, match="dies here"):
+            run()
+    run()
+    hits = alert_sink.Hits(spark, store)
+    live = [int(f.rsplit("=", 1)[1]) for f in hits.live("bucket=*/stream=*/batch=*")]
+    assert sorted(live) == [-4, 4]
+    assert len(store.folders("hits/bucket=*/stream=*/batch=*")) == 2 and len(hits.spans()) == 1
+    expected = score_flags(R.detect_high_value_transactions(make_tx(sum(rows, []))))
+    wanted = sorted((r["transaction_id"], r["final_risk_score"]) for r in expected.collect())
+    assert sorted((r["transaction_id"], r["risk_score"]) for r in store.read().collect()) == wanted
+    assert hits.read(hits.live("bucket=*/stream=*/batch=*")).count() == 10
