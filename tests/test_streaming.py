@@ -186,3 +186,25 @@ def test_merged_hits_give_the_same_alerts_from_fewer_folders(spark, make_tx, tmp
     wanted = sorted((r["transaction_id"], r["final_risk_score"]) for r in expected.collect())
     assert sorted((r["transaction_id"], r["risk_score"]) for r in store.read().collect()) == wanted
     assert hits.read(hits.live("bucket=*/stream=*/batch=*")).count() == 10
+
+
+def test_velocity_state_is_per_group_and_equals_the_batch(spark, make_tx, tmp_path):
+    rng = random.Random(9)
+    hours = sorted(rng.sample(range(20_000), 900))
+    rows = [(f"T{i:04d}", f"U{rng.randrange(60)}", h / 10, 5) for i, h in enumerate(hours)]
+    source = str(tmp_path / "in")
+    for at in range(0, 900, 450):
+        make_tx(rows[at : at + 450]).coalesce(1).write.mode("append").parquet(source)
+    stream = (
+        spark.readStream.schema(make_tx([("T", "U", 0, 1)]).schema)
+        .option("maxFilesPerTrigger", 1).parquet(source)
+    )
+    running = (
+        velocity_stream(stream, 240, 4, groups=5).writeStream.format("memory").queryName("grouped")
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    running.awaitTermination()
+    states = [p["stateOperators"][0]["numRowsTotal"] for p in running.recentProgress]
+    assert 0 < max(states) <= 5  # not one per user
+    expected = plain(R.detect_velocity_anomalies(make_tx(rows), 240, 4))
+    assert len({r[1] for r in expected}) > 20 and plain(spark.table("grouped")) == expected
