@@ -988,19 +988,20 @@ def stream_alert_sink_two_rules(spark, d):
     """Two streamed rules, in several micro-batches, merged into one alert table."""
     path = settings.scratch_path(spark, "streamed-alerts")
     tx = transactions(spark, d)
-    # Files in time order: the velocity rule follows time.
+    # Parts in time order: the velocity rule follows time.
     cuts = exact_quantiles(
         tx.select(F.unix_seconds(F.col("timestamp").cast("timestamp")).alias("t")), "t", [0.3, 0.6]
     ).first()["quantiles"]
     seconds = F.unix_seconds(F.col("timestamp").cast("timestamp"))
     part = sum((F.when(seconds > c, 1).otherwise(0) for c in cuts), F.lit(0))
-    for i in range(len(cuts) + 1):
-        tx.filter(part == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    stream = spark.readStream.schema(tx.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     store = AlertStore(spark, f"{path}/table")
-    for rule in (high_value_stream, velocity_stream):
-        checkpoint = f"{path}/{rule.__name__}"
-        write_alerts(rule(stream), store, checkpoint, created_at=FIRST_LOAD).awaitTermination()
+    # The files of a part are a micro-batch of both rules.
+    for i in range(len(cuts) + 1):
+        tx.filter(part == i).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(tx.schema).parquet(f"{path}/in")
+        for rule in (high_value_stream, velocity_stream):
+            checkpoint = f"{path}/{rule.__name__}"
+            write_alerts(rule(stream), store, checkpoint, created_at=FIRST_LOAD).awaitTermination()
     return store.read().select("transaction_id", "rules_triggered", "risk_score", "risk_level")
 
 
