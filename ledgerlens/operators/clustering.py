@@ -30,6 +30,10 @@ TOLERANCE = 1e-4
 SAME_COST = 1e-6
 #: Points of a block.
 _BLOCK = 4_096
+#: Lossless and fast to undo.
+_CODEC = "lz4"
+#: Points whose distances to all centres are worked out at a time.
+_SLICE = 1_024
 #: Hex digits of a hash that make a number between 0 and 1.
 _DIGITS = 13
 
@@ -48,6 +52,17 @@ def shift_of(seed: int, draw: int) -> int:
     return int(hashlib.md5(f"{seed}:{draw}".encode(), usedforsecurity=False).hexdigest()[:_DIGITS], 16)
 
 
+def _pressed(x: np.ndarray) -> bytes:
+    """Points feature by feature, compressed without loss: every pass hands all blocks to Python."""
+    raw = np.ascontiguousarray(x.T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec=_CODEC, asbytes=True)
+
+
+def _points(block: bytes, width: int) -> np.ndarray:
+    raw = pa.decompress(pa.py_buffer(block)[8:], int.from_bytes(block[:8], "little"), codec=_CODEC)
+    return np.ascontiguousarray(np.frombuffer(raw).reshape(width, -1).T)
+
+
 def _packed(matrix: DataFrame, names: list[str]) -> DataFrame:
     """Blocks of points: a number from the MD5 of each row's id, and the features row by row."""
 
@@ -56,10 +71,8 @@ def _packed(matrix: DataFrame, names: list[str]) -> DataFrame:
             keys = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]]).astype(np.float64)
             at = range(0, len(x), _BLOCK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part[i : i + _BLOCK].tobytes() for i in at], pa.binary()) for part in (keys, x)],
-                ["keys", "points"],
-            )
+            keys, points = [keys[i : i + _BLOCK].tobytes() for i in at], [_pressed(x[i : i + _BLOCK]) for i in at]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(points, pa.binary())], ["keys", "points"])
 
     digits = F.substring(F.md5(F.coalesce(F.col("transaction_id").cast("string"), F.lit(""))), 1, _DIGITS)
     chosen = matrix.select(F.conv(digits, 16, 10).cast("long"), *[F.col(n).cast("double") for n in names])
@@ -67,9 +80,17 @@ def _packed(matrix: DataFrame, names: list[str]) -> DataFrame:
 
 
 def _squared(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Squared distances of points (rows) to centres (columns)."""
-    away = (x**2).sum(axis=1)[:, None] - 2.0 * (x @ centers.T) + (centers**2).sum(axis=1)[None, :]
-    return np.maximum(away, 0.0)
+    """Squared distances of centres (rows) to points (columns)."""
+    away = centers @ x.T
+    away *= -2.0
+    away += (x**2).sum(axis=1)[None, :]
+    away += (centers**2).sum(axis=1)[:, None]
+    return np.maximum(away, 0.0, out=away)
+
+
+def _slices(x: np.ndarray) -> Iterator[np.ndarray]:
+    """Points of a block, a few at a time so that their distances stay in the processor's cache."""
+    return (x[i : i + _SLICE] for i in range(0, len(x), _SLICE))
 
 
 def _seeds(blocks: DataFrame, width: int, k: int, seeds: Sequence[int]) -> np.ndarray:
@@ -86,11 +107,15 @@ def _seeds(blocks: DataFrame, width: int, k: int, seeds: Sequence[int]) -> np.nd
             best: list[tuple[float, int, bytes] | None] = [None] * len(seeds)
             for batch in batches:
                 for keys, points in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    keys, x = np.frombuffer(keys, np.int64), np.frombuffer(points).reshape(-1, width)
-                    away = _squared(x, now.reshape(-1, width)).reshape(len(x), len(seeds), draw) if draw else None
+                    keys, x = np.frombuffer(keys, np.int64), _points(points, width)
+                    if draw:
+                        least = np.concatenate([
+                            _squared(part, now.reshape(-1, width)).reshape(len(seeds), draw, -1).min(axis=1)
+                            for part in _slices(x)
+                        ], axis=1)
                     for r, seed in enumerate(seeds):
                         drawn = ((keys + shift_of(seed, draw)) % 16**_DIGITS + 0.5) / 16**_DIGITS
-                        speed = (away[:, r].min(axis=1) if draw else 1.0) / -np.log(drawn)
+                        speed = (least[r] if draw else 1.0) / -np.log(drawn)
                         i = int(speed.argmax())
                         found = (float(speed[i]), int(keys[i]), x[i].tobytes())
                         if best[r] is None or found > best[r]:
@@ -119,21 +144,26 @@ def _pass(blocks: DataFrame, centers: np.ndarray, move: bool) -> tuple[np.ndarra
         total = np.zeros((restarts, k, width + 2))
         flat = centers.reshape(-1, width)
         for batch in batches:
-            for points in batch.column(1).to_pylist():
-                x = np.frombuffer(points).reshape(-1, width)
-                away = _squared(x, flat).reshape(len(x), restarts, k)
-                nearest = away.argmin(axis=2)
-                own = (nearest[:, :, None] == np.arange(k)).reshape(len(x), -1).astype(np.float64)
-                if move:
-                    total[:, :, :width] += (own.T @ x).reshape(restarts, k, width)
-                total[:, :, width] += own.sum(axis=0).reshape(restarts, k)
-                total[:, :, width + 1] += (own * away.reshape(len(x), -1)).sum(axis=0).reshape(restarts, k)
+            for points in batch.column(0).to_pylist():
+                for x in _slices(_points(points, width)):
+                    away = _squared(x, flat).reshape(restarts, k, len(x))
+                    least = away.min(axis=1)
+                    own, free = np.zeros(away.shape), np.ones(least.shape, dtype=bool)
+                    for j in range(k):  # of equally near centres the first
+                        near = (away[:, j] == least) & free
+                        own[:, j] = near
+                        free &= ~near
+                    own[:, 0] += free  # distances that are no number
+                    if move:
+                        total[:, :, :width] += (own.reshape(-1, len(x)) @ x).reshape(restarts, k, width)
+                    total[:, :, width] += own.sum(axis=2)
+                    total[:, :, width + 1] += (own @ least[:, :, None])[:, :, 0]
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "value"])
 
     total = np.zeros((restarts, k, width + 2))
     # As many rows as the model has numbers.
-    for at, value in blocks.mapInArrow(add, "at long, value double").groupBy("at").agg(F.sum("value")).collect():
+    for at, value in blocks.select("points").mapInArrow(add, "at long, value double").groupBy("at").agg(F.sum("value")).collect():
         total.flat[at] = value
     n = total[:, :, width : width + 1]
     means = np.where(n > 0, total[:, :, :width] / np.maximum(n, 1), centers)
