@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -61,14 +63,69 @@ class Scaler:
         return matrix.withColumns(scaled)
 
 
+def _centred(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Deviations from the mean, and the mean; those of equal values are exactly 0."""
+    base = x[0] if np.isfinite(x[0]) else 0.0
+    away = x - base
+    shift = away.mean()
+    return away - shift, base + shift
+
+
+def _co_moments(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float, float]:
+    """Pairs, means of both, and the sum of products of the deviations."""
+    if not len(x):
+        return 0.0, 0.0, 0.0, 0.0
+    dx, mx = _centred(x)
+    dy, my = (dx, mx) if y is x else _centred(y)
+    return float(len(x)), mx, my, float(dx @ dy)
+
+
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Co-moments (4 x columns) of the rows of both."""
+    n = a[0] + b[0]
+    share = np.divide(b[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy = b[1] - a[1], b[2] - a[2]
+    both = np.array([n, a[1] + dx * share, a[2] + dy * share, a[3] + b[3] + dx * dy * a[0] * share])
+    return np.where(a[0] == 0, b, np.where(b[0] == 0, a, both))
+
+
+def co_moments(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> np.ndarray:
+    """Rows, two means and the sum of products of deviations, for pairs of columns where neither is null.
+
+    As SQL aggregates, dozens of them outgrow compiled code and are interpreted row by row.  A task
+    adds up its batches and returns one row of numbers.
+    """
+    names = list(dict.fromkeys(n for pair in pairs for n in pair))
+    at = [(names.index(a), names.index(b)) for a, b in pairs]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, len(at)))
+        for batch in batches:
+            there = [c.is_valid().to_numpy(zero_copy_only=False) if c.null_count else None for c in batch.columns]
+            values = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+
+            def part(i: int, j: int) -> tuple[float, float, float, float]:
+                kept = [there[c] for c in (i, j) if there[c] is not None]
+                if not kept:
+                    return _co_moments(values[i], values[j])
+                kept = np.logical_and.reduce(kept)
+                x = values[i][kept]
+                return _co_moments(x, x if i == j else values[j][kept])
+
+            total = _merged(total, np.array([part(i, j) for i, j in at]).reshape(-1, 4).T)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], ["total"])
+
+    chosen = df.select(*[F.col(n).cast("double").alias(f"c{i}") for i, n in enumerate(names)])
+    parts = chosen.mapInArrow(add, "total array<double>").collect()  # one row per task
+    totals = [np.array(p["total"]).reshape(4, len(at)) for p in parts]
+    return reduce(_merged, totals, np.zeros((4, len(at))))
+
+
 def fit_scaler(matrix: DataFrame, names: Sequence[str]) -> Scaler:
     names = list(names)
-    row = matrix.agg(
-        *[F.avg(n).alias(f"m{i}") for i, n in enumerate(names)],
-        *[F.stddev_pop(n).alias(f"s{i}") for i, n in enumerate(names)],
-    ).first()
-    values = [0.0 if v is None else v for v in row]
-    return Scaler(names, values[: len(names)], values[len(names):])
+    rows, means, _, squares = co_moments(matrix, [(n, n) for n in names])
+    deviations = np.sqrt(squares / np.maximum(rows, 1))
+    return Scaler(names, means.tolist(), deviations.tolist())
 
 
 # --- isolation forest -------------------------------------------------------
@@ -155,23 +212,35 @@ class IsolationForest:
     contamination: float
     threshold: float | None = None
 
+    def _complete(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The tables with every leaf handed down to the lowest level, so that all walks are equally long."""
+        feature, cut, path = self.feature.copy(), self.cut, self.path.astype(float)
+        for node in range((feature.shape[1] - 1) // 2):
+            leaf = feature[:, node] < 0
+            for child in (2 * node + 1, 2 * node + 2):
+                feature[leaf, child] = -1
+                path[leaf, child] = path[leaf, node]
+        return np.maximum(feature, 0), cut, path
+
     def score_column(self) -> Column:
-        feature, cut, path = self.feature, self.cut, self.path
+        feature, cut, path = self._complete()
         trees, size = feature.shape
         steps = int(math.log2(size + 1)) - 1
         norm = float(average_path(self.per_tree)) or 1.0
 
         @F.pandas_udf("double")
         def anomaly(features: pd.DataFrame) -> pd.Series:
-            x = features.to_numpy(dtype=float)
-            rows = np.arange(len(x))[:, None]
-            tree = np.arange(trees)[None, :]
-            node = np.zeros((len(x), trees), dtype=np.int64)
-            for _ in range(steps):
-                f = feature[tree, node]
-                right = x[rows, np.maximum(f, 0)] > cut[tree, node]
-                node = np.where(f < 0, node, 2 * node + 1 + right)
-            return pd.Series(np.power(2.0, -(path[tree, node].sum(axis=1) / trees) / norm))
+            n = len(features)
+            # Feature by feature in one row of numbers; a tree at a time stays in the processor's cache.
+            x = np.ascontiguousarray(features.to_numpy(dtype=float).T).ravel()
+            row, total = np.arange(n), np.zeros(n)
+            for f, c, p in zip(feature * n, cut, path):
+                node = np.zeros(n, dtype=np.intp)
+                for _ in range(steps):
+                    right = x.take(f.take(node) + row) > c.take(node)
+                    node = 2 * node + 1 + right
+                total += p.take(node)
+            return pd.Series(np.power(2.0, -(total / trees) / norm))
 
         return anomaly(F.struct(*self.names))
 
@@ -343,15 +412,19 @@ def get_feature_importance(
 ) -> DataFrame:
     """Absolute correlation of each feature with the score, highest first.
 
-    One aggregate computes all of them; a constant feature has none (NULL).
+    One pass computes all of them; a constant feature has none (NULL).
     """
     names = list(names)
-
-    def correlation(name: str) -> Column:
-        spread = F.stddev_pop(name) * F.stddev_pop(score)
-        return F.abs(F.try_divide(F.covar_pop(name, score), spread))
-
-    row = scored_matrix.agg(*[correlation(n).alias(n) for n in names])
+    moments = co_moments(scored_matrix, [(n, n) for n in [*names, score]] + [(n, score) for n in names])
+    mean = moments[3] / np.where(moments[0] > 0, moments[0], np.nan)
+    own, covariance = np.sqrt(mean[: len(names) + 1]), mean[len(names) + 1 :]
+    spread = own[:-1] * own[-1]
+    found = [
+        None if not k or not c or s == 0 else float(abs(v / s))
+        for k, c, s, v in zip(moments[0], moments[0][len(names) + 1 :], spread, covariance)
+    ]
+    values = ", ".join(f"`{n}` double" for n in names)
+    row = scored_matrix.sparkSession.createDataFrame([found], values)
     pairs = F.array(
         *[F.struct(F.lit(n).alias("feature"), F.col(n).alias("importance")) for n in names]
     )

@@ -274,3 +274,30 @@ def test_saved_models_score_as_before(spark, matrix, forest, tmp_path):
     key = lambda df: sorted(map(tuple, df.collect()))
     assert key(loaded.forest.predict(matrix)) == key(model.predict(matrix))
     assert loaded.kmeans.centers.tolist() == clusters.centers.tolist()
+
+
+def test_scaler_and_importance_are_one_pass_without_sql_aggregates(spark, monkeypatch):
+    rows = [(float(i), None if i % 7 == 0 else float(i * i % 11), 0.1, float(3 * i % 5)) for i in range(500)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, s double").repartition(5)
+    wanted = df.selectExpr(
+        *[f"avg({n})" for n in "abc"], *[f"stddev_pop({n})" for n in "abc"],
+        "abs(covar_pop(a, s) / (stddev_pop(a) * stddev_pop(s)))", "abs(covar_pop(b, s) / (stddev_pop(b) * stddev_pop(s)))",
+    ).first()
+    monkeypatch.setattr(M.F, "stddev_pop", None)
+    scaler = M.fit_scaler(df, ["a", "b", "c"])
+    assert [*scaler.means, *scaler.deviations] == pytest.approx(list(wanted)[:6])
+    assert scaler.deviations[2] == 0
+    found = {r["feature"]: r["importance"] for r in M.get_feature_importance(df, ["a", "b", "c"], "s").collect()}
+    assert [found["a"], found["b"]] == pytest.approx(list(wanted)[6:]) and found["c"] is None
+
+
+def test_kmeans_blocks_are_compressed_without_loss():
+    x = np.column_stack([np.arange(4096.0) % 24, np.repeat(np.linspace(0, 1, 64), 64), np.random.default_rng(1).normal(size=4096)])
+    block = clustering._pressed(x)
+    assert len(block) < x.nbytes / 2 and (clustering._points(block, 3) == x).all()
+
+
+def test_leaves_are_handed_down_to_the_lowest_level():
+    feature = np.array([[0, -1, 1, 0, 0, -1, -1]])
+    forest = M.IsolationForest(["a", "b"], 4, feature, np.zeros((1, 7)), np.array([[0, 5.0, 0, 0, 0, 2.0, 3.0]]), 0.1)
+    assert forest._complete()[2][0, 3:].tolist() == [5.0, 5.0, 2.0, 3.0]
