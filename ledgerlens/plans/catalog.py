@@ -596,19 +596,28 @@ def nearer_elsewhere(placed, names, centers):
 
 
 def covariances(df, column, n):
-    """Covariances of all pairs of the ``n`` entries of an array column."""
-    means = df.agg(*[F.avg(F.col(column)[i]) for i in range(n)]).first()
+    """Covariances of the ``n`` entries of an array column, a matrix."""
 
     def products(batches):
-        total, rows = np.zeros((n, n)), 0
+        rows, mean, total = 0, np.zeros(n), np.zeros((n, n))
         for batch in batches:
-            values = np.array(batch.column(0).to_pylist(), dtype=float).reshape(-1, n) - np.array(means)
-            total, rows = total + values.T @ values, rows + len(values)
-        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()]), pa.array([rows])], ["total", "rows"])
+            values = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, n)
+            if len(values):
+                own = values.mean(axis=0)
+                values = values - own
+                rows, mean, total = merged((rows, mean, total), (len(values), own, values.T @ values))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([rows]), pa.array([mean.tolist()]), pa.array([total.ravel().tolist()])], ["rows", "mean", "total"])
 
-    parts = df.select(column).mapInArrow(products, "total array<double>, rows long").collect()
-    total = sum(np.array(p["total"]).reshape(n, n) for p in parts) / max(sum(p["rows"] for p in parts) - 1, 1)
-    return [float(total[i, j]) for i in range(n) for j in range(i)]
+    def merged(a, b):
+        rows, apart = a[0] + b[0], b[1] - a[1]
+        share = b[0] / max(rows, 1)
+        return rows, a[1] + apart * share, a[2] + b[2] + np.outer(apart, apart) * a[0] * share
+
+    parts = df.select(column).mapInArrow(products, "rows long, mean array<double>, total array<double>").collect()
+    totals = [(p["rows"], np.array(p["mean"]), np.array(p["total"]).reshape(n, n)) for p in parts]
+    rows, _, total = reduce(merged, totals, (0, np.zeros(n), np.zeros((n, n))))
+    return total / max(rows - 1, 1)
 
 
 @query
@@ -637,13 +646,12 @@ def pca_fit(spark, d):
     matrix = settings.materialised(_matrix(spark, d))
     names = X.FEATURE_COLUMNS
     reduced, shares = M.apply_pca(matrix, names, len(names))
-    parts = [F.col("components")[i] for i in range(len(names))]
-    spread = reduced.agg(
-        *[F.var_samp(c).alias(f"v{i}") for i, c in enumerate(parts)]
-    ).first()
-    between = covariances(reduced, "components", len(names))
-    whole = sum(v or 0 for v in matrix.agg(*[F.var_samp(n) for n in names]).first())
-    variances = list(spread)
+    reduced = settings.materialised(reduced, "components")
+    spread = covariances(reduced, "components", len(names))
+    between = [float(spread[i, j]) for i in range(len(names)) for j in range(i)]
+    rows, _, _, squares = M.co_moments(matrix, [(n, n) for n in names])
+    whole = float((squares / np.maximum(rows - 1, 1)).sum())
+    variances = spread.diagonal().tolist()
     row = (
         reduced.count(), len(variances), bool(abs(sum(variances) - whole) < 1e-6 * whole),
         bool(max(abs(c) for c in between) < 1e-6), bool(abs(sum(shares) - 1) < 1e-9),
