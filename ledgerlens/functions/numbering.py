@@ -16,10 +16,12 @@ def number_rows(df: DataFrame, order: list[str], name: str, start: int = 1) -> D
     """Number rows ``start, start+1, ...`` in ``order``.
 
     One range shuffle sorts the rows; writing them fixes where each row sits,
-    so the per-partition offsets stay valid if a task is run again.
+    so the per-partition offsets stay valid if a task is run again.  The rows
+    are written before it too: a range shuffle reads its input twice, the first
+    time for its borders.
     """
     placed = materialised(
-        df.repartitionByRange(*order)
+        materialised(df, "to-number").repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
         .withColumn("_part", F.shiftright("_place", _POSITION_BITS))

@@ -152,3 +152,17 @@ def test_large_brackets_are_narrowed(spread, monkeypatch):
     _same_as_numpy(groups, df, 100_000)
     # A round leaves about two of eight slices of the values.
     assert rounds[:2] == [4000, 550] and all(b < 0.3 * a for a, b in zip(rounds, rounds[1:]))
+
+
+def test_numbered_rows_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    rows = spark.range(1000).selectExpr("cast(id as string) as k").repartition(4).mapInPandas(count, "k string")
+    numbered = number_rows(rows, ["k"], "nr")
+    assert [r["k"] for r in numbered.orderBy("nr").collect()] == sorted(map(str, range(1000)))
+    assert made.value == 1000
