@@ -208,3 +208,21 @@ def test_velocity_state_is_per_group_and_equals_the_batch(spark, make_tx, tmp_pa
     assert 0 < max(states) <= 5  # not one per user
     expected = plain(R.detect_velocity_anomalies(make_tx(rows), 240, 4))
     assert len({r[1] for r in expected}) > 20 and plain(spark.table("grouped")) == expected
+
+
+def test_parts_of_the_two_rule_sink_are_written_by_all_tasks(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from ledgerlens.plans import catalog
+
+    seen = []
+
+    def streamed(flags, store, checkpoint, **_):
+        folder = checkpoint.rsplit("/", 1)[0]
+        seen.append(len(spark.read.parquet(f"{folder}/in").inputFiles()))
+        return SimpleNamespace(awaitTermination=lambda: None)
+
+    monkeypatch.setattr(catalog, "write_alerts", streamed)
+    catalog.stream_alert_sink_two_rules(spark, "/root/testdata/sf0.001")
+    assert len(seen) == 6 and seen[0] > 1  # a part was one file, written by one task
+    assert seen == sorted(seen) and seen[0] < seen[2] < seen[4]
