@@ -301,3 +301,11 @@ def test_leaves_are_handed_down_to_the_lowest_level():
     feature = np.array([[0, -1, 1, 0, 0, -1, -1]])
     forest = M.IsolationForest(["a", "b"], 4, feature, np.zeros((1, 7)), np.array([[0, 5.0, 0, 0, 0, 2.0, 3.0]]), 0.1)
     assert forest._complete()[2][0, 3:].tolist() == [5.0, 5.0, 2.0, 3.0]
+
+
+def test_covariances_come_from_one_pass(spark):
+    from ledgerlens.plans.catalog import covariances
+
+    x = np.random.default_rng(3).normal(size=(300, 3)) * [1, 5, 0] + [1e6, -3, 2]
+    df = spark.createDataFrame([(row.tolist(),) for row in x], "c array<double>").repartition(7)
+    assert np.allclose(covariances(df, "c", 3), np.cov(x.T), atol=1e-6)
