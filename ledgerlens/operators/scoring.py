@@ -132,6 +132,12 @@ def score_flags(
     first_rule = F.coalesce(
         *[F.when(F.col(r).isNotNull(), i) for i, r in enumerate(RULE_ORDER)]
     )
+    # The order holds the payload, so of rows without nulls one entry does for all of it.
+    order = F.struct(first_rule.alias("first_rule"), "timestamp", "user_id", "amount", "transaction_type")
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in PAYLOAD])
+    payload = [F.min(F.when(whole, order)).alias("_whole")] + [
+        F.min(F.when(~whole & F.col(c).isNotNull(), order)).alias(f"_{c}") for c in PAYLOAD
+    ]
     # The amount rule keeps repeats of an id, the others their first row.
     seen = F.struct("user_id", "timestamp", "amount", "transaction_type")
     per_rule = [F.sum(HIGH_VALUE).alias(HIGH_VALUE)] + [
@@ -139,9 +145,8 @@ def score_flags(
         for r in RULE_ORDER
         if r != HIGH_VALUE
     ]
-    grouped = wide.groupBy("transaction_id").agg(
-        *_firsts(PAYLOAD + extra, F.struct(first_rule, "timestamp", "user_id", "amount", "transaction_type")), *per_rule
-    )
+    grouped = wide.groupBy("transaction_id").agg(*payload, *_firsts(extra, order), *per_rule)
+    grouped = grouped.withColumns({c: F.least("_whole", f"_{c}")[c] for c in PAYLOAD})
 
     def total(term):
         return reduce(

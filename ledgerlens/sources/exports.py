@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 
 from ledgerlens.operators import reports as R
+from ledgerlens.settings import materialised
 from ledgerlens.sources.transactions import write_csv
 
 # Names and order of the columns.
@@ -70,19 +71,20 @@ def generate_all_reports(
 ) -> dict[str, str]:
     """Write the whole suite; returns kind -> path.
 
-    The alerts feed a dozen tables, so they are persisted for the run.
+    The alerts feed a dozen tables, so they are written once and each table
+    reads the columns it needs.  The summary stands in two places and is made once.
     """
     stamp = stamp or datetime.now().strftime("%Y%m%d_%H%M%S")
     root = output_dir.rstrip("/")
-    alerts = alerts.persist()
-    try:
-        return {
-            "sheets": export_sheets(alerts, tx, f"{root}/report_{stamp}", fmt),
-            "csv": create_alert_csv(alerts, f"{root}/alerts_{stamp}"),
-            "compliance": _write_all(
-                R.compliance_report(alerts, tx), f"{root}/compliance_report_{stamp}", fmt
-            ),
-            "charts": _write_all(chart_tables(alerts), f"{root}/charts_{stamp}", fmt),
-        }
-    finally:
-        alerts.unpersist()
+    alerts = materialised(alerts, "alerts")
+    sheets = report_sheets(alerts, tx)
+    summary = materialised(sheets["summary"], "summary")
+    compliance = R.compliance_report(alerts, tx)
+    return {
+        "sheets": _write_all({**sheets, "summary": summary}, f"{root}/report_{stamp}", fmt),
+        "csv": create_alert_csv(alerts, f"{root}/alerts_{stamp}"),
+        "compliance": _write_all(
+            {**compliance, "summary": summary}, f"{root}/compliance_report_{stamp}", fmt
+        ),
+        "charts": _write_all(chart_tables(alerts), f"{root}/charts_{stamp}", fmt),
+    }

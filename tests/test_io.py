@@ -95,3 +95,23 @@ def test_every_table_of_the_suite_is_read_back(spark, make_tx, tmp_path):
         back = spark.read.parquet(f"{suite['sheets']}/{name}")
         assert back.columns == frame.columns and back.count() == frame.count(), name
     assert IO.read_csv(spark, suite["csv"]).count() == scored.count()
+
+
+def test_suite_reads_alerts_and_transactions_once(spark, make_tx, tmp_path):
+    rows = [(f"T{i:02d}", f"U{i % 3}", i, 5000.0 * (1 + i % 4)) for i in range(60)]
+    read = {name: spark.sparkContext.accumulator(0) for name in ("alerts", "tx")}
+
+    def counted(df, name):
+        def count(batches):
+            for batch in batches:
+                read[name].add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(count, df.schema)
+
+    tx = make_tx(rows)
+    scored = D.score_transactions(tx)
+    n = scored.count()
+    paths = exports.generate_all_reports(counted(scored, "alerts"), counted(tx, "tx"), str(tmp_path), stamp="o")
+    assert {name: a.value for name, a in read.items()} == {"alerts": n, "tx": len(rows)}
+    for folder in (paths["sheets"], paths["compliance"]):
+        assert spark.read.parquet(f"{folder}/summary").first()["flagged_transactions"] == n

@@ -111,3 +111,25 @@ def test_dashboard_filter(combined):
     assert ids(P.filter_alerts(scored, ["MEDIUM"], 0)) == ["T2"]
     assert ids(P.filter_alerts(scored, None, 0, "u[12]")) == ["T1", "T2"]
     assert ids(P.lookup(scored, "T2")) == ["T2"]
+
+
+def test_payload_is_the_first_known_value(spark):
+    """Of several rows of an id each column comes from the first that has it, by rule and time."""
+    day = lambda d: datetime(2024, 1, d)
+    rows = [
+        ("A", "U2", 3.0, day(2), "x", "HIGH_VALUE", 30), ("A", None, 5.0, day(1), None, "HIGH_VALUE", 50),
+        ("B", None, 1.0, None, None, "HIGH_VALUE", 30), ("B", "U1", None, day(3), "y", "VELOCITY", 40),
+        ("C", "U1", 2.0, day(4), "z", "VELOCITY", 40), ("C", "U1", 2.0, day(5), "a", "VELOCITY", 50),
+        (None, None, 9.0, None, None, "HIGH_VALUE", 30),
+    ]
+    schema = SCHEMA.replace(", weighted_score double", "")
+    scored = S.score_flags(spark.createDataFrame(rows, schema))
+    got = {r["transaction_id"]: tuple(r)[1:7] for r in scored.collect()}
+    assert got == {
+        "A": ("U2", 5.0, day(1), "x", "HIGH_VALUE", 80),
+        "B": ("U1", 1.0, day(3), "y", "HIGH_VALUE, VELOCITY", 70),
+        "C": ("U1", 2.0, day(4), "z", "VELOCITY", 40),
+        None: (None, 9.0, None, None, "HIGH_VALUE", 30),
+    }
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by(") == len(S.RULE_ORDER) - 1  # none for the payload
