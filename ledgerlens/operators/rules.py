@@ -141,12 +141,14 @@ def keep_first(flagged: DataFrame) -> DataFrame:
     """One row per transaction id: the first by user and time.
 
     An aggregate rather than a ranked window, so copies of one id combine
-    before the shuffle.
+    before the shuffle.  The keys are not part of the kept row: a caller that
+    wants nothing else neither sorts nor moves the other columns.
     """
     order = F.struct("user_id", "timestamp", "amount", "transaction_type")
-    first = F.min_by(F.struct(*flagged.columns), order)
     keys = ["transaction_id", "rule_triggered"]
-    return flagged.groupBy(*keys).agg(first.alias("kept")).select("kept.*")
+    first = F.min_by(F.struct(*[c for c in flagged.columns if c not in keys]), order)
+    kept = flagged.groupBy(*keys).agg(first.alias("kept"))
+    return kept.select(*[c if c in keys else f"kept.{c}" for c in flagged.columns])
 
 
 # --- ordinary users: windows over one user_id shuffle -----------------------

@@ -732,8 +732,9 @@ def sampled_transactions(spark, d):
 def _methods(spark: SparkSession, d: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Rules and distance outliers as methods, and their union."""
     tx = transactions(spark, d)
-    rules = E.rules_based_ids(R.all_flags(tx))
-    ml = E.kmeans_ids(_distances(D.scaled_matrix(tx)))
+    hot = find_hot_keys(tx)
+    rules = E.rules_based_ids(R.all_flags(tx, hot=hot))
+    ml = E.kmeans_ids(_distances(D.scaled_matrix(tx, hot)))
     rules, ml = settings.materialised(rules), settings.materialised(ml)
     return tx, {E.RULES: rules, E.KMEANS: ml, E.HYBRID: E.hybrid_ids(rules, ml)}
 

@@ -7,6 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from ledgerlens.functions.hot_keys import find_hot_keys
+from ledgerlens.operators import evaluation as E
+from ledgerlens.operators import features as X
+from ledgerlens.operators import rules as R
 from ledgerlens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -92,3 +96,14 @@ def test_kmeans_fit_asks_for_the_nearest_centre(spark, monkeypatch):
 
     monkeypatch.setattr(catalog.M, "predict_kmeans_outliers", one_elsewhere)
     assert not catalog.kmeans_fit(spark, SF).first()["centres_ok"]
+
+
+def test_methods_look_for_heavy_users_once(make_tx, monkeypatch, tmp_path):
+    tx = make_tx([(f"T{i:02d}", f"U{i % 3}", i, 5000.0 * (1 + i % 4)) for i in range(60)])
+    monkeypatch.setattr(catalog, "transactions", lambda spark, d: tx)
+    searches = []
+    for module in (catalog, R, X):
+        monkeypatch.setattr(module, "find_hot_keys", lambda df: searches.append(df) or find_hot_keys(df))
+    _, sets = catalog._methods(tx.sparkSession, str(tmp_path))
+    assert len(searches) == 1
+    assert {r[0] for r in sets[E.RULES].collect()} == {r["transaction_id"] for r in R.all_flags(tx).collect()}

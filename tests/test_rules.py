@@ -234,3 +234,11 @@ def test_hot_users_never_share_a_window_partition(make_tx):
     }
     plan = R.wide_flags(tx, hot=hot)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_keys_alone_need_no_kept_rows(make_tx):
+    rows = [(f"T{i % 3}", "U", i % 3, 6000) for i in range(12)] + [(None, "U", 1, 6000)] * 2
+    flags = R.all_flags(make_tx(rows), hot=NO_HOT)
+    ids = flags.select("transaction_id").distinct()
+    assert {r[0] for r in ids.collect()} == {r["transaction_id"] for r in flags.collect()}
+    assert "min_by" not in ids._jdf.queryExecution().optimizedPlan().toString()
