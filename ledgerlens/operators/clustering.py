@@ -4,17 +4,22 @@ The points are packed once into blocks of numbers.  A pass scans the blocks for
 that still moves: each task adds up its points per restart and cluster, the sums are combined
 in a shuffle, and only the sums of all points reach the driver.  Seeds are drawn by hashes of
 the row ids, so the same rows give the same model however they are partitioned.
+
+A task holds a few blocks at a time, however many its partition has.  The blocks lie on the
+executors' disks and are handed to Python one by one as an RDD; as rows of a table they would
+fill the heap, and an Arrow batch, which Spark cuts by the number of rows, would hold hundreds.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,8 +68,8 @@ def _points(block: bytes, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw).reshape(width, -1).T)
 
 
-def _packed(matrix: DataFrame, names: list[str]) -> DataFrame:
-    """Blocks of points: a number from the MD5 of each row's id, and the features row by row."""
+def _packed(matrix: DataFrame, names: list[str]) -> RDD:
+    """Blocks of points: a number from the MD5 of each row's id, and the features of the rows."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +81,8 @@ def _packed(matrix: DataFrame, names: list[str]) -> DataFrame:
 
     digits = F.substring(F.md5(F.coalesce(F.col("transaction_id").cast("string"), F.lit(""))), 1, _DIGITS)
     chosen = matrix.select(F.conv(digits, 16, 10).cast("long"), *[F.col(n).cast("double") for n in names])
-    return chosen.mapInArrow(pack, "keys binary, points binary")
+    # As bytes of Python's own: those of a row take up to twice the room when pickled.
+    return chosen.mapInArrow(pack, "keys binary, points binary").rdd.map(lambda row: (bytes(row[0]), bytes(row[1])))
 
 
 def _squared(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -93,78 +99,75 @@ def _slices(x: np.ndarray) -> Iterator[np.ndarray]:
     return (x[i : i + _SLICE] for i in range(0, len(x), _SLICE))
 
 
-def _seeds(blocks: DataFrame, width: int, k: int, seeds: Sequence[int]) -> np.ndarray:
+def _faster(a: tuple[float, int, bytes], b: tuple[float, int, bytes]) -> tuple[float, int, bytes]:
+    """The greater of two candidates of a draw; as in SQL, no number exceeds all numbers."""
+    return max(a, b, key=lambda found: (math.isnan(found[0]), 0.0 if math.isnan(found[0]) else found[0], *found[1:]))
+
+
+def _seeds(blocks: RDD, width: int, k: int, seeds: Sequence[int]) -> np.ndarray:
     """Starting centres (restart x centre x feature), drawn with odds in proportion to squared distance.
 
     Of exponential variables divided by the squared distance to the nearest centre so far, the
     smallest wins; the first centre is drawn evenly.  A task names one candidate per restart.
+    Without points there are no centres.
     """
     chosen = np.zeros((len(seeds), 0, width))
     for draw in range(k):
         now = chosen
 
-        def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def race(part: Iterator[tuple[bytes, bytes]]) -> Iterator[tuple[int, tuple[float, int, bytes]]]:
             best: list[tuple[float, int, bytes] | None] = [None] * len(seeds)
-            for batch in batches:
-                for keys, points in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    keys, x = np.frombuffer(keys, np.int64), _points(points, width)
-                    if draw:
-                        least = np.concatenate([
-                            _squared(part, now.reshape(-1, width)).reshape(len(seeds), draw, -1).min(axis=1)
-                            for part in _slices(x)
-                        ], axis=1)
-                    for r, seed in enumerate(seeds):
-                        drawn = ((keys + shift_of(seed, draw)) % 16**_DIGITS + 0.5) / 16**_DIGITS
-                        speed = (least[r] if draw else 1.0) / -np.log(drawn)
-                        i = int(speed.argmax())
-                        found = (float(speed[i]), int(keys[i]), x[i].tobytes())
-                        if best[r] is None or found > best[r]:
-                            best[r] = found
-            rows = [(r, *b) for r, b in enumerate(best) if b is not None]
-            kinds = (pa.int32(), pa.float64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([row[i] for row in rows], t) for i, t in enumerate(kinds)], ["restart", "speed", "key", "point"])
-
-        won = (
-            blocks.mapInArrow(race, "restart int, speed double, key long, point binary")
-            .groupBy("restart").agg(F.max(F.struct("speed", "key", "point")).alias("best"))
-            .orderBy("restart").collect()  # one row per restart
-        )
-        points = np.array([np.frombuffer(row["best"]["point"]) for row in won])
+            for keys, points in part:
+                keys, x = np.frombuffer(keys, np.int64), _points(points, width)
+                if draw:
+                    least = np.concatenate([
+                        _squared(few, now.reshape(-1, width)).reshape(len(seeds), draw, -1).min(axis=1)
+                        for few in _slices(x)
+                    ], axis=1)
+                for r, seed in enumerate(seeds):
+                    drawn = ((keys + shift_of(seed, draw)) % 16**_DIGITS + 0.5) / 16**_DIGITS
+                    speed = (least[r] if draw else 1.0) / -np.log(drawn)
+                    i = int(speed.argmax())
+                    found = (float(speed[i]), int(keys[i]), x[i].tobytes())
+                    if best[r] is None or found > best[r]:
+                        best[r] = found
+            return ((r, b) for r, b in enumerate(best) if b is not None)
+
+        won = dict(blocks.mapPartitions(race).reduceByKey(_faster, len(seeds)).collect())  # one per restart
+        if not won:
+            break
+        points = np.array([np.frombuffer(won[r][2]) for r in range(len(seeds))])
         chosen = np.concatenate([chosen, points[:, None, :]], axis=1)
     return chosen
 
 
-def _pass(blocks: DataFrame, centers: np.ndarray, move: bool) -> tuple[np.ndarray, np.ndarray]:
+def _pass(blocks: RDD, centers: np.ndarray, move: bool) -> tuple[np.ndarray, np.ndarray]:
     """Costs of the restarts and, with ``move``, the means of their clusters; an empty cluster stays."""
     restarts, k, width = centers.shape
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add(part: Iterator[tuple[bytes, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
         # Per restart and cluster: sums of coordinates, number of points, sum of squared distances.
         total = np.zeros((restarts, k, width + 2))
         flat = centers.reshape(-1, width)
-        for batch in batches:
-            for points in batch.column(0).to_pylist():
-                for x in _slices(_points(points, width)):
-                    away = _squared(x, flat).reshape(restarts, k, len(x))
-                    least = away.min(axis=1)
-                    own, free = np.zeros(away.shape), np.ones(least.shape, dtype=bool)
-                    for j in range(k):  # of equally near centres the first
-                        near = (away[:, j] == least) & free
-                        own[:, j] = near
-                        free &= ~near
-                    own[:, 0] += free  # distances that are no number
-                    if move:
-                        total[:, :, :width] += (own.reshape(-1, len(x)) @ x).reshape(restarts, k, width)
-                    total[:, :, width] += own.sum(axis=2)
-                    total[:, :, width + 1] += (own @ least[:, :, None])[:, :, 0]
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], ["at", "value"])
-
-    total = np.zeros((restarts, k, width + 2))
-    # As many rows as the model has numbers.
-    for at, value in blocks.select("points").mapInArrow(add, "at long, value double").groupBy("at").agg(F.sum("value")).collect():
-        total.flat[at] = value
+        for _, points in part:
+            for x in _slices(_points(points, width)):
+                away = _squared(x, flat).reshape(restarts, k, len(x))
+                least = away.min(axis=1)
+                own, free = np.zeros(away.shape), np.ones(least.shape, dtype=bool)
+                for j in range(k):  # of equally near centres the first
+                    near = (away[:, j] == least) & free
+                    own[:, j] = near
+                    free &= ~near
+                own[:, 0] += free  # distances that are no number
+                if move:
+                    total[:, :, :width] += (own.reshape(-1, len(x)) @ x).reshape(restarts, k, width)
+                total[:, :, width] += own.sum(axis=2)
+                total[:, :, width + 1] += (own @ least[:, :, None])[:, :, 0]
+        return enumerate(total)
+
+    # One table of numbers per restart, as large as its model.
+    sums = dict(blocks.mapPartitions(add).reduceByKey(np.add, restarts).collect())
+    total = np.array([sums[r] for r in range(restarts)])
     n = total[:, :, width : width + 1]
     means = np.where(n > 0, total[:, :, :width] / np.maximum(n, 1), centers)
     return total[:, :, width + 1].sum(axis=1), means
@@ -182,14 +185,14 @@ def fit_kmeans(
 
     All runs share every scan of the points; those that have converged drop out of it.  A
     matrix without rows has centres at zero; with fewer distinct points than clusters, centres
-    repeat.  The blocks are kept in memory or on disk, and lost ones are packed again.
+    repeat.  The blocks are kept on disk, and lost ones are packed again.
     """
     names, width = list(names), len(names)
-    blocks = _packed(matrix, names).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _packed(matrix, names).persist(StorageLevel.DISK_ONLY)
     try:
-        if blocks.isEmpty():
-            return KMeansModel(names, np.zeros((n_clusters, width)), 0.0)
         centers = _seeds(blocks, width, n_clusters, [random_state + r for r in range(restarts)])
+        if not centers.size:
+            return KMeansModel(names, np.zeros((n_clusters, width)), 0.0)
         moving = np.arange(restarts)
         for _ in range(max_iterations):
             _, means = _pass(blocks, centers[moving], True)

@@ -297,6 +297,41 @@ def test_kmeans_blocks_are_compressed_without_loss():
     assert len(block) < x.nbytes / 2 and (clustering._points(block, 3) == x).all()
 
 
+def test_kmeans_holds_few_blocks_of_a_partition_at_a_time(spark, monkeypatch):
+    df = spark.range(60_000, numPartitions=1).selectExpr(
+        "concat('T', id) as transaction_id", *[f"rand({i}) as c{i}" for i in range(4)])
+    unpack, scan, kept = clustering._points, clustering._pass, []
+
+    def stored():
+        return {i.id(): (i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo() if i.isCached()}
+
+    def watched(block, width):
+        import gc
+
+        lists = [x for x in gc.get_objects() if type(x) is list]
+        assert not any(sum(type(b) is bytes and len(b) > 50_000 for b in x) > 4 for x in lists)
+        return unpack(block, width)
+
+    def looked_at(blocks, centers, move):
+        kept.extend(sizes for i, sizes in stored().items() if i not in before)
+        return scan(blocks, centers, move)
+
+    before = stored()
+
+    monkeypatch.setattr(clustering, "_points", watched)
+    monkeypatch.setattr(clustering, "_pass", looked_at)
+    model = M.fit_kmeans(df, [f"c{i}" for i in range(4)], 2, restarts=2, max_iterations=2)
+    assert model.centers.shape == (2, 4) and 0 < model.cost < 60_000
+    assert kept and all(memory == 0 and disk > 60_000 * 4 * 8 / 2 for memory, disk in kept)
+    assert stored().keys() <= before.keys()
+
+
+def test_draws_take_no_number_as_the_greatest():
+    nan = (math.nan, 1, b"b")
+    assert clustering._faster(nan, (9.0, 5, b"a")) is nan and clustering._faster((9.0, 5, b"a"), nan) is nan
+    assert clustering._faster((2.0, 1, b"b"), (2.0, 3, b"a")) == (2.0, 3, b"a")
+
+
 def test_leaves_are_handed_down_to_the_lowest_level():
     feature = np.array([[0, -1, 1, 0, 0, -1, -1]])
     forest = M.IsolationForest(["a", "b"], 4, feature, np.zeros((1, 7)), np.array([[0, 5.0, 0, 0, 0, 2.0, 3.0]]), 0.1)
